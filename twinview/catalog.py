@@ -330,25 +330,25 @@ def latest_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BATCH_JOB_SQL = f"""
-SELECT product, timestamp_hour, {{columns}} FROM clicks
-WHERE {AS_OF} - timestamp_hour / 1000 <= 60 * 60 * 6 GROUP BY ALL"""
+SELECT product, timestamp_day AS timestamp_hour, {{columns}} FROM clicks
+WHERE {AS_OF} - timestamp_day / 1000 <= 60 * 60 * 72 GROUP BY ALL"""
 
 
 def _batch_job(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    master = _write_master(spark, sf_dir, HOUR_MS)
-    return run_batch_views(spark, master, new_table_dir(spark, "batch"), hours=6, as_of=AS_OF)
+    master = _write_master(spark, sf_dir, DAY_MS)
+    return run_batch_views(spark, master, new_table_dir(spark, "batch"), hours=72, as_of=AS_OF)
 
 
 @_query(BATCH_JOB_SQL.format(columns=COUNTS_SQL))
 def batch_job_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, _ = _batch_job(spark, sf_dir)
-    return spark.read.schema(ACTIVITY_BY_PRODUCT).parquet(path)
+    return sources.read_view(spark, path, ACTIVITY_BY_PRODUCT)
 
 
 @_query(BATCH_JOB_SQL.format(columns="count(DISTINCT visitor) AS unique_visitors"))
 def batch_job_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, path = _batch_job(spark, sf_dir)
-    return spark.read.schema(VISITORS_BY_PRODUCT).parquet(path)
+    return sources.read_view(spark, path, VISITORS_BY_PRODUCT)
 
 
 # Streams

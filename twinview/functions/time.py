@@ -13,7 +13,8 @@ DAY_MS = 24 * HOUR_MS
 def bucket(ms: Column | str, size_ms: int = HOUR_MS) -> Column:
     """Start of the bucket an epoch-ms value falls in; truncates toward zero."""
     ms = F.col(ms) if isinstance(ms, str) else ms
-    return ms - ms % F.lit(size_ms).cast("long")
+    size = F.lit(size_ms).cast("long")
+    return F.call_function("div", ms, size) * size
 
 
 def bucket_label(ms: Column | str, pattern: str = "MM-dd HH:mm:00", zone: str | None = None) -> Column:

@@ -13,6 +13,12 @@ def _well_formed(fields: Column) -> Column:
     return F.size(fields) == len(LINE_FIELDS)
 
 
+def _split_once(value: str) -> Column:
+    """Column ``fields``. As the output of a generator it is computed once per line; as a plain
+    column the optimizer would put a split of its own into every filter and field."""
+    return F.explode(F.array(line_fields(value))).alias("fields")
+
+
 def parse_activity(
     lines: DataFrame, bucket_ms: int = HOUR_MS, on_bad_ts: str = "drop", value: str = "value"
 ) -> DataFrame:
@@ -23,8 +29,9 @@ def parse_activity(
     """
     if on_bad_ts not in ("drop", "fail"):
         raise ValueError(f"on_bad_ts is 'drop' or 'fail', not {on_bad_ts!r}")
-    props = F.col("inputProps") if "inputProps" in lines.columns else F.create_map()
-    fields = lines.select(line_fields(value).alias("fields"), props.alias("inputProps"))
+    no_props = F.create_map().cast(ACTIVITY["inputProps"].dataType)
+    props = F.col("inputProps") if "inputProps" in lines.columns else no_props
+    fields = lines.select(_split_once(value), props.alias("inputProps"))
     named = fields.where(_well_formed(F.col("fields"))).select(
         *(F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(LINE_FIELDS)), "inputProps"
     )
@@ -32,17 +39,17 @@ def parse_activity(
     activity = named.withColumn("timestamp_hour", bucket(ts, bucket_ms))
     if on_bad_ts == "drop":
         activity = activity.where(F.col("timestamp_hour").isNotNull())
-    return activity.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in ACTIVITY))
+    return activity.select(*ACTIVITY.names)
 
 
 def malformed_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """The lines ``parse_activity`` leaves out, and why."""
-    fields = line_fields(value)
+    fields = F.col("fields")
     reason = F.when(
-        F.col(value).isNull() | ~_well_formed(fields), F.lit("field_count")
+        fields.isNull() | ~_well_formed(fields), F.lit("field_count")
     ).when(epoch_ms(F.get(fields, F.lit(0))).isNull(), F.lit("bad_timestamp"))
-    judged = lines.select(F.col(value).alias("value"), reason.alias("reason"))
-    return judged.where(F.col("reason").isNotNull())
+    judged = lines.select(F.col(value).alias("value"), _split_once(value))
+    return judged.select("value", reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def encode_activity(activity: DataFrame, timestamp: str = "ts_ms") -> DataFrame:

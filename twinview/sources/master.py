@@ -1,10 +1,11 @@
-"""The master dataset, and the stream positions it implies."""
+"""The master dataset, the stream positions it implies, and the views saved from it."""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from twinview.schema import MASTER, MASTER_PARTITIONS
 
@@ -41,6 +42,11 @@ def read_master(
     return master if since_ms is None else master.where(F.col("timestamp_hour") >= since_ms)
 
 
+def read_view(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A saved batch view, its columns in the order of ``schema``."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def query_path(spark: SparkSession, path: str, where: str | None = None) -> DataFrame:
     """Rows of a Parquet folder, straight from its path in SQL."""
     query = f"SELECT * FROM parquet.`{path.replace('`', '``')}`"

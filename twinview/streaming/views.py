@@ -26,12 +26,6 @@ def visitor_view_stream(activity: DataFrame, keys: Sequence[str] = VIEW_KEYS) ->
     return approx_visitors_by_product(activity, keys)
 
 
-def _distinct_in_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        yield from table.group_by(table.column_names).aggregate([]).to_batches()
-
-
 def exact_visitors_stream(
     activity: DataFrame, distinct: bool = True, keys: Sequence[str] = VIEW_KEYS
 ) -> DataFrame:
@@ -43,6 +37,13 @@ def exact_visitors_stream(
     """
     if not distinct:
         return activity.groupBy(*keys).agg(F.count("*").alias("unique_visitors"))
+
+    # Defined here so that it travels with the query: executors need not have this package.
+    def without_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            yield from table.group_by(table.column_names).aggregate([]).to_batches()
+
     clicks = activity.select(*keys, "visitor")
-    visitors = clicks.mapInArrow(_distinct_in_batches, clicks.schema).dropDuplicates()
+    visitors = clicks.mapInArrow(without_repeats, clicks.schema).dropDuplicates()
     return visitors.groupBy(*keys).agg(F.count("visitor").alias("unique_visitors"))
