@@ -83,6 +83,8 @@ def test_offsets_compare_as_numbers_and_resume_at_the_next(spark, tmp_path):
     stored = sources.read_master(spark, path)
     assert as_set(sources.latest_offsets(stored)) == [("clicks", 0, 105), ("clicks", 1, 105)]
     assert json.loads(sources.starting_offsets_json(stored)) == {"clicks": {"0": 105, "1": 105}}
+    assert json.loads(sources.starting_offsets_json(stored, {"clicks": 3, "new": 1})) == {
+        "clicks": {"0": 105, "1": 105, "2": -2}, "new": {"0": -2}}
 
 
 def test_kafka_options():

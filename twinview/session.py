@@ -68,9 +68,8 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="twinview-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="twinview-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def new_table_dir(spark: SparkSession, name: str) -> str:

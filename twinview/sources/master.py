@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +12,9 @@ from pyspark.sql import types as T
 
 from twinview.schema import MASTER, MASTER_PARTITIONS
 
+# The Kafka source's code for a partition's earliest offset (fixed value).
+EARLIEST = -2
+
 
 def _recent_folders(spark: SparkSession, path: str, since_ms: int) -> list[str] | None:
     """Folders of the buckets from ``since_ms`` on; None where the files have a log instead."""
@@ -63,10 +69,14 @@ def latest_offsets(master: DataFrame) -> DataFrame:
     )
 
 
-def starting_offsets_json(master: DataFrame) -> str | None:
+def starting_offsets_json(
+    master: DataFrame, partition_counts: Mapping[str, int] | None = None
+) -> str | None:
     """``latest_offsets`` as the Kafka source's startingOffsets JSON; None if nothing is stored.
 
-    What reaches the driver is one text with one number per Kafka partition.
+    The source wants every partition of a topic: with ``partition_counts`` (topic to number of
+    partitions) those not stored yet start at their earliest offset. What reaches the driver is
+    one text with one number per Kafka partition.
     """
     per_topic = latest_offsets(master).groupBy("topic").agg(
         F.map_from_entries(
@@ -76,4 +86,10 @@ def starting_offsets_json(master: DataFrame) -> str | None:
     row = per_topic.agg(
         F.to_json(F.map_from_entries(F.collect_list(F.struct("topic", "offsets")))).alias("json")
     ).first()
-    return None if row.json == "{}" else row.json
+    stored = json.loads(row.json)
+    if not stored:
+        return None
+    for topic, count in (partition_counts or {}).items():
+        unknown = {str(p): EARLIEST for p in range(count)}
+        stored[topic] = unknown | stored.get(topic, {})
+    return json.dumps(stored)
