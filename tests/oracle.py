@@ -32,7 +32,7 @@ def rows(frame: pd.DataFrame) -> list[tuple]:
 
 def difference(result: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """What is different, None if names, types and rows are the same."""
-    expected, actual = con.execute(sql).to_arrow_table(), result.toArrow()
+    expected, actual = con.sql(sql).to_arrow_table(), result.toArrow()
     types = [{f.name: str(f.type).removeprefix("large_") for f in t.schema} for t in (actual, expected)]
     if types[0] != types[1]:
         return f"types {types[0]} instead of {types[1]}"

@@ -173,6 +173,30 @@ def test_compaction_keeps_the_view_and_bounds_what_is_read(spark, landed, tmp_pa
     assert files and all("/base/upto=3/" in f for f in files)
 
 
+def test_sql_on_each_batch(spark, land, tmp_path):
+    land(click(0, product="A"))
+    folder = land(click(0, product="B"), click(1, product="B"))
+
+    def per_product(rows):
+        ops.register(rows, "activity_of_batch")
+        return rows.sparkSession.sql("SELECT product, count(*) AS n FROM activity_of_batch GROUP BY product")
+
+    finish(streaming.publish_view(
+        stream(spark, folder), "batch_counts", str(tmp_path / "p"), per_product, trigger=NOW))
+    assert as_set(spark.table("batch_counts")) == [("B", 2)]
+
+
+@pytest.mark.parametrize("bound", [0, 10**6])
+def test_state_is_looked_up_alike_by_broadcast_and_by_shuffle(spark, landed, tmp_path, monkeypatch, bound):
+    monkeypatch.setattr("twinview.streaming.changelog.MAX_BROADCAST_KEYS", bound)
+    counts, exact = str(tmp_path / "counts"), str(tmp_path / "exact")
+    finish(streaming.start_expiring_view(stream(spark, landed), counts, trigger=NOW))
+    finish(streaming.start_expiring_visitors(stream(spark, landed), exact, trigger=NOW))
+    clicks = batch(spark, landed)
+    assert as_set(live_view(spark, counts)) == as_set(ops.activity_by_product(clicks))
+    assert as_set(live_view(spark, f"{exact}/view", "exact")) == as_set(ops.visitors_by_product(clicks))
+
+
 def test_half_written_batches_are_not_read(spark, tmp_path):
     path, schema = str(tmp_path / "view"), STATES["clicks"]
     rows = spark.createDataFrame([("A", 0, 1, 0)], schema)
@@ -196,7 +220,8 @@ def test_published_table_is_the_newest_batch(spark, land, tmp_path):
 
 def test_published_table_of_all_live_keys(spark, landed, tmp_path):
     view = streaming.visitor_view_stream(stream(spark, landed))
-    finish(streaming.publish_view(view, "all_visitors", str(tmp_path / "p"), keys=VIEW_KEYS, trigger=NOW))
+    finish(streaming.publish_view(
+        view, "all_visitors", str(tmp_path / "p"), keys=VIEW_KEYS, trigger=NOW, compact_every=2))
     assert as_set(spark.sql("SELECT * FROM all_visitors")) == as_set(ops.visitors_by_product(batch(spark, landed)))
 
 

@@ -155,6 +155,19 @@ def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_products(spark, path)
 
 
+@_query("""
+SELECT event_id, upper(referrer) AS referrer_upper, length(product)::INT AS name_length,
+       octet_length(encode(visitor))::INT AS visitor_bytes
+FROM clicks""")
+def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _activity(spark, sf_dir).select(
+        "event_id",
+        F.upper("referrer").alias("referrer_upper"),
+        F.length("product").alias("name_length"),
+        F.octet_length(F.encode("visitor", "UTF-8")).alias("visitor_bytes"),
+    )
+
+
 # Batch views
 
 
@@ -173,6 +186,14 @@ def visitors_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.visitors_by_product(_activity(spark, sf_dir))
 
 
+@_query(_visitors_sql())
+def visitors_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ops.register(_activity(spark, sf_dir), "activity")
+    return spark.sql("""
+        SELECT product, timestamp_hour, count(DISTINCT visitor) AS unique_visitors
+        FROM activity GROUP BY product, timestamp_hour""")
+
+
 @_query(_visitors_sql("product"))
 def visitors_of_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.visitors_by_product(_activity(spark, sf_dir), keys=["product"])

@@ -21,6 +21,9 @@ from twinview.schema import VIEW_KEYS
 
 BATCH_ID = "batch_id"
 
+# A key is well under 200 bytes, so this many stay below 10 MB in every task.
+MAX_BROADCAST_KEYS = 50_000
+
 
 def _numbers(spark: SparkSession, parent: str, name: str) -> list[int]:
     """Numbers of the completed folders <parent>/<name>=<number>."""
@@ -62,16 +65,22 @@ def read_changes(
     return compacted.unionByName(changes) if batches else compacted
 
 
+def of_keys(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], count: int) -> DataFrame:
+    """The rows that have one of the ``count`` wanted keys.
+
+    A few keys are sent to the rows, so that a big state is scanned but not shuffled for a small
+    micro-batch. Many keys are joined by a shuffle.
+    """
+    wanted = wanted.select(*keys)
+    wanted = F.broadcast(wanted) if count <= MAX_BROADCAST_KEYS else wanted
+    return rows.join(wanted, list(keys), "left_semi")
+
+
 def latest_view(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    keys: Sequence[str] = VIEW_KEYS,
-    before: int | None = None,
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = VIEW_KEYS
 ) -> DataFrame:
     """The last row per key, without the log's own ``batch_id``."""
-    changes = read_changes(spark, path, schema, before)
-    return last_per_key(changes, keys, BATCH_ID).drop(BATCH_ID)
+    return last_per_key(read_changes(spark, path, schema), keys, BATCH_ID).drop(BATCH_ID)
 
 
 def compact_view(
@@ -102,6 +111,24 @@ def compact_view(
     return newest
 
 
+def compact_before(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    batch_id: int,
+    every: int,
+    keys: Sequence[str] = VIEW_KEYS,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """Compact once per ``every`` micro-batches, before this one writes.
+
+    Only earlier batches are covered, which are committed: a replay of this one finds its input.
+    """
+    if batch_id and batch_id % every == 0:
+        compact_view(spark, path, schema, keys, batch_id - 1, keep)
+        drop_compacted(spark, path)
+
+
 def drop_compacted(spark: SparkSession, path: str) -> None:
     """Delete all bases but the newest two, and the batches covered by the older of these."""
     bases = _numbers(spark, f"{path}/base", "upto")

@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from twinview.operators.snapshots import last_per_key
 from twinview.operators.views import activity_by_product, visitor_sketches
 from twinview.schema import ACTIVITY_BY_PRODUCT, VIEW_KEYS, VISITORS_BY_PRODUCT
 from twinview.streaming.changelog import (
     BATCH_ID,
-    compact_view,
-    drop_compacted,
+    compact_before,
     latest_view,
+    of_keys,
     read_changes,
     write_changes,
 )
@@ -76,20 +77,31 @@ def _merged(kind: str) -> dict[str, Column]:
     return {c: F.col(f"b.{c}") + F.coalesce(f"s.{c}", F.lit(0).cast("long")) for c in counters}
 
 
+def _live(
+    fresh: DataFrame, path: str, batch_id: int, kind: str, ttl_ms: int, now_ms: int
+) -> DataFrame:
+    """The unexpired state before this batch of the keys in ``fresh``, which must be persisted."""
+    changes = read_changes(fresh.sparkSession, path, STATES[kind], before=batch_id)
+    touched = of_keys(changes, fresh, VIEW_KEYS, fresh.count())
+    return last_per_key(touched, VIEW_KEYS, BATCH_ID).drop(BATCH_ID).where(_alive(now_ms, ttl_ms))
+
+
 def merge_batch(
     activity: DataFrame, path: str, batch_id: int, kind: str, ttl_ms: int, now_ms: int
 ) -> None:
     """Merge one micro-batch into the view at ``path``. Doing it again changes nothing."""
-    live = latest_view(activity.sparkSession, path, STATES[kind], before=batch_id)
-    live = live.where(_alive(now_ms, ttl_ms))
-    # Both sides come out of an aggregation by the key: they are joined where they are.
-    joined = _aggregate(kind, activity).alias("b").join(live.alias("s"), list(VIEW_KEYS), "left")
-    changes = joined.select(
-        *VIEW_KEYS,
-        *(value.alias(name) for name, value in _merged(kind).items()),
-        F.lit(now_ms).cast("long").alias(LAST_SEEN),
-    )
-    write_changes(changes.select(*STATES[kind].names), path, batch_id)
+    fresh = _aggregate(kind, activity).persist()
+    try:
+        live = _live(fresh, path, batch_id, kind, ttl_ms, now_ms)
+        joined = fresh.alias("b").join(live.alias("s"), list(VIEW_KEYS), "left")
+        changes = joined.select(
+            *VIEW_KEYS,
+            *(value.alias(name) for name, value in _merged(kind).items()),
+            F.lit(now_ms).cast("long").alias(LAST_SEEN),
+        )
+        write_changes(changes.select(*STATES[kind].names), path, batch_id)
+    finally:
+        fresh.unpersist()
 
 
 def start_expiring_view(
@@ -109,12 +121,10 @@ def start_expiring_view(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         now_ms, spark = clock(), batch.sparkSession
-        if batch_id and batch_id % compact_every == 0:
-            compact_view(
-                spark, path, STATES[kind], upto=batch_id - 1,
-                keep=lambda rows: rows.where(_alive(now_ms, ttl_ms)),
-            )
-            drop_compacted(spark, path)
+        compact_before(
+            spark, path, STATES[kind], batch_id, compact_every,
+            keep=lambda rows: rows.where(_alive(now_ms, ttl_ms)),
+        )
         merge_batch(batch, path, batch_id, kind, ttl_ms, now_ms)
 
     return start_batches(activity, on_batch, path, checkpoint, trigger)
@@ -151,10 +161,10 @@ def merge_exact_batch(
     spark = activity.sparkSession
     view_path, seen_path = f"{path}/view", f"{path}/seen"
     visitors = activity.select(*VIEW_KEYS, "visitor").distinct().persist()
+    products = visitors.select(*VIEW_KEYS).distinct().persist()
     try:
-        live = latest_view(spark, view_path, STATES["exact"], before=batch_id)
-        live = live.where(_alive(now_ms, ttl_ms)).drop(LAST_SEEN)
-        touched = visitors.select(*VIEW_KEYS).distinct().join(live, list(VIEW_KEYS), "left").select(
+        live = _live(products, view_path, batch_id, "exact", ttl_ms, now_ms)
+        touched = products.join(live, list(VIEW_KEYS), "left").select(
             *VIEW_KEYS,
             F.coalesce("generation", F.lit(batch_id).cast("long")).alias("generation"),
             F.coalesce("unique_visitors", F.lit(0).cast("long")).alias("before"),
@@ -162,6 +172,7 @@ def merge_exact_batch(
         known = visitors.where(F.col("visitor").isNotNull())
         candidates = _join_salted(known, touched.drop("before"), VIEW_KEYS, "inner")
         seen = read_changes(spark, seen_path, SEEN, before=batch_id).drop(BATCH_ID)
+        seen = of_keys(seen, candidates, SEEN.names, visitors.count())
         new = candidates.join(seen, SEEN.names, "left_anti").select(*SEEN.names)
         write_changes(new, seen_path, batch_id)
 
@@ -175,6 +186,7 @@ def merge_exact_batch(
         )
         write_changes(changes.select(*STATES["exact"].names), view_path, batch_id)
     finally:
+        products.unpersist()
         visitors.unpersist()
 
 
@@ -193,20 +205,19 @@ def start_expiring_visitors(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         now_ms, spark = clock(), batch.sparkSession
-        if batch_id and batch_id % compact_every == 0:
-            state, last = STATES["exact"], batch_id - 1
-            compact_view(
-                spark, view_path, state, upto=last,
-                keep=lambda rows: rows.where(_alive(now_ms, ttl_ms)),
-            )
-            live = latest_view(spark, view_path, state, before=batch_id)
-            live = live.select(*VIEW_KEYS, "generation")
-            compact_view(
-                spark, seen_path, SEEN, keys=(), upto=last,
-                keep=lambda rows: _join_salted(rows, live, live.columns, "left_semi"),
-            )
-            drop_compacted(spark, view_path)
-            drop_compacted(spark, seen_path)
+        compact_before(
+            spark, view_path, STATES["exact"], batch_id, compact_every,
+            keep=lambda rows: rows.where(_alive(now_ms, ttl_ms)),
+        )
+
+        def of_live_keys(rows: DataFrame) -> DataFrame:
+            live = read_changes(spark, view_path, STATES["exact"], before=batch_id)
+            live = last_per_key(live, VIEW_KEYS, BATCH_ID).where(_alive(now_ms, ttl_ms))
+            keys = [*VIEW_KEYS, "generation"]
+            return _join_salted(rows, live.select(*keys), keys, "left_semi")
+
+        compact_before(
+            spark, seen_path, SEEN, batch_id, compact_every, keys=(), keep=of_live_keys)
         merge_exact_batch(batch, path, batch_id, ttl_ms, now_ms)
 
     return start_batches(activity, on_batch, path, checkpoint, trigger)

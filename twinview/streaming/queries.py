@@ -16,9 +16,8 @@ from twinview.operators.reports import register
 from twinview.schema import MASTER_PARTITIONS, VIEW_KEYS
 from twinview.session import state_settings
 from twinview.streaming.changelog import (
-    compact_view,
+    compact_before,
     drop_batches,
-    drop_compacted,
     latest_view,
     write_changes,
 )
@@ -74,10 +73,7 @@ def upsert_view(
     schema = view.schema
 
     def on_batch(changes: DataFrame, batch_id: int) -> None:
-        if batch_id and batch_id % compact_every == 0:
-            # Only batches before this one, so that a replay of this one finds what it needs.
-            compact_view(changes.sparkSession, path, schema, keys, upto=batch_id - 1)
-            drop_compacted(changes.sparkSession, path)
+        compact_before(changes.sparkSession, path, schema, batch_id, compact_every, keys)
         write_changes(changes, path, batch_id)
 
     return start_batches(view, on_batch, path, checkpoint, trigger)
@@ -92,6 +88,7 @@ def publish_view(
     cache: bool = False,
     checkpoint: str | None = None,
     trigger: Mapping = EVERY_BATCH,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Keep SQL table ``name`` of the caller's session at the result of the newest micro-batch.
 
@@ -103,9 +100,11 @@ def publish_view(
 
     def on_batch(rows: DataFrame, batch_id: int) -> None:
         result = transform(rows) if transform else rows
+        if keys:
+            compact_before(spark, path, result.schema, batch_id, compact_every, keys)
         write_changes(result, path, batch_id)
         if keys:
-            table = latest_view(spark, path, result.schema, keys, before=batch_id + 1)
+            table = latest_view(spark, path, result.schema, keys)
         else:
             table = spark.read.schema(result.schema).parquet(f"{path}/changes/batch_id={batch_id}")
         if cache and spark.catalog.tableExists(name):
