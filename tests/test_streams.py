@@ -146,8 +146,10 @@ def test_idle_keys_expire_and_start_over(spark, land, tmp_path, kind, compact_ev
     assert alive(400) == {"B": 1}
 
 
-def test_hot_key_and_hot_visitor_are_counted_whole(spark, land, tmp_path):
+@pytest.mark.parametrize("hot_rows", [10, 10**6])
+def test_hot_key_and_hot_visitor_are_counted_whole(spark, land, tmp_path, monkeypatch, hot_rows):
     """One key has almost all clicks and one visitor most of these, over several batches."""
+    monkeypatch.setattr("twinview.streaming.expiry.HOT_ROWS", hot_rows)
     for n in range(3):
         folder = land(*(click(0, visitor=0 if i % 2 else n * 100 + i, product="HOT") for i in range(800)),
                       click(0, visitor=5, product="COLD"))
@@ -155,7 +157,8 @@ def test_hot_key_and_hot_visitor_are_counted_whole(spark, land, tmp_path):
     view = streaming.exact_visitors_stream(stream(spark, folder))
     finish(streaming.upsert_view(view, str(tmp_path / "a"), trigger=NOW))
     assert as_set(streaming.latest_view(spark, str(tmp_path / "a"), view.schema)) == expected
-    finish(streaming.start_expiring_visitors(stream(spark, folder), str(tmp_path / "b"), trigger=NOW))
+    finish(streaming.start_expiring_visitors(
+        stream(spark, folder), str(tmp_path / "b"), trigger=NOW, compact_every=2))
     assert as_set(live_view(spark, str(tmp_path / "b" / "view"), "exact")) == expected
     seen = read_changes(spark, str(tmp_path / "b" / "seen"), SEEN)
     assert seen.count() == seen.select(*SEEN.names).distinct().count()

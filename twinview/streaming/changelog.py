@@ -65,15 +65,15 @@ def read_changes(
     return compacted.unionByName(changes) if batches else compacted
 
 
-def of_keys(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], count: int) -> DataFrame:
-    """The rows that have one of the ``count`` wanted keys.
+def of_few_keys(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], count: int) -> DataFrame:
+    """The rows that have one of the ``count`` wanted keys; all rows if these are many.
 
     A few keys are sent to the rows, so that a big state is scanned but not shuffled for a small
-    micro-batch. Many keys are joined by a shuffle.
+    micro-batch. For many keys that would not pay: the join that follows sorts it out.
     """
-    wanted = wanted.select(*keys)
-    wanted = F.broadcast(wanted) if count <= MAX_BROADCAST_KEYS else wanted
-    return rows.join(wanted, list(keys), "left_semi")
+    if count > MAX_BROADCAST_KEYS:
+        return rows
+    return rows.join(F.broadcast(wanted.select(*keys)), list(keys), "left_semi")
 
 
 def latest_view(

@@ -22,7 +22,7 @@ from twinview.streaming.changelog import (
     BATCH_ID,
     compact_before,
     latest_view,
-    of_keys,
+    of_few_keys,
     read_changes,
     write_changes,
 )
@@ -32,7 +32,10 @@ from twinview.streaming.queries import COMPACT_EVERY, EVERY_SNAPSHOT, start_batc
 TTL_MS = 120 * 60 * 1000
 
 LAST_SEEN = "last_seen_ms"
-SALTS = 64
+
+# A key with more rows than this in one join is spread over several tasks.
+HOT_ROWS = 200_000
+MAX_HOT_KEYS = 10_000
 
 
 def _now_ms() -> int:
@@ -82,7 +85,7 @@ def _live(
 ) -> DataFrame:
     """The unexpired state before this batch of the keys in ``fresh``, which must be persisted."""
     changes = read_changes(fresh.sparkSession, path, STATES[kind], before=batch_id)
-    touched = of_keys(changes, fresh, VIEW_KEYS, fresh.count())
+    touched = of_few_keys(changes, fresh, VIEW_KEYS, fresh.count())
     return last_per_key(touched, VIEW_KEYS, BATCH_ID).drop(BATCH_ID).where(_alive(now_ms, ttl_ms))
 
 
@@ -141,13 +144,24 @@ def live_view(
     return view.where(_alive(_now_ms() if now_ms is None else now_ms, ttl_ms)).select(*layout.names)
 
 
-def _join_salted(
-    rows: DataFrame, keyed: DataFrame, on: Sequence[str], how: str, salts: int = SALTS
+def _join_by_key(
+    rows: DataFrame, keyed: DataFrame, on: Sequence[str], how: str, count: int
 ) -> DataFrame:
-    """Join rows that have a ``visitor`` to one row per key, a key's visitors over many tasks."""
-    salt = F.pmod(F.xxhash64("visitor"), F.lit(salts)).cast("int")
-    copies = keyed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn("salt", salt).join(copies, [*on, "salt"], how).drop("salt")
+    """Join ``count`` rows that have a ``visitor`` to one row per key.
+
+    The rows of a hot key are dealt out over several tasks by visitor, and its one row is copied to
+    each. A key is hot above HOT_ROWS rows or a MAX_HOT_KEYS-th of all rows, whichever is more: so
+    there are at most MAX_HOT_KEYS of them, and they can be broadcast.
+    """
+    hot_rows = max(HOT_ROWS, -(-count // MAX_HOT_KEYS))
+    sizes = rows.groupBy(*on).agg(F.ceil(F.count("*") / hot_rows).cast("int").alias("salts"))
+    hot = F.broadcast(sizes.where(F.col("salts") > 1))
+    salts = F.coalesce("salts", F.lit(1))
+    salted = rows.join(hot, list(on), "left").withColumn(
+        "salt", F.pmod(F.xxhash64("visitor"), salts).cast("int"))
+    copies = keyed.join(hot, list(on), "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return salted.drop("salts").join(copies.drop("salts"), [*on, "salt"], how).drop("salt")
 
 
 def merge_exact_batch(
@@ -170,9 +184,10 @@ def merge_exact_batch(
             F.coalesce("unique_visitors", F.lit(0).cast("long")).alias("before"),
         )
         known = visitors.where(F.col("visitor").isNotNull())
-        candidates = _join_salted(known, touched.drop("before"), VIEW_KEYS, "inner")
+        count = visitors.count()
+        candidates = _join_by_key(known, touched.drop("before"), VIEW_KEYS, "inner", count)
         seen = read_changes(spark, seen_path, SEEN, before=batch_id).drop(BATCH_ID)
-        seen = of_keys(seen, candidates, SEEN.names, visitors.count())
+        seen = of_few_keys(seen, candidates, SEEN.names, count)
         new = candidates.join(seen, SEEN.names, "left_anti").select(*SEEN.names)
         write_changes(new, seen_path, batch_id)
 
@@ -214,7 +229,7 @@ def start_expiring_visitors(
             live = read_changes(spark, view_path, STATES["exact"], before=batch_id)
             live = last_per_key(live, VIEW_KEYS, BATCH_ID).where(_alive(now_ms, ttl_ms))
             keys = [*VIEW_KEYS, "generation"]
-            return _join_salted(rows, live.select(*keys), keys, "left_semi")
+            return _join_by_key(rows, live.select(*keys), keys, "left_semi", rows.count())
 
         compact_before(
             spark, seen_path, SEEN, batch_id, compact_every, keys=(), keep=of_live_keys)
