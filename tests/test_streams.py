@@ -200,6 +200,25 @@ def test_state_is_looked_up_alike_by_broadcast_and_by_shuffle(spark, landed, tmp
     assert as_set(live_view(spark, f"{exact}/view", "exact")) == as_set(ops.visitors_by_product(clicks))
 
 
+def test_batches_without_a_good_line(spark, land, tmp_path):
+    land("broken")
+    land(click(0, product="A"))
+    folder = land("broken", "broken too")
+    view = streaming.activity_view_stream(stream(spark, folder))
+    finish(streaming.upsert_view(view, str(tmp_path / "a"), trigger=NOW, compact_every=1))
+    assert as_set(streaming.latest_view(spark, str(tmp_path / "a"), view.schema)) == [("A", 0, 0, 0, 1)]
+    for kind in ("activity", "visitors"):
+        finish(streaming.start_expiring_view(
+            stream(spark, folder), str(tmp_path / kind), kind, trigger=NOW, compact_every=1))
+        assert live_view(spark, str(tmp_path / kind), kind).count() == 1
+    finish(streaming.start_expiring_visitors(
+        stream(spark, folder), str(tmp_path / "e"), trigger=NOW, compact_every=1))
+    assert as_set(live_view(spark, str(tmp_path / "e" / "view"), "exact")) == [("A", 0, 1)]
+    finish(streaming.publish_view(
+        stream(spark, folder), "empty_batch", str(tmp_path / "p"), ops.activity_by_product, trigger=NOW))
+    assert spark.table("empty_batch").count() == 0
+
+
 def test_half_written_batches_are_not_read(spark, tmp_path):
     path, schema = str(tmp_path / "view"), STATES["clicks"]
     rows = spark.createDataFrame([("A", 0, 1, 0)], schema)

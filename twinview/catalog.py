@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinview import operators as ops
@@ -222,6 +222,25 @@ def approx_count_distinct_oneshot(spark: SparkSession, sf_dir: str) -> DataFrame
     return ops.approx_visitors_oneshot(_activity(spark, sf_dir), keys=["product"])
 
 
+@_query("""
+SELECT product, count(DISTINCT visitor) AS unique_visitors, true AS sketch_is_close,
+       true AS oneshot_is_close
+FROM clicks GROUP BY product""")
+def approx_visitors_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both estimates are within 10 %, six standard errors, of the exact number."""
+    clicks, keys = _activity(spark, sf_dir), ["product"]
+    exact = F.col("unique_visitors")
+    sketch = ops.approx_visitors_by_product(clicks, keys).toDF("product", "sketch")
+    oneshot = ops.approx_visitors_oneshot(clicks, keys).toDF("product", "oneshot")
+    both = ops.visitors_by_product(clicks, keys).join(sketch, keys).join(oneshot, keys)
+
+    def is_close(estimate: str) -> Column:
+        return (F.abs(F.col(estimate) - exact) <= F.greatest(F.lit(1), exact * 0.1)).alias(
+            f"{estimate}_is_close")
+
+    return both.select("product", exact, is_close("sketch"), is_close("oneshot"))
+
+
 @_query(f"""
 SELECT *, CASE WHEN purchase_count = 0 THEN 0
                ELSE page_view_count // purchase_count END AS under_exposed

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from twinview.schema import SOURCE_PROPS
 
-# A row of offset ranges is well under 200 bytes, so this many stay below 10 MB in every task.
-MAX_BROADCAST_RANGES = 50_000
+# Kafka allows 249 characters for a topic's name, so this many ranges stay below 10 MB.
+MAX_BROADCAST_RANGES = 30_000
 SALTS = 64
 
 

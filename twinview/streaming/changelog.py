@@ -21,8 +21,9 @@ from twinview.schema import VIEW_KEYS
 
 BATCH_ID = "batch_id"
 
-# A key is well under 200 bytes, so this many stay below 10 MB in every task.
-MAX_BROADCAST_KEYS = 50_000
+# Keys are broadcast as hashes of 8 bytes: a table of this many takes some 10 MB, however long the
+# keys are.
+MAX_BROADCAST_KEYS = 200_000
 
 
 def _numbers(spark: SparkSession, parent: str, name: str) -> list[int]:
@@ -66,14 +67,17 @@ def read_changes(
 
 
 def of_few_keys(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], count: int) -> DataFrame:
-    """The rows that have one of the ``count`` wanted keys; all rows if these are many.
+    """The rows that may have one of the ``count`` wanted keys; all rows if these are many.
 
-    A few keys are sent to the rows, so that a big state is scanned but not shuffled for a small
-    micro-batch. For many keys that would not pay: the join that follows sorts it out.
+    The hashes of a few keys are sent to the rows, so that a big state is scanned but not shuffled
+    for a small micro-batch. The join by key that must follow leaves out what only shares a hash,
+    and does all of the work if there are too many keys to send.
     """
     if count > MAX_BROADCAST_KEYS:
         return rows
-    return rows.join(F.broadcast(wanted.select(*keys)), list(keys), "left_semi")
+    hashes = wanted.select(F.xxhash64(*keys).alias("key_hash"))
+    hashed = rows.withColumn("key_hash", F.xxhash64(*keys))
+    return hashed.join(F.broadcast(hashes), "key_hash", "left_semi").drop("key_hash")
 
 
 def latest_view(

@@ -151,17 +151,23 @@ def _join_by_key(
 
     The rows of a hot key are dealt out over several tasks by visitor, and its one row is copied to
     each. A key is hot above HOT_ROWS rows or a MAX_HOT_KEYS-th of all rows, whichever is more: so
-    there are at most MAX_HOT_KEYS of them, and they can be broadcast.
+    there are at most MAX_HOT_KEYS of them, broadcast as a hash and a number each.
     """
     hot_rows = max(HOT_ROWS, -(-count // MAX_HOT_KEYS))
-    sizes = rows.groupBy(*on).agg(F.ceil(F.count("*") / hot_rows).cast("int").alias("salts"))
+    if count <= hot_rows:
+        return rows.join(keyed, list(on), how)
+    key_hash = F.xxhash64(*on).alias("key_hash")
+    sizes = rows.groupBy(key_hash).agg(F.ceil(F.count("*") / hot_rows).cast("int").alias("salts"))
     hot = F.broadcast(sizes.where(F.col("salts") > 1))
-    salts = F.coalesce("salts", F.lit(1))
-    salted = rows.join(hot, list(on), "left").withColumn(
-        "salt", F.pmod(F.xxhash64("visitor"), salts).cast("int"))
-    copies = keyed.join(hot, list(on), "left").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-    return salted.drop("salts").join(copies.drop("salts"), [*on, "salt"], how).drop("salt")
+
+    def salted(side: DataFrame, salt: Callable[[Column], Column]) -> DataFrame:
+        with_salts = side.withColumn("key_hash", key_hash).join(hot, "key_hash", "left")
+        salts = F.coalesce("salts", F.lit(1))
+        return with_salts.withColumn("salt", salt(salts)).drop("key_hash", "salts")
+
+    dealt = salted(rows, lambda n: F.pmod(F.xxhash64("visitor"), n).cast("int"))
+    copied = salted(keyed, lambda n: F.explode(F.sequence(F.lit(0), n - 1)))
+    return dealt.join(copied, [*on, "salt"], how).drop("salt")
 
 
 def merge_exact_batch(
@@ -176,18 +182,18 @@ def merge_exact_batch(
     view_path, seen_path = f"{path}/view", f"{path}/seen"
     visitors = activity.select(*VIEW_KEYS, "visitor").distinct().persist()
     products = visitors.select(*VIEW_KEYS).distinct().persist()
+    live = _live(products, view_path, batch_id, "exact", ttl_ms, now_ms)
+    touched = products.join(live, list(VIEW_KEYS), "left").select(
+        *VIEW_KEYS,
+        F.coalesce("generation", F.lit(batch_id).cast("long")).alias("generation"),
+        F.coalesce("unique_visitors", F.lit(0).cast("long")).alias("before"),
+    ).persist()
     try:
-        live = _live(products, view_path, batch_id, "exact", ttl_ms, now_ms)
-        touched = products.join(live, list(VIEW_KEYS), "left").select(
-            *VIEW_KEYS,
-            F.coalesce("generation", F.lit(batch_id).cast("long")).alias("generation"),
-            F.coalesce("unique_visitors", F.lit(0).cast("long")).alias("before"),
-        )
         known = visitors.where(F.col("visitor").isNotNull())
         count = visitors.count()
         candidates = _join_by_key(known, touched.drop("before"), VIEW_KEYS, "inner", count)
         seen = read_changes(spark, seen_path, SEEN, before=batch_id).drop(BATCH_ID)
-        seen = of_few_keys(seen, candidates, SEEN.names, count)
+        seen = of_few_keys(seen, known, [*VIEW_KEYS, "visitor"], count)
         new = candidates.join(seen, SEEN.names, "left_anti").select(*SEEN.names)
         write_changes(new, seen_path, batch_id)
 
@@ -201,8 +207,8 @@ def merge_exact_batch(
         )
         write_changes(changes.select(*STATES["exact"].names), view_path, batch_id)
     finally:
-        products.unpersist()
-        visitors.unpersist()
+        for kept in (touched, products, visitors):
+            kept.unpersist()
 
 
 def start_expiring_visitors(
