@@ -26,7 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-TOPIC = "weblogs-text"
+TOPIC = "clicks"
 KAFKA_PARTITIONS = 2
 AS_OF = 1_706_616_000  # 2024-01-30 12:00:00 UTC
 THREE_PRODUCTS = ("Product - 7", "Product - 42", "Product - 99")
@@ -190,8 +190,9 @@ def visitors_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 def visitors_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     ops.register(_activity(spark, sf_dir), "activity")
     return spark.sql("""
-        SELECT product, timestamp_hour, count(DISTINCT visitor) AS unique_visitors
-        FROM activity GROUP BY product, timestamp_hour""")
+        WITH visits AS (SELECT DISTINCT product, timestamp_hour, visitor FROM activity)
+        SELECT product, timestamp_hour, count(visitor) AS unique_visitors
+        FROM visits GROUP BY ALL""")
 
 
 @_query(_visitors_sql("product"))
@@ -249,7 +250,7 @@ def under_exposed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.under_exposed(ops.activity_by_product(_activity(spark, sf_dir, DAY_MS)))
 
 
-@_query(f"{RECORD_SQL} WHERE {AS_OF} - timestamp_hour / 1000 <= 60 * 60 * 6")
+@_query(f"{RECORD_SQL} WHERE {AS_OF * 1000} - timestamp_hour <= 6 * {HOUR_MS}")
 def recent_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.recent(_activity(spark, sf_dir), hours=6, as_of=AS_OF).select(*RECORD)
 
@@ -371,7 +372,7 @@ def latest_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 BATCH_JOB_SQL = f"""
 SELECT product, timestamp_day AS timestamp_hour, {{columns}} FROM clicks
-WHERE {AS_OF} - timestamp_day / 1000 <= 60 * 60 * 72 GROUP BY ALL"""
+WHERE {AS_OF * 1000} - timestamp_day <= 72 * {HOUR_MS} GROUP BY ALL"""
 
 
 def _batch_job(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
