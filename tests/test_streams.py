@@ -1,5 +1,6 @@
 import glob
 import os
+import random
 
 import pytest
 
@@ -146,6 +147,40 @@ def test_idle_keys_expire_and_start_over(spark, land, tmp_path, kind, compact_ev
     assert alive(400) == {"B": 1}
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("kind", ["activity", "exact"])
+def test_expiry_equals_brute_force(spark, land, tmp_path, monkeypatch, kind, seed):
+    """Seven batches of random clicks at random times, some keys idle for longer than the limit."""
+    monkeypatch.setattr("twinview.streaming.expiry.HOT_ROWS", 5)
+    rng, now, ttl, state, times = random.Random(seed), 0, 50, {}, []
+    for _ in range(7):
+        now += rng.choice([5, 20, 49, 51])
+        times.append(now)
+        clicks = [
+            (f"P{rng.randrange(12)}", rng.randrange(2) * HOUR_MS, rng.randrange(6))
+            for _ in range(rng.choice([3, 15, 40]))
+        ]
+        folder = land(*(click(ts, visitor=v, product=p) for p, ts, v in clicks))
+        live = {k: old for k, old in state.items() if now - old[0] <= ttl}
+        for p, ts, v in clicks:
+            live[p, ts] = (now, [*live.get((p, ts), (0, []))[1], v])
+        state = live
+    path, options = str(tmp_path / "view"), {
+        "ttl_ms": ttl, "clock": iter(times).__next__, "trigger": NOW, "compact_every": 3}
+    if kind == "exact":
+        finish(streaming.start_expiring_visitors(stream(spark, folder), path, **options))
+        path = f"{path}/view"
+    else:
+        finish(streaming.start_expiring_view(stream(spark, folder), path, kind, **options))
+    for later in (0, 30, 60):
+        view = live_view(spark, path, kind, ttl, now + later)
+        value = "page_view_count" if kind == "activity" else "unique_visitors"
+        assert as_set(view, *VIEW_KEYS, value) == sorted(
+            (*key, len(seen) if kind == "activity" else len(set(seen)))
+            for key, (last, seen) in state.items() if now + later - last <= ttl
+        )
+
+
 @pytest.mark.parametrize("hot_rows", [10, 10**6])
 def test_hot_key_and_hot_visitor_are_counted_whole(spark, land, tmp_path, monkeypatch, hot_rows):
     """One key has almost all clicks and one visitor most of these, over several batches."""
