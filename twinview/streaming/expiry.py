@@ -22,7 +22,7 @@ from twinview.streaming.changelog import (
     BATCH_ID,
     compact_before,
     latest_view,
-    of_few_keys,
+    near,
     read_changes,
     write_changes,
 )
@@ -85,7 +85,7 @@ def _live(
 ) -> DataFrame:
     """The unexpired state before this batch of the keys in ``fresh``, which must be persisted."""
     changes = read_changes(fresh.sparkSession, path, STATES[kind], before=batch_id)
-    touched = of_few_keys(changes, fresh, VIEW_KEYS, fresh.count())
+    touched, _ = near(changes, fresh, VIEW_KEYS)
     return last_per_key(touched, VIEW_KEYS, BATCH_ID).drop(BATCH_ID).where(_alive(now_ms, ttl_ms))
 
 
@@ -190,10 +190,9 @@ def merge_exact_batch(
     ).persist()
     try:
         known = visitors.where(F.col("visitor").isNotNull())
-        count = visitors.count()
-        candidates = _join_by_key(known, touched.drop("before"), VIEW_KEYS, "inner", count)
         seen = read_changes(spark, seen_path, SEEN, before=batch_id).drop(BATCH_ID)
-        seen = of_few_keys(seen, known, [*VIEW_KEYS, "visitor"], count)
+        seen, count = near(seen, known, [*VIEW_KEYS, "visitor"])
+        candidates = _join_by_key(known, touched.drop("before"), VIEW_KEYS, "inner", count)
         new = candidates.join(seen, SEEN.names, "left_anti").select(*SEEN.names)
         write_changes(new, seen_path, batch_id)
 
