@@ -86,6 +86,14 @@ def test_restart_goes_on_where_it_stopped(spark, land, tmp_path):
         land(click(0, "purchase", 3, "P"))
 
 
+def test_a_table_is_not_continued_with_another_checkpoint(spark, land, tmp_path):
+    folder, path = land(click()), str(tmp_path / "view")
+    finish(streaming.start_expiring_visitors(stream(spark, folder), path, trigger=NOW))
+    with pytest.raises(ValueError, match="not its checkpoint"):
+        streaming.start_expiring_visitors(
+            stream(spark, folder), path, checkpoint=str(tmp_path / "other"), trigger=NOW)
+
+
 def forget_last_commit(checkpoint):
     """As if the job was lost after the last batch wrote its rows, before it was committed."""
     last = max(glob.glob(f"{checkpoint}/commits/[0-9]*"), key=lambda f: int(os.path.basename(f)))

@@ -186,13 +186,11 @@ def visitors_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.visitors_by_product(_activity(spark, sf_dir))
 
 
-@_query(_visitors_sql())
+@_query(_visitors_sql("product"))
 def visitors_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     ops.register(_activity(spark, sf_dir), "activity")
-    return spark.sql("""
-        WITH visits AS (SELECT DISTINCT product, timestamp_hour, visitor FROM activity)
-        SELECT product, timestamp_hour, count(visitor) AS unique_visitors
-        FROM visits GROUP BY ALL""")
+    return spark.sql(
+        "SELECT product, count(DISTINCT visitor) AS unique_visitors FROM activity GROUP BY ALL")
 
 
 @_query(_visitors_sql("product"))
@@ -250,7 +248,7 @@ def under_exposed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.under_exposed(ops.activity_by_product(_activity(spark, sf_dir, DAY_MS)))
 
 
-@_query(f"{RECORD_SQL} WHERE {AS_OF * 1000} - timestamp_hour <= 6 * {HOUR_MS}")
+@_query(f"{RECORD_SQL} WHERE timestamp_hour >= {(AS_OF - 6 * 3600) * 1000}")
 def recent_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.recent(_activity(spark, sf_dir), hours=6, as_of=AS_OF).select(*RECORD)
 
@@ -372,7 +370,7 @@ def latest_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 BATCH_JOB_SQL = f"""
 SELECT product, timestamp_day AS timestamp_hour, {{columns}} FROM clicks
-WHERE {AS_OF * 1000} - timestamp_day <= 72 * {HOUR_MS} GROUP BY ALL"""
+WHERE timestamp_day >= {(AS_OF - 72 * 3600) * 1000} GROUP BY ALL"""
 
 
 def _batch_job(spark: SparkSession, sf_dir: str) -> tuple[str, str]:

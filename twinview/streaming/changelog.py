@@ -33,6 +33,11 @@ def _numbers(spark: SparkSession, parent: str, name: str) -> list[int]:
     return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def write_changes(changes: DataFrame, path: str, batch_id: int) -> None:
     """Store what one micro-batch changed, replacing an earlier try of the same batch."""
     changes.write.mode("overwrite").parquet(f"{path}/changes/{BATCH_ID}={batch_id}")

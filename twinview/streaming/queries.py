@@ -18,6 +18,7 @@ from twinview.session import state_settings
 from twinview.streaming.changelog import (
     compact_before,
     drop_batches,
+    folder_exists,
     latest_view,
     write_changes,
 )
@@ -36,13 +37,20 @@ def start_batches(
     path: str,
     checkpoint: str | None,
     trigger: Mapping,
-    mode: str = "update",
 ) -> StreamingQuery:
-    """Run ``on_batch`` on every micro-batch."""
-    with state_settings(stream.sparkSession):
+    """Run ``on_batch`` on every micro-batch.
+
+    A checkpoint of its own would number the micro-batches from 0 again, below those already in the
+    table, so a table of another query is refused.
+    """
+    spark, checkpoint = stream.sparkSession, checkpoint or f"{path}/_checkpoint"
+    used = any(folder_exists(spark, f"{path}/{name}") for name in ("changes", "base", "view"))
+    if used and not folder_exists(spark, checkpoint):
+        raise ValueError(f"{path} has a table, but {checkpoint} is not its checkpoint")
+    with state_settings(spark):
         return (
-            stream.writeStream.outputMode(mode).foreachBatch(on_batch)
-            .option("checkpointLocation", checkpoint or f"{path}/_checkpoint")
+            stream.writeStream.outputMode("update").foreachBatch(on_batch)
+            .option("checkpointLocation", checkpoint)
             .trigger(**trigger).start()
         )
 
