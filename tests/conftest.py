@@ -11,7 +11,7 @@ from twinview.session import build_session
 def spark() -> SparkSession:
     session = build_session(
         "tests", "local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false"},
+        {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

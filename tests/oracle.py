@@ -48,7 +48,7 @@ def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
 
     spark: SparkSession = build_session(
         "oracle", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"},
+        {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles, failed = connect(sf_dir), contract.oracle_sql(), 0

@@ -114,15 +114,15 @@ def encoded_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each click's line with a line end, and for most kinds of events a damaged copy of it."""
     clicks = _activity(spark, sf_dir)
-    line = ops.encode_activity(clicks).columns[0]
     whole = tab_line(*(F.col(c) for c in ("ts_ms", *RECORD[1:])))
+    without_product = tab_line(*(F.col(c) for c in ("ts_ms", *RECORD[1:-1])), F.lit(""))
     copy = (
         F.when(F.col("action") == "error", F.concat(whole, F.lit("\t"), whole))  # glued lines
-        .when(F.col("action") == "signup", tab_line(*(F.col(c) for c in ("ts_ms", *RECORD[1:-1])), F.lit("")))
+        .when(F.col("action") == "signup", without_product)
         .when(F.col("action") == "purchase", F.concat(F.lit("x"), whole))
     )
     lines = F.array(F.concat(whole, F.lit("\r\n")), copy)
-    return clicks.select(F.explode(lines).alias(line)).where(F.col(line).isNotNull())
+    return clicks.select(F.explode(lines).alias("value")).where(F.col("value").isNotNull())
 
 
 @_query(RECORD_SQL)
@@ -151,7 +151,8 @@ FROM part""")
 def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_table_dir(spark, "products")
     line = F.concat("p_brand", F.lit(',"'), "p_name", F.lit(", "), "p_type", F.lit('"'))
-    sinks.write_lines(spark.read.parquet(f"{sf_dir}/part.parquet").select(line.alias("value")), path=path)
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    sinks.write_lines(parts.select(line.alias("value")), path=path)
     return sources.read_products(spark, path)
 
 
@@ -485,7 +486,8 @@ def stream_expiring_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_published_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = streaming.activity_view_stream(_activity_stream(spark, sf_dir))
     path = new_table_dir(spark, "published")
-    streaming.publish_view(view, "activityByProduct", path, keys=BOTH, trigger=NOW).awaitTermination()
+    query = streaming.publish_view(view, "activityByProduct", path, keys=BOTH, trigger=NOW)
+    query.awaitTermination()
     return spark.table("activityByProduct")
 
 

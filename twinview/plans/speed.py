@@ -36,7 +36,8 @@ def start_pipeline(
     activity = parse_activity(lines, bucket_ms)
     activity_path = f"{views_path}/stream_activity_by_product"
     visitors_path = f"{views_path}/stream_visitors_by_product"
-    queries = {"master": append_master_stream(flatten_props(activity), master_path, trigger=master_trigger)}
+    flat = flatten_props(activity)
+    queries = {"master": append_master_stream(flat, master_path, trigger=master_trigger)}
     if ttl_ms is None:
         queries["activity"] = upsert_view(
             activity_view_stream(activity), activity_path, trigger=view_trigger)

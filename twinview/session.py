@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -26,13 +26,14 @@ STATE_SETTINGS = {
 }
 
 
-def build_session(app: str, master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the settings the operators are planned for; ``extra`` uses _ for dots."""
+def build_session(
+    app: str, master: str | None = None, settings: Mapping[str, str] | None = None
+) -> SparkSession:
+    """A session with the settings the operators are planned for, and those given."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    options = SETTINGS | STATE_SETTINGS | {k.replace("_", "."): v for k, v in extra.items()}
-    for key, value in options.items():
+    for key, value in (SETTINGS | STATE_SETTINGS | dict(settings or {})).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
