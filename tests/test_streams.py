@@ -10,7 +10,7 @@ from twinview import sources, streaming
 from twinview.functions import HOUR_MS, MINUTE_MS
 from twinview.plans import start_pipeline
 from twinview.schema import VIEW_KEYS
-from twinview.streaming.changelog import read_changes
+from twinview.streaming.changelog import near, read_changes
 from twinview.streaming.expiry import SEEN, STATES, live_view
 
 NOW = {"availableNow": True}
@@ -262,6 +262,18 @@ def test_batches_without_a_good_line(spark, land, tmp_path):
     assert spark.table("empty_batch").count() == 0
 
 
+def test_state_lookup_reads_few_buckets_and_shuffles_nothing(spark, tmp_path):
+    path, schema = str(tmp_path / "view"), STATES["clicks"]
+    rows = [(f"P{p}", h * HOUR_MS, 1, 0) for p in range(5) for h in range(9)]
+    streaming.write_changes(spark.createDataFrame(rows, schema), path, 0)
+    batch = spark.createDataFrame([("P1", 3 * HOUR_MS), ("P2", 4 * HOUR_MS)], schema.fieldNames()[:2])
+    found, count = near(read_changes(spark, path, schema), batch, VIEW_KEYS)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert count == 2 and as_set(found, *VIEW_KEYS) == as_set(batch)
+    assert f"GreaterThanOrEqual(timestamp_hour,{3 * HOUR_MS})" in plan
+    assert "Exchange hashpartitioning" not in plan
+
+
 def test_half_written_batches_are_not_read(spark, tmp_path):
     path, schema = str(tmp_path / "view"), STATES["clicks"]
     rows = spark.createDataFrame([("A", 0, 1, 0)], schema)
