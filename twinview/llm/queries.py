@@ -1,10 +1,14 @@
 """The queries opN_<name>, each applying one operator to its whole table, and their SQL."""
 
-from twinview.llm import mix
+from twinview.llm import chunks, mix, transducer, warc
 
 QUERIES = {
+    "op1_transducer_counts": transducer.op1_transducer_counts,
     "op3_sainte_lague_mix": mix.op3_sainte_lague_mix,
+    "op4_warc_segments": warc.op4_warc_segments,
+    "op7_chunk_table": chunks.op7_chunk_table,
 }
 ORACLES = {
     "op3_sainte_lague_mix": mix.ORACLE,
+    "op4_warc_segments": warc.ORACLE,
 }
