@@ -26,8 +26,9 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def rows(frame: pd.DataFrame) -> list[tuple]:
-    frame = frame[sorted(frame.columns)]
-    return sorted(frame.itertuples(index=False, name=None))
+    frame = frame[sorted(frame.columns)].astype(object)
+    frame = frame.where(frame.notna(), None)
+    return sorted(frame.itertuples(index=False, name=None), key=lambda r: [(v is None, v) for v in r])
 
 
 def difference(result: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
