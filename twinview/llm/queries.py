@@ -1,12 +1,14 @@
 """The queries opN_<name>, each applying one operator to its whole table, and their SQL."""
 
-from twinview.llm import chunks, mix, transducer, warc
+from twinview.llm import chunks, hnsw, lines, mix, transducer, warc
 
 QUERIES = {
     "op1_transducer_counts": transducer.op1_transducer_counts,
     "op3_sainte_lague_mix": mix.op3_sainte_lague_mix,
     "op4_warc_segments": warc.op4_warc_segments,
+    "op6_line_frequency": lines.op6_line_frequency,
     "op7_chunk_table": chunks.op7_chunk_table,
+    "op10_hnsw_shards": hnsw.op10_hnsw_shards,
 }
 ORACLES = {
     "op3_sainte_lague_mix": mix.ORACLE,
