@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from twinview.session import new_table_dir
+
 # Weights of the sources in order of their names, repeating (fixed values).
 WEIGHTS = (5, 2, 1)
 BLOCK_TOKENS = 8
@@ -75,8 +77,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeat: in
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_tokens: int = BLOCK_TOKENS,
-        shards: int = SHARDS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
-    """Every row of ``docs`` as the struct ``doc``, with what the mix takes of it.
+        shards: int = SHARDS, max_repeat: int = MAX_REPEAT, seed: str = SEED, keep: list[str] | None = None) -> DataFrame:
+    """Every row of ``docs`` as the struct ``doc`` (of the columns ``keep``, all by default), with
+    what the mix takes of it. The sums by shard are written to the shared folder first.
 
     size: its words; source_size, target: of its source; taken: its words in the mix, repeats
     counted; copies: whole copies a mix of whole documents has (blocks' first words decide).
@@ -88,13 +91,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_tokens: int =
     """
     key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
     rows = docs.select(
-        F.struct("*").alias("doc"), key.alias("_key"), "source",
+        F.struct(*(keep or docs.columns)).alias("doc"), key.alias("_key"), "source", F.col("doc_id").alias("_id"),
         _draw(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_draw"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     rows = rows.withColumn("_shard", F.col("_draw") % shards)
 
-    sums = rows.groupBy("_key", "_shard").agg(F.first("source").alias("source"), F.sum("size").alias("_votes"))
-    sizes = sums.groupBy("_key").agg(F.first("source").alias("source"), F.sum("_votes").alias("source_size"))
+    path = new_table_dir(docs.sparkSession, "mix-sums")
+    rows.groupBy("_key", "source", "_shard").agg(F.sum("size").alias("_votes")).write.parquet(path)
+    sums = docs.sparkSession.read.parquet(path)
+    rows = rows.drop("source")
+    sizes = sums.groupBy("_key", "source").agg(F.sum("_votes").alias("source_size"))
     sources = targets(sizes, weights, max_repeat).withColumn("_all", F.lit(0))
     sources = sources.withColumn("_seats", F.round(F.col("whole") / block_tokens).cast("long"))
     sources = _apportioned(sources, ["_all"], "_seats", "target", "whole", ["_key"])
@@ -107,7 +113,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_tokens: int =
         (_draw(F.lit(seed), F.col("_key"), F.col("_shard").cast("string"))
          % F.greatest(F.floor(F.col("_votes") / block_tokens), F.lit(1)) * block_tokens).alias("_from"))
 
-    tape = Window.partitionBy("_key", "_shard").orderBy("_draw", "doc.doc_id", "size")
+    tape = Window.partitionBy("_key", "_shard").orderBy("_draw", "_id", "size")
     end = F.sum("size").over(tape.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     placed = rows.join(quotas, ["_key", "_shard"]).withColumn("_end", end).withColumn("_begin", F.col("_end") - F.col("size"))
     divisor = F.nullif(F.col("_s"), F.lit(0))
@@ -132,7 +138,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_tokens: int =
 def op3_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by the weights 5, 2, 1: words taken of each."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    return mix(docs).select("doc.doc_id", "size", "source_size", "target", "taken")
+    return mix(docs, keep=["doc_id"]).select("doc.doc_id", "size", "source_size", "target", "taken")
 
 
 _APPORTION = """
