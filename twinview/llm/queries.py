@@ -1,6 +1,6 @@
 """The queries opN_<name>, each applying one operator to its whole table, and their SQL."""
 
-from twinview.llm import chunks, hnsw, lines, mix, transducer, warc
+from twinview.llm import chunks, hnsw, lines, mix, toxicity, transducer, warc
 
 QUERIES = {
     "op1_transducer_counts": transducer.op1_transducer_counts,
@@ -8,6 +8,7 @@ QUERIES = {
     "op4_warc_segments": warc.op4_warc_segments,
     "op6_line_frequency": lines.op6_line_frequency,
     "op7_chunk_table": chunks.op7_chunk_table,
+    "op8_noisy_channel": toxicity.op8_noisy_channel,
     "op10_hnsw_shards": hnsw.op10_hnsw_shards,
 }
 ORACLES = {
