@@ -40,3 +40,17 @@ def quality(rows, line_docs, line_share, kept_share, min_words=10, max_repeat_sh
         out.append((doc, len(found), sum(map(len, found)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)),
                     len(repeated), failed, not failed and left >= min_words and left >= kept_share * len(found)))
     return out
+
+
+def repeats(rows, width=20):
+    """(doc_id, n_words, n_removed, sha256 of the kept words) of (doc_id, text)."""
+    seen, out = set(), []
+    for doc, text in sorted(rows, key=lambda r: r[0]):
+        found, gone = words(text), set()
+        for i in range(len(found) - width + 1):
+            window = tuple(found[i : i + width])
+            if window in seen:
+                gone.update(range(i, i + width))
+            seen.add(window)
+        out.append((doc, len(found), len(gone), sha256(" ".join(w for i, w in enumerate(found) if i not in gone))))
+    return out

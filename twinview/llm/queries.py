@@ -1,11 +1,12 @@
 """The queries opN_<name>, each applying one operator to its whole table, and their SQL."""
 
-from twinview.llm import chunks, hnsw, lines, mix, toxicity, transducer, warc
+from twinview.llm import chunks, hnsw, lines, mix, repeats, toxicity, transducer, warc
 
 QUERIES = {
     "op1_transducer_counts": transducer.op1_transducer_counts,
     "op3_sainte_lague_mix": mix.op3_sainte_lague_mix,
     "op4_warc_segments": warc.op4_warc_segments,
+    "op5_count_min_windows": repeats.op5_count_min_windows,
     "op6_line_frequency": lines.op6_line_frequency,
     "op7_chunk_table": chunks.op7_chunk_table,
     "op8_noisy_channel": toxicity.op8_noisy_channel,
