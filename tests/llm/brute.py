@@ -54,3 +54,17 @@ def repeats(rows, width=20):
             seen.add(window)
         out.append((doc, len(found), len(gone), sha256(" ".join(w for i, w in enumerate(found) if i not in gone))))
     return out
+
+
+def cut(rows, length=100):
+    """(doc_id, n_bytes, n_removed, n_spans, sha256 of the kept bytes) of (doc_id, text)."""
+    seen, out = set(), []
+    for doc, text in sorted(rows, key=lambda r: r[0]):
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - length + 1):
+            if (part := hash(data[i : i + length])) in seen:
+                gone[i : i + length] = b"\1" * length
+            seen.add(part)
+        out.append((doc, len(data), sum(gone), sum(a and not b for a, b in zip(gone, b"\0" + gone[:-1])), sha256(bytes(c for c, g in zip(data, gone) if not g))))
+    return out

@@ -21,7 +21,7 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 _MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
-_LONG = 64
+_LONG = 256
 
 
 @dataclass

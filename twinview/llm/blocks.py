@@ -82,16 +82,15 @@ def first_ones(keys: list[np.ndarray], owners: np.ndarray) -> np.ndarray:
 
 
 def deltas(sorted_values: np.ndarray) -> bytes:
-    """Ascending numbers as their differences, two bytes each if these fit, else eight."""
+    """Ascending numbers as their differences, in two, four or eight bytes each, as fits."""
     if not len(sorted_values):
         return b""
     steps = np.diff(sorted_values, prepend=sorted_values.dtype.type(0))
-    if int(steps.max()) < 1 << 16:
-        return b"\x02" + steps.astype("<u2").tobytes()
-    return b"\x08" + steps.astype("<u8").tobytes()
+    size = next(n for n in (2, 4, 8) if n == 8 or int(steps.max()) < 1 << 8 * n)
+    return bytes([size]) + steps.astype(f"<u{size}").tobytes()
 
 
 def undeltas(body: memoryview | bytes) -> np.ndarray:
     if not len(body):
         return np.zeros(0, np.int64)
-    return np.cumsum(np.frombuffer(body[1:], "<u2" if body[0] == 2 else "<u8"), dtype=np.int64)
+    return np.cumsum(np.frombuffer(body[1:], f"<u{body[0]}"), dtype=np.int64)

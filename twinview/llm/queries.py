@@ -1,6 +1,6 @@
 """The queries opN_<name>, each applying one operator to its whole table, and their SQL."""
 
-from twinview.llm import chunks, hnsw, lines, mix, repeats, toxicity, transducer, warc
+from twinview.llm import chunks, hnsw, lines, mix, repeats, suffixes, toxicity, transducer, warc
 
 QUERIES = {
     "op1_transducer_counts": transducer.op1_transducer_counts,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_line_frequency": lines.op6_line_frequency,
     "op7_chunk_table": chunks.op7_chunk_table,
     "op8_noisy_channel": toxicity.op8_noisy_channel,
+    "op9_induced_suffixes": suffixes.op9_induced_suffixes,
     "op10_hnsw_shards": hnsw.op10_hnsw_shards,
 }
 ORACLES = {
