@@ -68,3 +68,30 @@ def cut(rows, length=100):
             seen.add(part)
         out.append((doc, len(data), sum(gone), sum(a and not b for a, b in zip(gone, b"\0" + gone[:-1])), sha256(bytes(c for c, g in zip(data, gone) if not g))))
     return out
+
+
+def shingle_set(text, width):
+    found = words((text or "").translate({c: c + 32 for c in range(65, 91)}))
+    return {tuple(found[i : i + width]) for i in range(len(found) - width + 1)} or ({tuple(found)} if found else set())
+
+
+def near(rows, width, percent=80):
+    """(doc_id, n_shingles, component_id, kept) of (doc_id, text), by comparing all pairs."""
+    sets = {doc: shingle_set(text, width) for doc, text in rows}
+    parent = {doc: doc for doc in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    having = defaultdict(list)
+    for doc in sorted(sets):
+        shared = Counter(other for shingle in sets[doc] for other in having[shingle])
+        for other, n in shared.items():
+            if 100 * n >= percent * (len(sets[doc]) + len(sets[other]) - n):
+                a, b = sorted((root(doc), root(other)))
+                parent[b] = a
+        for shingle in sets[doc]:
+            having[shingle].append(doc)
+    return [(doc, len(sets[doc]), root(doc), root(doc) == doc) for doc in sets]

@@ -1,9 +1,10 @@
 """The queries opN_<name>, each applying one operator to its whole table, and their SQL."""
 
-from twinview.llm import chunks, hnsw, lines, mix, repeats, suffixes, toxicity, transducer, warc
+from twinview.llm import chunks, hnsw, lines, mix, near, repeats, suffixes, toxicity, transducer, warc
 
 QUERIES = {
     "op1_transducer_counts": transducer.op1_transducer_counts,
+    "op2_hamming_join": near.op2_hamming_join,
     "op3_sainte_lague_mix": mix.op3_sainte_lague_mix,
     "op4_warc_segments": warc.op4_warc_segments,
     "op5_count_min_windows": repeats.op5_count_min_windows,
