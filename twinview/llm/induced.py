@@ -22,33 +22,56 @@ from collections.abc import Iterator
 
 import numpy as np
 
-MEMORY_BYTES = 64 << 20
+MEMORY_BYTES = 192 << 20
+EXTENT_BYTES = 64 << 20
 SLICE = 1 << 20
 #: The recursion goes on while names are few enough for queues, else tuples are doubled.
 FEW_NAMES = 64
 
 
 class Scratch:
-    """Arrays in memory up to a bound, beyond it in a nameless file of this task."""
+    """Arrays in memory up to a bound, beyond it in extents of a nameless file of this task.
+
+    An extent that holds no array any more is used again.
+    """
 
     def __init__(self, memory_bytes: int = MEMORY_BYTES):
         self.left, self.file, self.at, self.spilled = memory_bytes, None, 0, 0
-
-    def array(self, size: int, kind: np.dtype | type, fill: int | None = 0) -> np.ndarray:
+        self.extents: dict[int, np.memmap] = {}  # by first address
+        self.used: dict[int, list[int]] = {}  # bytes given and arrays alive
+        self.open: int | None = None
+
+    def _extent(self, need: int) -> int:
+        for address, (given, alive) in self.used.items():
+            if (address == self.open or not alive) and (0 if not alive else given) + need <= len(self.extents[address]):
+                if not alive:
+                    self.used[address] = [0, 0]
+                self.open = address
+                return address
+        if self.file is None:
+            self.file = tempfile.TemporaryFile()
+        size = -(-max(need, EXTENT_BYTES) // 4096) * 4096
+        self.file.truncate(self.at + size)
+        extent = np.memmap(self.file, np.uint8, "r+", self.at, (size,))
+        self.at += size
+        self.open = extent.ctypes.data
+        self.extents[self.open], self.used[self.open] = extent, [0, 0]
+        return self.open
+
+    def array(self, size: int, kind: np.dtype | type) -> np.ndarray:
+        """An array of zeros."""
         kind = np.dtype(kind)
         need = size * kind.itemsize
-        if need <= self.left:
+        if need <= self.left or not need:
             self.left -= need
-            return np.full(size, fill, kind) if fill else np.zeros(size, kind)
-        if self.file is None:
-            self.file = tempfile.TemporaryFile()
-        self.file.truncate(self.at + need)
-        out = np.memmap(self.file, kind, "r+", self.at, (size,))
-        self.at += -(-need // 4096) * 4096
+            return np.zeros(size, kind)
+        room = -(-need // 64) * 64
+        address = self._extent(room)
+        given = self.used[address][0]
+        self.used[address] = [given + room, self.used[address][1] + 1]
         self.spilled += need
-        if fill:
-            for first in range(0, size, SLICE):
-                out[first : first + SLICE] = fill
+        out = self.extents[address][given : given + need].view(np.ndarray).view(kind)
+        out[:] = 0
         return out
 
     def keep(self, values: np.ndarray) -> np.ndarray:
@@ -57,8 +80,12 @@ class Scratch:
         return out
 
     def free(self, values: np.ndarray) -> None:
-        if not isinstance(values, np.memmap):
-            self.left += values.nbytes
+        where = values.ctypes.data
+        for address, extent in self.extents.items():
+            if address <= where < address + len(extent) and len(values):
+                self.used[address][1] -= 1
+                return
+        self.left += values.nbytes
 
 
 class Queue:
@@ -155,55 +182,95 @@ def sorted_ranks(keys: np.ndarray, scratch: Scratch) -> tuple[np.ndarray, np.nda
     return ranks, order
 
 
-def _paired(first: np.ndarray, second: np.ndarray, scratch: Scratch) -> np.ndarray:
-    """Ranks of pairs of ranks."""
-    step = int(second.max(initial=0)) + 1
-    keys = scratch.array(len(first), np.int64)
-    for part in _slices(len(first)):
-        keys[part] = first[part] * step + second[part]
-    ranks, _ = sorted_ranks(keys, scratch)
-    scratch.free(keys)
-    return ranks
+def _refined(ranks: np.ndarray, active: np.ndarray, keys: np.ndarray, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
+    """``ranks`` of the active ones told apart by their keys as well; those still in a tie.
 
-
-def _names(text: np.ndarray, rise: np.ndarray, starts: np.ndarray, depth: int, scratch: Scratch) -> np.ndarray:
-    """Ranks of the substrings from one start to the next (itself included), as far as ``depth``.
-
-    A substring is read as characters with their type, some to a key; equal beginnings are told
-    apart by the next key until they end.
+    A rank is the number of those that are less, so only those in a tie need be sorted again.
+    ``active`` holds whole ties.
+    """
+    own, _ = sorted_ranks(keys, scratch)
+    step = int(own.max(initial=0)) + 1
+    both = scratch.array(len(active), np.int64)
+    for part in _slices(len(active)):
+        both[part] = ranks[active[part]].astype(np.int64) * step + own[part]
+    scratch.free(own)
+    found, order = sorted_ranks(both, scratch)
+    # the first of a tie, old and new, in the order of the active ones
+    still = scratch.array(len(active), bool)
+    old_start = new_start = 0
+    last_old = last_new = None
+    for part in _slices(len(active)):
+        at = order[part]
+        olds, news, spots = ranks[active[at]].astype(np.int64), found[at], np.arange(part.start, part.stop)
+        fresh_old = np.concatenate([[last_old is None or olds[0] != last_old], olds[1:] != olds[:-1]])
+        fresh_new = np.concatenate([[last_new is None or news[0] != last_new], news[1:] != news[:-1]])
+        old_first = np.maximum.accumulate(np.where(fresh_old, spots, old_start))
+        new_first = np.maximum.accumulate(np.where(fresh_new, spots, new_start))
+        both[at] = olds + new_first - old_first
+        tied = ~fresh_new
+        still[at[tied]] = True
+        still[at[np.flatnonzero(tied[1:])]] = True
+        if tied[0]:
+            still[order[part.start - 1]] = True
+        old_start, new_start, last_old, last_new = int(old_first[-1]), int(new_first[-1]), int(olds[-1]), int(news[-1])
+    for part in _slices(len(active)):
+        ranks[active[part]] = both[part]
+    rest = np.concatenate([active[part][still[part]] for part in _slices(len(active))])
+    for column in (both, found, order, still):
+        scratch.free(column)
+    return ranks, rest
+
+
+def _names(text: np.ndarray, rise: np.ndarray, starts: np.ndarray, depth: int, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks of the substrings from one start to the next (itself included), as far as ``depth``,
+    and those in a tie.
+
+    A substring is read as characters with their type, some to a key. Of equal beginnings all
+    have ended or none, as the type tells an end.
     """
     last = len(text) - 1
-    bits = int(text.max()).bit_length() + 2
-    each, done, names = max(1, 62 // bits), 0, None
-    while True:
-        keys, alive = scratch.array(len(starts), np.int64), False
-        for part in _slices(len(starts)):
-            begin = starts[part]
-            end = np.append(begin[1:], starts[part.stop] if part.stop < len(starts) else last)
+    bits = (2 * int(text.max()) + 2).bit_length()
+    each, done = max(1, 63 // bits), 0
+    ranks, active, ended = scratch.array(len(starts), starts.dtype), np.arange(len(starts), dtype=starts.dtype), []
+    while len(active):
+        keys, over = scratch.array(len(active), np.int64), scratch.array(len(active), bool)
+        for part in _slices(len(active)):
+            own = active[part]
+            begin = starts[own].astype(np.int64)
+            end = np.where(own + 1 < len(starts), starts[np.minimum(own + 1, len(starts) - 1)], last)
             left = np.minimum(end - begin + 1, depth) - done
-            alive = alive or bool((left > 0).any())
-            key = np.zeros(len(begin), np.int64)
+            key = np.zeros(len(own), np.int64)
             for i in range(each):
                 at = np.minimum(begin + done + i, last)
                 key = (key << bits) | np.where(left > i, text[at].astype(np.int64) * 2 + rise[at] + 1, 0)
-            keys[part] = key
-        if names is not None and not alive:
-            return names
-        ranks, _ = sorted_ranks(keys, scratch)
-        scratch.free(keys)
-        names = ranks if names is None else _paired(names, ranks, scratch)
+            keys[part], over[part] = key, left <= each
+        whole, tied = scratch.array(len(starts), bool), active
+        whole[active[over]] = True
+        ranks, tied = _refined(ranks, active, keys, scratch)
+        ended.append(tied[whole[tied]])
+        active = tied[~whole[tied]]
+        for column in (keys, over, whole):
+            scratch.free(column)
         done += each
-
-
-def _doubled(names: np.ndarray, depth: int, scratch: Scratch) -> np.ndarray:
-    """Ranks of a text's suffixes as far as ``depth``, by pairs of ranks twice as far apart."""
-    ranks, far = names, 1
-    while far < depth and far < len(ranks) and int(ranks.max()) + 1 < len(ranks):
-        behind = scratch.array(len(ranks), np.int64)
-        for part in _slices(len(ranks) - far):
-            behind[part] = ranks[part.start + far : part.stop + far] + 1
-        ranks = _paired(ranks, behind, scratch)
-        scratch.free(behind)
+    return ranks, np.sort(np.concatenate(ended)) if ended else active
+
+
+def _doubled(ranks: np.ndarray, active: np.ndarray, starts: np.ndarray, depth: int, scratch: Scratch) -> np.ndarray:
+    """Ranks of the suffixes of a text of names, by pairs of ranks twice as far apart; starts: where
+    the names stand, so that ties of ``depth`` characters stay."""
+    far, n = 1, len(ranks)
+    while len(active):
+        reach = np.minimum(active.astype(np.int64) + far, n - 1)
+        # whole ties: all members have the same characters so far, and reach as far
+        active = active[starts[reach].astype(np.int64) - starts[active] < depth]
+        if not len(active):
+            break
+        keys = scratch.array(len(active), np.int64)
+        for part in _slices(len(active)):
+            behind = active[part].astype(np.int64) + far
+            keys[part] = np.where(behind < n, ranks[np.minimum(behind, n - 1)].astype(np.int64) + 1, 0)
+        ranks, active = _refined(ranks, active, keys, scratch)
+        scratch.free(keys)
         far *= 2
     return ranks
 
@@ -237,6 +304,7 @@ class Sorter:
     def __init__(self, text: np.ndarray, depth: int, scratch: Scratch | None = None):
         self.text, self.depth, self.scratch = text, depth, scratch or Scratch()
         self.kind = np.uint8 if depth < 255 else np.int64
+        self.index = np.int32 if len(text) < 1 << 31 else np.int64
         signs: set[int] = set()
         for part in _slices(len(text)):
             signs.update(np.unique(text[part]).tolist())
@@ -250,31 +318,33 @@ class Sorter:
         """Sorted LMS suffixes, and the prefix each shares with the one before."""
         text, scratch = self.text, self.scratch
         rise = rising(text, scratch)
-        found = [np.flatnonzero(rise[part][1:] & ~rise[part][:-1]) + part.start + 1
+        found = [(np.flatnonzero(rise[part][1:] & ~rise[part][:-1]) + part.start + 1).astype(self.index)
                  for part in (slice(max(p.start - 1, 0), p.stop) for p in _slices(len(text)))]
         starts = scratch.keep(np.concatenate(found))
-        if not len(starts):
-            return starts, starts
-        names = _names(text, rise, starts, self.depth + 1, scratch)
-        distinct = int(names.max()) + 1
-        if distinct < len(names):
-            deep = self.depth // 2 + 2  # a substring adds two characters at least
-            names = self._recursion(names, deep) if distinct * FEW_NAMES < len(names) else _doubled(names, deep, scratch)
-        _, order = sorted_ranks(names, scratch)
-        sorted_, common = scratch.array(len(starts), np.int64), scratch.array(len(starts), self.kind)
-        for part in _slices(len(starts)):
-            sorted_[part] = starts[order[part]]
-        for part in _slices(len(starts) - 1):
-            common[part.start + 1 : part.stop + 1] = shared(text, sorted_[part], sorted_[part.start + 1 : part.stop + 1], self.depth)
+        sorted_, common = scratch.array(len(starts), self.index), scratch.array(len(starts), self.kind)
+        if len(starts):
+            ranks, ties = _names(text, rise, starts, self.depth + 1, scratch)
+            if len(ties):
+                few = len(np.unique(ranks)) * FEW_NAMES < len(ranks)
+                ranks = self._recursion(ranks) if few else _doubled(ranks, ties, starts, self.depth, scratch)
+            _, order = sorted_ranks(ranks, scratch)
+            for part in _slices(len(starts)):
+                sorted_[part] = starts[order[part]]
+            scratch.free(order)
+            scratch.free(ranks)
+            for part in _slices(len(starts) - 1):
+                common[part.start + 1 : part.stop + 1] = shared(text, sorted_[part], sorted_[part.start + 1 : part.stop + 1], self.depth)
+        scratch.free(rise)
+        scratch.free(starts)
         return sorted_, common
 
-    def _recursion(self, names: np.ndarray, depth: int) -> np.ndarray:
-        """Ranks of the suffixes of the text of names."""
+    def _recursion(self, names: np.ndarray) -> np.ndarray:
+        """Ranks of the suffixes of the text of names; a name adds two characters at least."""
         inner, ranks = self.scratch.array(len(names) + 1, np.int64), self.scratch.array(len(names) + 1, np.int64)
         for part in _slices(len(names)):
-            inner[part] = names[part] + 1
+            inner[part] = names[part].astype(np.int64) + 1
         at = len(inner)
-        for positions, _ in Sorter(inner, depth, self.scratch).descending():
+        for positions, _ in Sorter(inner, self.depth // 2 + 2, self.scratch).descending():
             ranks[positions] = at - np.arange(len(positions))
             at -= len(positions)
         return ranks[:-1]
@@ -339,7 +409,7 @@ class Sorter:
         for c in range(count - 1, -1, -1):
             sign, tip = int(self.signs[c]), -1
             if c == 0:  # the last character is the least suffix and comes from no other
-                climbing[0].put(np.array([len(text) - 1]), np.zeros(1, self.kind))
+                climbing[0].put(np.array([len(text) - 1], self.index), np.zeros(1, self.kind))
             for positions, common in climbing[c].take():
                 common = np.array(common)
                 if c == 0 and int(positions[-1]) == len(text) - 1 and (len(positions) > 1 or tip >= 0):

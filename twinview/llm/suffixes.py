@@ -31,7 +31,8 @@ from twinview.llm.induced import MEMORY_BYTES, Scratch, Sorter
 
 LENGTH = 100
 GRAM = 32
-SLICE_BYTES = 16 << 20  # of texts, for each slice of the anchors
+SLICE_BYTES = 8 << 20  # of texts, for each slice of the anchors
+_CACHED = 1 << 15
 _SPOT_BITS = np.uint64(24)
 _SPOT = np.uint64((1 << 24) - 1)
 
@@ -46,17 +47,32 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:-rest], out[rest:]) if rest else out
 
 
-def _grams(data: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of the ``size``-byte strings at each byte; ``size`` is a multiple of 8, at least 8."""
+def _anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the ``length`` bytes at each byte: the least hash (40 bits) of the ``gram`` bytes at places
+    in them, and the place (24 bits), of equal ones the leftmost. ``gram`` is 8, 16, 32 and so on.
+
+    Worked on in parts that stay in the processor's cache.
+    """
+    total, width = len(data) - length + 1, length - gram + 1
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     lanes = np.ndarray((len(data),), "<u8", padded, strides=(1,))
-    n = len(data) - size + 1
-    out = np.zeros(n, np.uint64)
+    out = np.empty(total, np.uint64)
     with np.errstate(over="ignore"):
-        for at in range(0, size, 8):
-            out = (out ^ lanes[at : at + n]) * np.uint64(0x9E3779B97F4A7C15)
-            out ^= out >> np.uint64(32)
-    return mixed(out, 1)
+        for first in range(0, total, _CACHED):
+            n = min(_CACHED, total - first)
+            hashes, size = lanes[first : first + n + length - 1].copy(), 8
+            hashes *= np.uint64(0x9E3779B97F4A7C15)
+            hashes ^= hashes >> np.uint64(32)
+            while size < gram:
+                hashes = hashes[:-size] * np.uint64(0xD6E8FEB86659FD93) + hashes[size:]
+                size *= 2
+            hashes = hashes[: n + width - 1]
+            hashes ^= hashes >> np.uint64(32)
+            hashes *= np.uint64(0xC2B2AE3D27D4EB4F)
+            hashes &= ~_SPOT
+            hashes |= np.arange(first, first + len(hashes), dtype=np.uint64) & _SPOT
+            out[first : first + n] = _least(hashes, width)
+    return out >> _SPOT_BITS, out & _SPOT
 
 
 class _Block:
@@ -73,10 +89,7 @@ class _Block:
             self.first = self.stop = self.owner = np.zeros(0, np.int64)
             self.key, self.again = np.zeros(0, np.uint64), np.zeros(0, bool)
             return
-        # the least hash (40 bits), and of equal ones the leftmost
-        spots = np.arange(len(data) - gram + 1, dtype=np.uint64) & _SPOT
-        anchors = _least((_grams(data, gram) & ~_SPOT) | spots, length - gram + 1)
-        spots, anchors = anchors & _SPOT, anchors >> _SPOT_BITS
+        anchors, spots = _anchors(data, length, gram)
         new = np.concatenate([[True], anchors[1:] != anchors[:-1]])
         new[bounds[:-1][bounds[:-1] < len(new)]] = True
         inside = np.zeros(len(new) + 1, np.int8)
@@ -86,7 +99,7 @@ class _Block:
         self.first = np.flatnonzero(new & (np.cumsum(inside[:-1], dtype=np.int8) > 0))
         self.owner = np.searchsorted(bounds, self.first, "right") - 1
         self.stop = np.minimum(np.append(self.first[1:], len(data)), last[self.owner])
-        self.key = anchors[self.first]
+        self.key = mixed(anchors[self.first], 3) >> _SPOT_BITS  # least hashes are small: spread over the slices
         # equal strings have their anchor in one place, so a run has one twice only if its anchor moves
         self.again = (spots[self.first] != spots[self.stop - 1]) | (len(data) > int(_SPOT))
 
