@@ -6,7 +6,6 @@ land them as text lines, as a click producer would, and follow that folder in a
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,9 +16,10 @@ from twinview import sinks, sources, streaming
 from twinview.functions import DAY_MS, HOUR_MS, MINUTE_MS, tab_line
 from twinview.operators.views import estimate_visitors
 from twinview.plans import run_batch_views, start_pipeline
-from twinview.schema import ACTIVITY, ACTIVITY_BY_PRODUCT, SOURCE_PROPS, VISITORS_BY_PRODUCT
+from twinview.plans.speed import ACTIVITY_VIEW, VISITORS_VIEW
+from twinview.schema import ACTIVITY, ACTIVITY_BY_PRODUCT, VISITORS_BY_PRODUCT
 from twinview.session import new_table_dir
-from twinview.streaming.expiry import live_view
+from twinview.streaming.expiry import TTL_MS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,7 @@ AS_OF = 1_706_616_000  # 2024-01-30 12:00:00 UTC
 THREE_PRODUCTS = ("Product - 7", "Product - 42", "Product - 99")
 NOW = {"availableNow": True}
 MICRO_BATCHES = 3
+FILES = 8  # of a micro-batch
 RECORD = [f.name for f in ACTIVITY if f.name != "inputProps"]
 
 
@@ -211,34 +212,40 @@ def approx_visitors_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.approx_visitors_by_product(_activity(spark, sf_dir))
 
 
-@_query(_visitors_sql("product"))
+def _close_sql(*estimates: str) -> str:
+    close = "".join(f", true AS {name}_is_close" for name in estimates)
+    return f"SELECT product, count(DISTINCT visitor) AS unique_visitors{close} FROM clicks GROUP BY product"
+
+
+def _is_close(estimate: str) -> Column:
+    """Within 5 % of the exact number, three standard errors of 2^12 registers."""
+    exact = F.col("unique_visitors")
+    return (F.abs(F.col(estimate) - exact) <= F.greatest(F.lit(1), exact * 0.05)).alias(f"{estimate}_is_close")
+
+
+def _beside_exact(spark: SparkSession, sf_dir: str, view: DataFrame) -> DataFrame:
+    """Estimates per product next to the exact numbers."""
+    exact = ops.visitors_by_product(_activity(spark, sf_dir), ["product"])
+    joined = exact.join(view.select("product", F.col("unique_visitors").alias("sketch")), "product", "full")
+    return joined.select("product", "unique_visitors", _is_close("sketch"))
+
+
+@_query(_close_sql("sketch"))
 def merged_sketch_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = ops.visitor_sketches(_activity(spark, sf_dir))
-    return estimate_visitors(ops.merge_sketches(hourly, ["product"]))
+    return _beside_exact(spark, sf_dir, estimate_visitors(ops.merge_sketches(hourly, ["product"])))
 
 
-@_query()
+@_query(_close_sql("sketch"))
 def approx_count_distinct_oneshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.approx_visitors_oneshot(_activity(spark, sf_dir), keys=["product"])
+    return _beside_exact(spark, sf_dir, ops.approx_visitors_oneshot(_activity(spark, sf_dir), keys=["product"]))
 
 
-@_query("""
-SELECT product, count(DISTINCT visitor) AS unique_visitors, true AS sketch_is_close,
-       true AS oneshot_is_close
-FROM clicks GROUP BY product""")
+@_query(_close_sql("sketched", "oneshot"))
 def approx_visitors_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both estimates are within 10 %, six standard errors, of the exact number."""
-    clicks, keys = _activity(spark, sf_dir), ["product"]
-    exact = F.col("unique_visitors")
-    sketch = ops.approx_visitors_by_product(clicks, keys).toDF("product", "sketch")
-    oneshot = ops.approx_visitors_oneshot(clicks, keys).toDF("product", "oneshot")
-    both = ops.visitors_by_product(clicks, keys).join(sketch, keys).join(oneshot, keys)
-
-    def is_close(estimate: str) -> Column:
-        return (F.abs(F.col(estimate) - exact) <= F.greatest(F.lit(1), exact * 0.1)).alias(
-            f"{estimate}_is_close")
-
-    return both.select("product", exact, is_close("sketch"), is_close("oneshot"))
+    """Both estimates and the exact number out of one pass."""
+    summary = ops.visitors_summary(_activity(spark, sf_dir), ["product"])
+    return summary.select("product", "unique_visitors", _is_close("sketched"), _is_close("oneshot"))
 
 
 @_query(f"""
@@ -254,6 +261,12 @@ def recent_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.recent(_activity(spark, sf_dir), hours=6, as_of=AS_OF).select(*RECORD)
 
 
+@_query(f"""{RECORD_SQL}
+WHERE timestamp_hour >= {(AS_OF - 48 * 3600) * 1000} AND timestamp_hour < {AS_OF * 1000}""")
+def recent_activity_until(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.recent(_activity(spark, sf_dir), hours=48, as_of=AS_OF, until=AS_OF).select(*RECORD)
+
+
 # Reports
 
 
@@ -301,16 +314,12 @@ SELECT {label}, product, 0::BIGINT, unique_visitors FROM ({visitors})"""
 
 @_query(_compare_sql("true"))
 def compare_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clicks = _activity(spark, sf_dir)
-    approx, exact = ops.approx_visitors_by_product(clicks), ops.visitors_by_product(clicks)
-    return ops.compare_visitors(approx, exact, zone="UTC")
+    return ops.compare_visitors(ops.visitors_summary(_activity(spark, sf_dir)), zone="UTC")
 
 
 @_query(_compare_sql(f"product IN {THREE_PRODUCTS}"))
 def compare_visitors_of_three(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clicks = _activity(spark, sf_dir)
-    approx, exact = ops.approx_visitors_by_product(clicks), ops.visitors_by_product(clicks)
-    return ops.compare_visitors(approx, exact, THREE_PRODUCTS, zone="UTC")
+    return ops.compare_visitors(ops.visitors_summary(_activity(spark, sf_dir)), THREE_PRODUCTS, zone="UTC")
 
 
 # Master dataset
@@ -369,6 +378,22 @@ def latest_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.latest_offsets(master)
 
 
+@_query(f"""
+{_flat_sql("timestamp_day")}, kafka_partition::INT AS "kafkaPartition", event_id::VARCHAR AS "fromOffset",
+  (event_id + 1)::VARCHAR AS "untilOffset"
+FROM clicks""")
+def master_of_both_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odd events appended in batch, twice under one name, even ones streamed to the same path."""
+    path = new_table_dir(spark, "master")
+    lines = ops.with_record_props(_kafka_lines(spark, sf_dir))
+    odd, even = (lines.where(F.col("offset") % 2 == n) for n in (1, 0))
+    for _ in range(2):
+        sinks.append_master(ops.flatten_props(ops.parse_activity(odd, DAY_MS)), path, "odd")
+    streamed = ops.flatten_props(ops.parse_activity(_as_stream(spark, even), DAY_MS))
+    streaming.append_master_stream(streamed, path, trigger=NOW).awaitTermination()
+    return sources.read_master(spark, path)
+
+
 BATCH_JOB_SQL = f"""
 SELECT product, timestamp_day AS timestamp_hour, {{columns}} FROM clicks
 WHERE timestamp_day >= {(AS_OF - 72 * 3600) * 1000} GROUP BY ALL"""
@@ -391,6 +416,16 @@ def batch_job_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_view(spark, path, VISITORS_BY_PRODUCT)
 
 
+@_query(BATCH_JOB_SQL.format(columns=COUNTS_SQL))
+def batch_job_on_streamed_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    master = new_table_dir(spark, "master")
+    lines = _as_stream(spark, ops.with_record_props(_kafka_lines(spark, sf_dir)))
+    flat = ops.flatten_props(ops.parse_activity(lines, DAY_MS))
+    streaming.append_master_stream(flat, master, trigger=NOW).awaitTermination()
+    path, _ = run_batch_views(spark, master, new_table_dir(spark, "batch"), hours=72, as_of=AS_OF)
+    return sources.read_view(spark, path, ACTIVITY_BY_PRODUCT)
+
+
 # Streams
 
 
@@ -404,17 +439,19 @@ def last_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.last_per_window(changes, ["product"], "ts_ms", "event_id", DAY_MS)
 
 
+def _as_stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Rows landed as Parquet, followed as a stream in MICRO_BATCHES micro-batches."""
+    path = new_table_dir(spark, "landing")
+    rows.repartition(MICRO_BATCHES * FILES).write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(path)
+
+
 def _landed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clicks landed as text lines, followed as a stream in MICRO_BATCHES micro-batches."""
     path = new_table_dir(spark, "landing")
-    lines = ops.encode_activity(_activity(spark, sf_dir))
-    if len(lines.inputFiles()) < MICRO_BATCHES:
-        lines = lines.repartition(MICRO_BATCHES)  # a table this small is one file
+    lines = ops.encode_activity(_activity(spark, sf_dir)).repartition(MICRO_BATCHES * FILES)
     sinks.write_lines(lines, path=path)
-    files = len(spark.read.text(path).inputFiles())
-    return sources.read_click_stream(
-        spark, path=path, max_files_per_trigger=math.ceil(files / MICRO_BATCHES)
-    )
+    return sources.read_click_stream(spark, path=path, max_files_per_trigger=FILES)
 
 
 def _activity_stream(spark: SparkSession, sf_dir: str, bucket_ms: int = HOUR_MS) -> DataFrame:
@@ -423,7 +460,8 @@ def _activity_stream(spark: SparkSession, sf_dir: str, bucket_ms: int = HOUR_MS)
 
 def _upserted(spark: SparkSession, view: DataFrame, keys: list[str]) -> DataFrame:
     path = new_table_dir(spark, "stream-view")
-    streaming.upsert_view(view, path, keys, trigger=NOW, compact_every=2).awaitTermination()
+    streaming.upsert_view(view, path, trigger=NOW).awaitTermination()
+    streaming.compact_view(spark, path, view.schema, keys)
     return streaming.latest_view(spark, path, view.schema, keys)
 
 
@@ -436,10 +474,10 @@ def stream_activity_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upserted(spark, view, BOTH)
 
 
-@_query(_visitors_sql("product"))
+@_query(_close_sql("sketch"))
 def stream_visitor_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = streaming.visitor_view_stream(_activity_stream(spark, sf_dir), ["product"])
-    return _upserted(spark, view, ["product"])
+    return _beside_exact(spark, sf_dir, _upserted(spark, view, ["product"]))
 
 
 @_query(_visitors_sql("product"))
@@ -454,34 +492,72 @@ def stream_click_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upserted(spark, view, BOTH)
 
 
-def _expiring(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Three micro-batches an hour apart: no key is idle for the two hours it may be."""
-    path, clicks = new_table_dir(spark, f"expiring-{kind}"), _activity_stream(spark, sf_dir, DAY_MS)
-    hours = iter(range(10**6))
-    options = {"clock": lambda: next(hours) * HOUR_MS, "trigger": NOW, "compact_every": 2}
-    if kind == "exact":
-        streaming.start_expiring_visitors(clicks, path, **options).awaitTermination()
-        path = f"{path}/view"
-    else:
-        streaming.start_expiring_view(clicks, path, kind, **options).awaitTermination()
-    return live_view(spark, path, kind, now_ms=(next(hours) - 1) * HOUR_MS)
+# Expiring views: the clicks come in four parts, by event id, at four times. A key idle for longer
+# than the limit before a part starts over with it; a key idle for longer at the end is gone.
+PARTS = 4
 
 
-@_query(_view_sql("timestamp_day"))
+def _part_times(ttl_ms: int) -> list[int]:
+    """At the limit after the part before, within it, beyond it."""
+    return [0, ttl_ms, ttl_ms + ttl_ms // 2, 3 * ttl_ms]
+
+
+def _live_at(ttl_ms: int) -> int:
+    return _part_times(ttl_ms)[-1] + ttl_ms // 2
+
+
+def _expiring_sql(columns: str, ttl_ms: int) -> str:
+    """``columns`` of the clicks in each key's run that is alive in the end."""
+    return f"""
+SELECT product, timestamp_day AS timestamp_hour, {columns}
+FROM (SELECT *, max(started) OVER (PARTITION BY product, timestamp_day) AS last_start,
+             max(part_ms) OVER (PARTITION BY product, timestamp_day) AS last_seen
+      FROM (SELECT *, max(CASE WHEN part_ms - before > {ttl_ms} OR before IS NULL THEN part_ms END)
+                        OVER (PARTITION BY product, timestamp_day ORDER BY part_ms) AS started
+            FROM (SELECT c.*, lag(part_ms) OVER (PARTITION BY product, timestamp_day ORDER BY part_ms, event_id) AS before
+                  FROM (SELECT *, list_extract({_part_times(ttl_ms)}, (event_id % {PARTS} + 1)::INT) AS part_ms FROM clicks) c)))
+WHERE part_ms >= last_start AND last_seen >= {_live_at(ttl_ms) - ttl_ms}
+GROUP BY product, timestamp_day"""
+
+
+def _expiring(spark: SparkSession, sf_dir: str, kind: str, ttl_ms: int = TTL_MS) -> DataFrame:
+    path, checkpoint = (new_table_dir(spark, f"expiring-{kind}") for _ in range(2))
+    landing, clicks = new_table_dir(spark, "landing"), _activity(spark, sf_dir)
+    for part, now_ms in enumerate(_part_times(ttl_ms)):
+        sinks.write_lines(ops.encode_activity(clicks.where(F.col("event_id") % PARTS == part)), path=landing)
+        lines = ops.parse_activity(sources.read_click_stream(spark, path=landing), DAY_MS)
+        streaming.start_expiring_view(lines, path, kind, lambda now_ms=now_ms: now_ms, checkpoint, NOW).awaitTermination()
+        if part == 1:
+            streaming.compact_expiring_view(spark, path, kind, ttl_ms)
+    return streaming.live_view(spark, path, kind, ttl_ms, _live_at(ttl_ms))
+
+
+VISITORS_COLUMN = "count(DISTINCT visitor) AS unique_visitors"
+
+
+@_query(_expiring_sql(COUNTS_SQL, TTL_MS))
 def stream_latest_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _expiring(spark, sf_dir, "activity")
 
 
-@_query(_visitors_sql("product, timestamp_day AS timestamp_hour"))
+@_query(_expiring_sql(VISITORS_COLUMN, TTL_MS))
 def stream_expiring_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _expiring(spark, sf_dir, "visitors")
 
 
-@_query(_visitors_sql("product, timestamp_day AS timestamp_hour"))
+@_query(_expiring_sql(VISITORS_COLUMN, TTL_MS))
 def stream_expiring_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _expiring(spark, sf_dir, "exact")
 
 
+CLICKS_TTL_MS = 34_000  # (fixed value)
+
+
+@_query(_expiring_sql("count(*) AS unique_visitors", CLICKS_TTL_MS))
+def stream_expiring_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _expiring(spark, sf_dir, "clicks", CLICKS_TTL_MS)
+
+
 @_query(_view_sql())
 def stream_published_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = streaming.activity_view_stream(_activity_stream(spark, sf_dir))
@@ -491,14 +567,41 @@ def stream_published_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table("activityByProduct")
 
 
-@_query("""
-SELECT timestamp_day AS timestamp_hour, referrer, action, "prevPage", page, visitor, product
-FROM clicks""")
-def stream_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+@_query("SELECT product, timestamp_minute AS timestamp_hour," + COUNTS_SQL + " FROM clicks WHERE event_id % 2 = 1 GROUP BY ALL")
+def stream_published_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even events in one micro-batch, then odd ones: the table is the aggregate of the newest."""
+    landing, path = new_table_dir(spark, "landing"), new_table_dir(spark, "published")
+    clicks = _activity(spark, sf_dir)
+    for part in range(2):
+        sinks.write_lines(ops.encode_activity(clicks.where(F.col("event_id") % 2 == part)), path=landing)
+        rows = ops.parse_activity(sources.read_click_stream(spark, path=landing), MINUTE_MS)
+        streaming.publish_view(
+            rows, "newestActivity", path, transform=ops.activity_by_product, trigger=NOW).awaitTermination()
+    return spark.table("newestActivity")
+
+
+def _pipeline(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     lines = ops.with_file_props(_landed_stream(spark, sf_dir), TOPIC)
     master, views = new_table_dir(spark, "master"), new_table_dir(spark, "views")
-    pipeline = start_pipeline(lines, master, views, DAY_MS, master_trigger=NOW, view_trigger=NOW)
-    for query in pipeline.values():
-        query.awaitTermination()
-    stored = sources.read_master(spark, master)
-    return stored.select(*(c for c in stored.columns if c not in SOURCE_PROPS))
+    start_pipeline(lines, master, views, DAY_MS, clock=lambda: AS_OF, trigger=NOW).awaitTermination()
+    return master, views
+
+
+@_query(f"""
+{_flat_sql("timestamp_day")}, 0::INT AS "kafkaPartition", NULL::VARCHAR AS "fromOffset", NULL::VARCHAR AS "untilOffset"
+FROM clicks""")
+def stream_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    master, _ = _pipeline(spark, sf_dir)
+    return sources.read_master(spark, master)
+
+
+@_query(_view_sql("timestamp_day"))
+def stream_pipeline_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, views = _pipeline(spark, sf_dir)
+    return streaming.live_view(spark, f"{views}/{ACTIVITY_VIEW}", "activity", now_ms=AS_OF)
+
+
+@_query(_visitors_sql("product, timestamp_day AS timestamp_hour"))
+def stream_pipeline_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, views = _pipeline(spark, sf_dir)
+    return streaming.live_view(spark, f"{views}/{VISITORS_VIEW}", "visitors", now_ms=AS_OF)

@@ -25,6 +25,7 @@ from twinview.operators.views import (
     under_exposed,
     visitor_sketches,
     visitors_by_product,
+    visitors_summary,
 )
 
 __all__ = [
@@ -32,6 +33,6 @@ __all__ = [
     "compare_visitors", "encode_activity", "flatten_props", "labelled_buckets", "last_per_key",
     "last_per_window", "malformed_lines", "merge_sketches", "parse_activity", "preview",
     "product_summary", "recent", "register", "under_exposed", "views_by_name_length",
-    "visitor_sketches", "visitors_by_product", "with_file_props", "with_record_props",
+    "visitor_sketches", "visitors_by_product", "visitors_summary", "with_file_props", "with_record_props",
     "with_source_props",
 ]

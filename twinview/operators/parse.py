@@ -36,9 +36,10 @@ def parse_activity(
         *(F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(LINE_FIELDS)), "inputProps"
     )
     ts = epoch_ms(F.col("timestamp"), strict=on_bad_ts == "fail")
-    activity = named.withColumn("timestamp_hour", bucket(ts, bucket_ms))
+    judged = named.select("*", F.explode(F.array(ts)).alias("ts"))  # once per line, like the split
+    activity = judged.withColumn("timestamp_hour", bucket("ts", bucket_ms))
     if on_bad_ts == "drop":
-        activity = activity.where(F.col("timestamp_hour").isNotNull())
+        activity = activity.where(F.col("ts").isNotNull())
     return activity.select(*ACTIVITY.names)
 
 

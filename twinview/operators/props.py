@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinview.schema import SOURCE_PROPS
+from twinview.schema import MASTER_FIELDS, SOURCE_PROPS
 
-# Kafka allows 249 characters for a topic's name, so this many ranges stay below 10 MB.
-MAX_BROADCAST_RANGES = 30_000
 SALTS = 64
 
 
@@ -27,34 +25,28 @@ def with_record_props(lines: DataFrame) -> DataFrame:
 
 
 def with_file_props(lines: DataFrame, topic: str) -> DataFrame:
-    """Source properties of lines read from files: the byte range of the block read."""
-    start = F.col("_metadata.file_block_start")
-    props = _props(F.lit(topic), F.lit(0), start, start + F.col("_metadata.file_block_length"))
-    return lines.withColumn("inputProps", props)
+    """Source properties of lines read from files, which have no offsets to resume at."""
+    none = F.lit(None).cast("string")
+    return lines.withColumn("inputProps", _props(F.lit(topic), F.lit(0), none, none))
 
 
-def with_source_props(
-    lines: DataFrame, max_broadcast_ranges: int = MAX_BROADCAST_RANGES, salts: int = SALTS
-) -> DataFrame:
+def with_source_props(lines: DataFrame, ranges: DataFrame | None = None, salts: int = SALTS) -> DataFrame:
     """Source properties with the offset range the batch holds of each Kafka partition.
 
     Needs ``topic``, ``partition`` and ``offset``, on a batch (inside ``foreachBatch`` for a
-    stream). There is one range per Kafka partition, so the ranges are aggregated map-side and sent
-    to the lines instead of shuffling the lines by a handful of keys. Should there be more ranges
-    than fit a broadcast, lines are joined on a salted key, so that no Kafka partition is one task.
+    stream). ``ranges`` (topic, partition, fromOffset, untilOffset) may be given where the offsets
+    of the batch are known; else they are taken from the lines, in a pass of its own. There is one
+    for each Kafka partition, which the optimizer sends to the lines if that is little; if not,
+    the salt keeps a Kafka partition from being one task.
     """
-    ranges = lines.groupBy("topic", "partition").agg(
-        F.min("offset").alias("fromOffset"), (F.max("offset") + 1).alias("untilOffset")
-    )
-    counted = ranges.limit(max_broadcast_ranges + 1).collect()
+    if ranges is None:
+        ranges = lines.groupBy("topic", "partition").agg(
+            F.min("offset").alias("fromOffset"), (F.max("offset") + 1).alias("untilOffset")
+        )
     keys = ["topic", "partition"]
-    if len(counted) <= max_broadcast_ranges:
-        known = lines.sparkSession.createDataFrame(counted, ranges.schema)
-        joined = lines.join(F.broadcast(known), keys)
-    else:
-        salt = F.pmod(F.xxhash64("offset"), F.lit(salts)).cast("int")
-        copies = ranges.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = lines.withColumn("salt", salt).join(copies, [*keys, "salt"]).drop("salt")
+    salt = F.pmod(F.xxhash64("offset"), F.lit(salts)).cast("int")
+    copies = ranges.select(*keys, "fromOffset", "untilOffset", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    joined = lines.withColumn("salt", salt).join(copies, [*keys, "salt"]).drop("salt")
     props = _props(F.col("topic"), F.col("partition"), F.col("fromOffset"), F.col("untilOffset"))
     return joined.withColumn("inputProps", props).drop("fromOffset", "untilOffset")
 
@@ -62,6 +54,6 @@ def with_source_props(
 def flatten_props(activity: DataFrame) -> DataFrame:
     """Activities with their source properties as columns, in master dataset order."""
     return activity.select(
-        "timestamp_hour", "referrer", "action", "prevPage", "page", "visitor", "product",
+        "timestamp_hour", *MASTER_FIELDS,
         *(F.element_at("inputProps", F.lit(name)).alias(name) for name in SOURCE_PROPS),
     )

@@ -39,23 +39,19 @@ def labelled_buckets(
 
 
 def compare_visitors(
-    approx: DataFrame,
-    exact: DataFrame,
+    summary: DataFrame,
     products: Sequence[str] | None = None,
     pattern: str = "HH:mm:00",
     zone: str | None = None,
 ) -> DataFrame:
-    """Approximate and exact visitor counts below each other, for some products or for all."""
-
-    def side(view: DataFrame, own: str, other: str) -> DataFrame:
-        if products is not None:
-            view = view.where(F.col("product").isin(*products))
-        return view.select(
-            bucket_label("timestamp_hour", pattern, zone).alias("timestamphour"),
-            "product",
-            F.col("unique_visitors").alias(own),
-            F.lit(0).cast("long").alias(other),
-        )
-
-    hll, precise = "unique_visitors_hll", "unique_visitors_precise"
-    return side(approx, hll, precise).unionByName(side(exact, precise, hll))
+    """Sketched and exact visitor counts of a ``visitors_summary`` below each other, for some
+    products or for all. Both rows of a key are made of its one row: the clicks are read once."""
+    if products is not None:
+        summary = summary.where(F.col("product").isin(*products))
+    none = F.lit(0).cast("long")
+    rows = F.array(
+        F.struct(F.col("sketched").alias("unique_visitors_hll"), none.alias("unique_visitors_precise")),
+        F.struct(none.alias("unique_visitors_hll"), F.col("unique_visitors").alias("unique_visitors_precise")),
+    )
+    label = bucket_label("timestamp_hour", pattern, zone).alias("timestamphour")
+    return summary.select(label, "product", F.inline(rows))

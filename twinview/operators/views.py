@@ -30,14 +30,15 @@ def _activity_counts() -> list[Column]:
     ]
 
 
-def recent(activity: DataFrame, hours: int = 6, as_of: int | None = None) -> DataFrame:
+def recent(activity: DataFrame, hours: int = 6, as_of: int | None = None, until: int | None = None) -> DataFrame:
     """Buckets that start at most ``hours`` before ``as_of`` (epoch seconds, default now).
 
-    Buckets in the future pass. The bound is a constant compared with the bare partition column,
+    Buckets in the future pass, unless they start at ``until`` (epoch seconds) or later. The bound is a constant compared with the bare partition column,
     so folders outside of it are not even listed for the scan.
     """
     now = F.unix_timestamp() if as_of is None else F.lit(as_of).cast("long")
-    return activity.where(F.col("timestamp_hour") >= (now - hours * 3600) * 1000)
+    since = activity.where(F.col("timestamp_hour") >= (now - hours * 3600) * 1000)
+    return since if until is None else since.where(F.col("timestamp_hour") < until * 1000)
 
 
 def activity_by_product(activity: DataFrame, keys: Sequence[str] = VIEW_KEYS) -> DataFrame:
@@ -87,6 +88,15 @@ def approx_visitors_oneshot(activity: DataFrame, keys: Sequence[str] = VIEW_KEYS
     return activity.groupBy(*keys).agg(estimate.alias("unique_visitors"))
 
 
+def visitors_summary(activity: DataFrame, keys: Sequence[str] = VIEW_KEYS) -> DataFrame:
+    """Exact, sketched and one-shot number of visitors per key, all from one pass over the clicks."""
+    return activity.groupBy(*keys).agg(
+        F.count_distinct("visitor").alias("unique_visitors"),
+        F.hll_sketch_estimate(F.hll_sketch_agg("visitor", SKETCH_BITS)).alias("sketched"),
+        F.approx_count_distinct("visitor", ONESHOT_ERROR).alias("oneshot"),
+    )
+
+
 def under_exposed(view: DataFrame) -> DataFrame:
     """An activity view with whole page views per purchase, 0 where nothing was bought."""
     return view.withColumn("under_exposed", views_per_purchase())

@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from twinview.functions import HOUR_MS
 from twinview.operators import flatten_props, parse_activity
-from twinview.streaming.expiry import start_expiring_view
-from twinview.streaming.queries import (
-    EVERY_BATCH,
-    EVERY_SNAPSHOT,
-    append_master_stream,
-    upsert_view,
-)
-from twinview.streaming.views import activity_view_stream, visitor_view_stream
+from twinview.sinks import append_master
+from twinview.streaming.expiry import append_batch, wall_clock_ms
+from twinview.streaming.queries import EVERY_BATCH, start_batches, writer_of
+
+# Names of the views below the views' path (fixed values).
+ACTIVITY_VIEW, VISITORS_VIEW = "stream_activity_by_product", "stream_visitors_by_product"
 
 
 def start_pipeline(
@@ -24,28 +22,29 @@ def start_pipeline(
     master_path: str,
     views_path: str,
     bucket_ms: int = HOUR_MS,
-    ttl_ms: int | None = None,
-    master_trigger: Mapping = EVERY_BATCH,
-    view_trigger: Mapping = EVERY_SNAPSHOT,
-) -> dict[str, StreamingQuery]:
-    """Start the three queries, each with its own checkpoint, so that they fail and restart alone.
-
-    ``lines`` has ``value`` and ``inputProps``. With ``ttl_ms`` idle keys expire and ``live_view``
-    reads the views, else ``latest_view`` does.
+    clock: Callable[[], int] = wall_clock_ms,
+    checkpoint: str | None = None,
+    trigger: Mapping = EVERY_BATCH,
+) -> StreamingQuery:
+    """Start the one query that feeds all three.
+
+    ``lines`` has ``value`` and ``inputProps``. A micro-batch is read and parsed once and kept for
+    its three writers; each replaces what an earlier try of the micro-batch wrote. ``live_view``
+    reads the views ("activity" and "visitors"): keys idle for its limit, two hours unless given,
+    have expired.
     """
-    activity = parse_activity(lines, bucket_ms)
-    activity_path = f"{views_path}/stream_activity_by_product"
-    visitors_path = f"{views_path}/stream_visitors_by_product"
-    flat = flatten_props(activity)
-    queries = {"master": append_master_stream(flat, master_path, trigger=master_trigger)}
-    if ttl_ms is None:
-        queries["activity"] = upsert_view(
-            activity_view_stream(activity), activity_path, trigger=view_trigger)
-        queries["visitors"] = upsert_view(
-            visitor_view_stream(activity), visitors_path, trigger=view_trigger)
-    else:
-        queries["activity"] = start_expiring_view(
-            activity, activity_path, "activity", ttl_ms, trigger=view_trigger)
-        queries["visitors"] = start_expiring_view(
-            activity, visitors_path, "visitors", ttl_ms, trigger=view_trigger)
-    return queries
+    checkpoint = checkpoint or f"{views_path}/_checkpoint"
+    writer = writer_of(checkpoint)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        now_ms = clock()
+        batch.persist()
+        try:
+            append_master(flatten_props(batch), master_path, f"{writer}-{batch_id}")
+            append_batch(batch, f"{views_path}/{ACTIVITY_VIEW}", batch_id, "activity", now_ms)
+            append_batch(batch, f"{views_path}/{VISITORS_VIEW}", batch_id, "visitors", now_ms)
+        finally:
+            batch.unpersist()
+
+    tables = (f"{ACTIVITY_VIEW}/changes", f"{VISITORS_VIEW}/changes")
+    return start_batches(parse_activity(lines, bucket_ms), on_batch, views_path, checkpoint, trigger, tables)

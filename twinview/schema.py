@@ -47,6 +47,11 @@ VISITORS_BY_PRODUCT = _struct(
 
 # Master dataset; the last three are its partition columns, in directory order.
 MASTER_PARTITIONS = ("topic", "kafkaPartition", "timestamp_hour")
+# The folder level below these: the name of the write that made the files.
+MASTER_BATCH = "batch"
+
+# Columns of a stored activity that are not its folders', in order (fixed values).
+MASTER_FIELDS = ("referrer", "action", "prevPage", "page", "visitor", "product")
 MASTER = _struct(
     ("referrer", _STR),
     ("action", _STR),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
@@ -73,6 +74,28 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_made: list[str] = []
+
+
 def new_table_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder for one intermediate table or checkpoint."""
-    return f"{shared_dir(spark)}/twinview/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder for one intermediate table or checkpoint.
+
+    The folder is deleted by ``drop_table_dirs``, at the latest when this process ends.
+    """
+    if not _made:
+        atexit.register(_drop_at_exit)
+    _made.append(f"{shared_dir(spark)}/twinview/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def drop_table_dirs(spark: SparkSession) -> None:
+    """Delete what ``new_table_dir`` gave out so far. Results that still read it must be done."""
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _drop_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        drop_table_dirs(spark)

@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from twinview.schema import MASTER_PARTITIONS
+from twinview.schema import MASTER_BATCH, MASTER_PARTITIONS
 
 
-def append_master(flat: DataFrame, path: str) -> None:
+def append_master(flat: DataFrame, path: str, batch: str | None = None) -> None:
     """Append flattened activities to the master dataset.
 
+    Each write has a name, the innermost level of folders, and replaces what a write of the same
+    name left: a job or micro-batch that is run again with its name changes nothing. Writers of
+    different names, in batch and streaming, don't disturb each other. Without a name it is new.
+
     The rebalance hint brings rows of one folder together, so that a task does not open a file in
     every folder, and lets AQE split a folder that is much bigger than the others.
     """
-    (flat.hint("rebalance", *MASTER_PARTITIONS)
-        .write.mode("append").partitionBy(*MASTER_PARTITIONS).parquet(path))
+    named = flat.withColumn(MASTER_BATCH, F.lit(batch or uuid.uuid4().hex))
+    (named.hint("rebalance", *MASTER_PARTITIONS)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*MASTER_PARTITIONS, MASTER_BATCH).parquet(path))
 
 
 def save_batch_view(view: DataFrame, path: str, mode: str = "buckets") -> None:

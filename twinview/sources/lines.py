@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,21 +19,25 @@ def kafka_options(
     starting_offsets: str | None = None,
     min_partitions: int | None = None,
     max_offsets_per_trigger: int | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
     """Kafka source options. A cold start reads from the latest offset unless told otherwise.
 
+    ``options`` are any others of the source (kafka.group.id, failOnDataLoss, security settings),
+    passed on as they are and before all else.
+
     ``min_partitions`` above the topic's own count splits a hot Kafka partition over several tasks.
     """
-    options = {
+    found = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets or "latest",
     }
     if min_partitions is not None:
-        options["minPartitions"] = str(min_partitions)
+        found["minPartitions"] = str(min_partitions)
     if max_offsets_per_trigger is not None:
-        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
-    return options
+        found["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return found | dict(options or {})
 
 
 def read_click_stream(

@@ -10,42 +10,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinview.schema import MASTER, MASTER_PARTITIONS
+from twinview.schema import MASTER, MASTER_BATCH, MASTER_PARTITIONS
 
 # The Kafka source's code for a partition's earliest offset (fixed value).
 EARLIEST = -2
 
 
+STORED = T.StructType([*MASTER.fields, T.StructField(MASTER_BATCH, T.StringType())])
+
+
 def _recent_folders(spark: SparkSession, path: str, since_ms: int) -> list[str] | None:
-    """Folders of the buckets from ``since_ms`` on; None where the files have a log instead."""
+    """Folders of the buckets from ``since_ms`` on; None if there is nothing at the path.
+
+    A folder without a bucket (a null one) is never recent.
+    """
     hadoop = spark._jvm.org.apache.hadoop.fs
     files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    if files.exists(hadoop.Path(f"{path}/_spark_metadata")):
+    if not files.exists(hadoop.Path(path)):
         return None
     levels = "/".join(f"{name}=*" for name in MASTER_PARTITIONS)
     found = [s.getPath() for s in files.globStatus(hadoop.Path(f"{path}/{levels}")) or []]
-    return [p.toString() for p in found if int(p.getName().split("=")[1]) >= since_ms]
+
+    def recent(name: str) -> bool:
+        value = name.split("=", 1)[1]
+        return value.removeprefix("-").isdigit() and int(value) >= since_ms
+
+    return [p.toString() for p in found if recent(p.getName())]
 
 
 def read_master(
     spark: SparkSession, path: str, missing_ok: bool = False, since_ms: int | None = None
 ) -> DataFrame:
-    """The master dataset. With ``missing_ok`` an absent folder reads as no rows.
+    """The master dataset, by whomever it was written. With ``missing_ok`` an absent folder reads
+    as no rows.
 
     With ``since_ms`` only buckets from then on are read, and the files of older ones are not even
     listed: listing a long history takes longer than scanning its last hours.
     """
-    reader = spark.read.schema(MASTER)
+    reader = spark.read.schema(STORED)
     try:
         folders = None if since_ms is None else _recent_folders(spark, path, since_ms)
+        if folders == []:
+            return spark.createDataFrame([], MASTER)
         if folders:
-            return reader.option("basePath", path).parquet(*folders)
-        master = reader.parquet(path)
+            return reader.option("basePath", path).parquet(*folders).select(*MASTER.names)
+        return reader.parquet(path).select(*MASTER.names)
     except AnalysisException as error:
         if missing_ok and error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], MASTER)
         raise
-    return master if since_ms is None else master.where(F.col("timestamp_hour") >= since_ms)
 
 
 def read_view(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -62,9 +75,10 @@ def query_path(spark: SparkSession, path: str, where: str | None = None) -> Data
 def latest_offsets(master: DataFrame) -> DataFrame:
     """First offset not yet stored, per topic and Kafka partition.
 
-    ``untilOffset`` is stored as text and is exclusive: compare as numbers, resume at it.
+    ``untilOffset`` is stored as text and is exclusive: compare as numbers, resume at it. Rows that
+    have none, as they come from files, say nothing about a topic.
     """
-    return master.groupBy("topic", "kafkaPartition").agg(
+    return master.where(F.col("untilOffset").isNotNull()).groupBy("topic", "kafkaPartition").agg(
         F.max(F.col("untilOffset").cast("long")).alias("untilOffset")
     )
 

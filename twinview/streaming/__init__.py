@@ -1,7 +1,7 @@
 """Continuously updated views."""
 
-from twinview.streaming.changelog import compact_view, latest_view, write_changes
-from twinview.streaming.expiry import start_expiring_view, start_expiring_visitors
+from twinview.streaming.changelog import compact_view, drop_compacted, latest_view, write_changes
+from twinview.streaming.expiry import compact_expiring_view, live_view, start_expiring_view
 from twinview.streaming.queries import (
     append_master_stream,
     await_for,
@@ -16,8 +16,8 @@ from twinview.streaming.views import (
 )
 
 __all__ = [
-    "activity_view_stream", "append_master_stream", "await_for", "compact_view",
-    "exact_visitors_stream", "latest_view", "publish_view", "start_expiring_view",
-    "start_expiring_visitors", "stop_when_idle", "upsert_view", "visitor_view_stream",
+    "activity_view_stream", "append_master_stream", "await_for", "compact_expiring_view",
+    "compact_view", "drop_compacted", "exact_visitors_stream", "latest_view", "live_view",
+    "publish_view", "start_expiring_view", "stop_when_idle", "upsert_view", "visitor_view_stream",
     "write_changes",
 ]

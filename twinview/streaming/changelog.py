@@ -1,11 +1,15 @@
 """A keyed view kept as a changelog in Parquet.
 
-    <path>/changes/batch_id=<n>/   what micro-batch n changed, one row per changed key
-    <path>/base/upto=<n>/          the last row per key of all batches up to n
+    <path>/changes/batch_id=<n>/              what micro-batch n changed, one row per changed key
+    <path>/base/[timestamp_hour=<h>/]upto=<n>/  what all batches up to n come to, by time bucket
+    <path>/marks/upto=<n>/                    compaction n is whole
 
 A replayed micro-batch replaces its own folder, so a retry changes nothing. Folders count only once
-their ``_SUCCESS`` marker is there, so a reader never sees half a batch. What a reader goes through
-is the newest base and the batches after it; ``compact_view`` keeps those few.
+their ``_SUCCESS`` marker is there, so a reader never sees half a batch or half a base. A reader
+goes through each bucket's newest base up to the newest mark and the batches after that mark.
+
+Micro-batches only write; ``compact_view`` is a job of its own, from time to time, beside them. It
+rewrites the buckets that have changed and leaves all others where they are.
 """
 
 from __future__ import annotations
@@ -20,17 +24,20 @@ from twinview.operators.snapshots import last_per_key
 from twinview.schema import VIEW_KEYS
 
 BATCH_ID = "batch_id"
+BUCKET = "timestamp_hour"
+UPTO = "upto"
+
 
-# Keys are broadcast as hashes of 8 bytes: a table of this many takes some 10 MB, however long the
-# keys are.
-MAX_BROADCAST_KEYS = 200_000
+def _glob(spark: SparkSession, pattern: str) -> list:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return [s.getPath() for s in found]
 
 
 def _numbers(spark: SparkSession, parent: str, name: str) -> list[int]:
     """Numbers of the completed folders <parent>/<name>=<number>."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{parent}/{name}=*/_SUCCESS")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
+    found = _glob(spark, f"{parent}/{name}=*/_SUCCESS")
+    return sorted(int(p.getParent().getName().split("=")[1]) for p in found)
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:
@@ -38,56 +45,62 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
-def write_changes(changes: DataFrame, path: str, batch_id: int) -> None:
-    """Store what one micro-batch changed, replacing an earlier try of the same batch."""
-    changes.write.mode("overwrite").parquet(f"{path}/changes/{BATCH_ID}={batch_id}")
+def delete_folders(spark: SparkSession, folders: Sequence[str]) -> None:
+    for folder in folders:
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def read_changes(
-    spark: SparkSession, path: str, schema: T.StructType, before: int | None = None
-) -> DataFrame:
-    """The newest base and the batches after it, with their ``batch_id``.
+def _bases(spark: SparkSession, path: str, schema: T.StructType) -> dict[str, dict[int, str]]:
+    """Folders of each bucket's bases by the batch they reach up to."""
+    levels = f"{BUCKET}=*/{UPTO}=*" if BUCKET in schema.names else f"{UPTO}=*"
+    out: dict[str, dict[int, str]] = {}
+    for folder in _glob(spark, f"{path}/base/{levels}"):
+        bucket = folder.getParent().getName()
+        out.setdefault(bucket, {})[int(folder.getName().split("=")[1])] = folder.toString()
+    return out
 
-    ``before`` hides that batch and all later ones: what a batch must not see when it is replayed.
+
+def _mark(spark: SparkSession, path: str, upto: int) -> None:
+    file = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/marks/{UPTO}={upto}/_SUCCESS")
+    file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file, True).close()
+
+
+def write_changes(changes: DataFrame, path: str, batch_id: int) -> None:
+    """Store what one micro-batch changed, replacing an earlier try of the same batch.
+
+    The number of files follows the size of the data, not the number of shuffle partitions.
     """
-    logged = T.StructType([*schema.fields, T.StructField(BATCH_ID, T.LongType())])
+    changes.hint("rebalance").write.mode("overwrite").parquet(f"{path}/changes/{BATCH_ID}={batch_id}")
 
-    def known(name: str, folder: str) -> list[int]:
-        numbers = _numbers(spark, f"{path}/{folder}", name)
-        return [n for n in numbers if before is None or n < before]
 
-    bases = known("upto", "base")
-    base = bases[-1] if bases else -1
-    batches = [n for n in known(BATCH_ID, "changes") if n > base]
-    changes = spark.createDataFrame([], logged)
+def _read(
+    spark: SparkSession, path: str, schema: T.StructType, newest: int, buckets: set[str] | None = None
+) -> DataFrame:
+    """Rows of all batches up to ``newest``, with the ``batch_id`` up to which they reach."""
+    logged = T.StructType([*schema.fields, T.StructField(BATCH_ID, T.LongType())])
+    marks = [n for n in _numbers(spark, f"{path}/marks", UPTO) if n <= newest]
+    mark = marks[-1] if marks else -1
+    batches = [n for n in _numbers(spark, f"{path}/changes", BATCH_ID) if mark < n <= newest]
+    rows = spark.createDataFrame([], logged)
     if batches:
         folders = [f"{path}/changes/{BATCH_ID}={n}" for n in batches]
-        changes = (
-            spark.read.schema(logged).option("basePath", f"{path}/changes").parquet(*folders)
-        )
-    if not bases:
-        return changes
-    compacted = spark.read.schema(logged).parquet(f"{path}/base/upto={base}")
-    return compacted.unionByName(changes) if batches else compacted
+        rows = spark.read.schema(logged).option("basePath", f"{path}/changes").parquet(*folders)
+    bases = []
+    for bucket, folders in _bases(spark, path, schema).items():
+        known = [n for n in folders if n <= mark]
+        if known and (buckets is None or bucket in buckets):
+            bases.append(folders[max(known)])
+    if bases:
+        stored = T.StructType([*schema.fields, T.StructField(UPTO, T.LongType())])
+        base = spark.read.schema(stored).option("basePath", f"{path}/base").parquet(*bases)
+        rows = base.select(*schema.names, F.col(UPTO).alias(BATCH_ID)).unionByName(rows)
+    return rows
 
 
-def near(rows: DataFrame, batch: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
-    """The rows of a state that may have a key of a (persisted) micro-batch, and the latter's size.
-
-    Only the micro-batch's range of time buckets is read. If it has few rows, the hashes of their
-    keys are sent to the state, which is then scanned but not shuffled. The join by key that must
-    follow leaves out what only shares a hash, and does all of the work for a big micro-batch.
-    """
-    bucket = F.col("timestamp_hour")
-    extent = batch.agg(
-        F.count("*").alias("count"), F.min(bucket).alias("first"), F.max(bucket).alias("last")
-    ).first()
-    rows = rows.where(bucket.between(F.lit(extent["first"]), F.lit(extent["last"])))
-    if extent["count"] <= MAX_BROADCAST_KEYS:
-        hashes = F.broadcast(batch.select(F.xxhash64(*keys).alias("key_hash")))
-        hashed = rows.withColumn("key_hash", F.xxhash64(*keys))
-        rows = hashed.join(hashes, "key_hash", "left_semi").drop("key_hash")
-    return rows, extent["count"]
+def read_changes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The newest base of each bucket and the batches after it, with their ``batch_id``."""
+    return _read(spark, path, schema, 1 << 62)
 
 
 def latest_view(
@@ -97,72 +110,71 @@ def latest_view(
     return last_per_key(read_changes(spark, path, schema), keys, BATCH_ID).drop(BATCH_ID)
 
 
+def _bucket_name(value: int | None) -> str:
+    return f"{BUCKET}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
 def compact_view(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
     keys: Sequence[str] = VIEW_KEYS,
-    upto: int | None = None,
-    keep: Callable[[DataFrame], DataFrame] | None = None,
+    resolve: Callable[[DataFrame], DataFrame] | None = None,
+    carry: bool = True,
 ) -> int | None:
-    """Write a new base and return the batch it reaches up to, None if there was nothing to do.
+    """Write new bases and return the batch they reach up to, None if there was nothing to do.
 
-    ``keep`` chooses among the last rows; empty ``keys`` mean that rows are never replaced. What
-    the new base covers stays until ``drop_compacted``, for readers already under way.
+    ``resolve`` makes of a bucket's rows those to keep, else the last row per key stays. With
+    ``carry`` buckets without a change stay as they are. What the new bases cover stays until
+    ``drop_compacted``, for readers already under way.
     """
     batches = _numbers(spark, f"{path}/changes", BATCH_ID)
-    batches = [n for n in batches if upto is None or n <= upto]
-    bases = _numbers(spark, f"{path}/base", "upto")
-    if not batches or (bases and bases[-1] >= batches[-1]):
+    marks = _numbers(spark, f"{path}/marks", UPTO)
+    if not batches or (marks and marks[-1] >= batches[-1]):
         return None
-    newest = batches[-1]
-    rows = read_changes(spark, path, schema, newest + 1)
-    if keys:
-        rows = last_per_key(rows, keys, BATCH_ID)
-    if keep:
-        rows = keep(rows)
-    rows = rows.select(*schema.names, BATCH_ID)
-    if "timestamp_hour" in rows.columns:
-        rows = rows.sortWithinPartitions("timestamp_hour")  # near() skips most of each file
-    rows.write.mode("overwrite").parquet(f"{path}/base/upto={newest}")
+    newest, by_bucket, touched = batches[-1], BUCKET in schema.names, None
+    if by_bucket and carry:
+        fresh = [f"{path}/changes/{BATCH_ID}={n}" for n in batches if not marks or n > marks[-1]]
+        found = spark.read.schema(schema).parquet(*fresh).select(BUCKET).distinct()
+        touched = {_bucket_name(r[0]) for r in found.collect()}  # names of folders to be written
+    rows = _read(spark, path, schema, newest, touched)
+    rows = resolve(rows) if resolve else last_per_key(rows, keys, BATCH_ID)
+    rows = rows.select(*schema.names).withColumn(UPTO, F.lit(newest).cast("long"))
+    levels = [BUCKET, UPTO] if by_bucket else [UPTO]
+    writer = rows.hint("rebalance", *levels).write.partitionBy(*levels)
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{path}/base")
+    if not carry:  # a bucket of which nothing is kept must not be read from its older base
+        _retire(spark, path, schema, newest)
+    _mark(spark, path, newest)
     return newest
 
 
-def compact_before(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    batch_id: int,
-    every: int,
-    keys: Sequence[str] = VIEW_KEYS,
-    keep: Callable[[DataFrame], DataFrame] | None = None,
-) -> None:
-    """Compact once per ``every`` micro-batches, before this one writes.
-
-    Only earlier batches are covered, which are committed: a replay of this one finds its input.
-    """
-    if batch_id and batch_id % every == 0:
-        compact_view(spark, path, schema, keys, batch_id - 1, keep)
-        drop_compacted(spark, path)
+def _retire(spark: SparkSession, path: str, schema: T.StructType, newest: int) -> None:
+    """Give buckets without a row in the new base an empty one."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    for bucket, folders in _bases(spark, path, schema).items():
+        if newest not in folders:
+            parent = fs.Path(next(iter(folders.values()))).getParent()
+            folder = fs.Path(parent, f"{UPTO}={newest}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
-def drop_compacted(spark: SparkSession, path: str) -> None:
-    """Delete all bases but the newest two, and the batches covered by the older of these."""
-    bases = _numbers(spark, f"{path}/base", "upto")
-    if len(bases) < 2:
+def drop_compacted(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Delete what the mark before the newest one covers, but for the bases it reads."""
+    marks = _numbers(spark, f"{path}/marks", UPTO)
+    if len(marks) < 2:
         return
+    mark = marks[-2]
     batches = _numbers(spark, f"{path}/changes", BATCH_ID)
-    delete_folders(spark, [f"{path}/base/upto={n}" for n in bases[:-2]])
-    delete_folders(spark, [f"{path}/changes/{BATCH_ID}={n}" for n in batches if n <= bases[-2]])
+    old = [f"{path}/changes/{BATCH_ID}={n}" for n in batches if n <= mark]
+    for folders in _bases(spark, path, schema).values():
+        known = [n for n in folders if n <= mark]
+        old += [folders[n] for n in known if n < max(known)]
+    old += [f"{path}/marks/{UPTO}={n}" for n in marks[:-2]]
+    delete_folders(spark, old)
 
 
 def drop_batches(spark: SparkSession, path: str, before: int) -> None:
     """Delete the changes of batches before this one, where only the newest batch is of use."""
     batches = _numbers(spark, f"{path}/changes", BATCH_ID)
     delete_folders(spark, [f"{path}/changes/{BATCH_ID}={n}" for n in batches if n < before])
-
-
-def delete_folders(spark: SparkSession, folders: Sequence[str]) -> None:
-    for folder in folders:
-        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,243 +1,176 @@
-"""Running views whose keys expire: a key without new data for ``ttl_ms`` starts over.
+"""Running views whose keys expire: a key without new data for more than ``ttl_ms`` starts over.
 
-Each micro-batch is aggregated like a batch view, merged with the last rows of its own keys and
-logged as a changelog. All of it is DataFrame work on the executors, sketches included, and the
-time is a parameter. The clock must not run backwards.
+A micro-batch only appends: its own aggregates per key, with the time it ran at (``changelog``).
+No state is read for that, so its cost follows its own data. Which batches belong to a key's current
+run is found on reading, with Spark's session windows over the times: a run ends where the key had
+no data for longer than the limit. Compaction replaces each run by one row and drops those that
+have ended. The clock must not run backwards; the limit is an argument of reading alone.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from twinview.operators.snapshots import last_per_key
 from twinview.operators.views import activity_by_product, visitor_sketches
 from twinview.schema import ACTIVITY_BY_PRODUCT, VIEW_KEYS, VISITORS_BY_PRODUCT
-from twinview.streaming.changelog import (
-    BATCH_ID,
-    compact_before,
-    latest_view,
-    near,
-    read_changes,
-    write_changes,
-)
-from twinview.streaming.queries import COMPACT_EVERY, EVERY_SNAPSHOT, start_batches
+from twinview.streaming.changelog import compact_view, drop_compacted, read_changes, write_changes
+from twinview.streaming.queries import EVERY_SNAPSHOT, start_batches
 
 # Time without new data after which a key expires (fixed value).
 TTL_MS = 120 * 60 * 1000
 
-LAST_SEEN = "last_seen_ms"
+SINCE, LAST_SEEN = "since_ms", "last_seen_ms"
 
-# A key with more rows than this in one join is spread over several tasks.
-HOT_ROWS = 200_000
-MAX_HOT_KEYS = 10_000
 
-
-def _now_ms() -> int:
+def wall_clock_ms() -> int:
     return time.time_ns() // 1_000_000
 
 
-def _state(view: T.StructType, *extra: T.StructField) -> T.StructType:
-    return T.StructType([*view.fields, *extra, T.StructField(LAST_SEEN, T.LongType())])
-
+_TIMES = [T.StructField(SINCE, T.LongType()), T.StructField(LAST_SEEN, T.LongType())]
+_KEYS = [f for f in ACTIVITY_BY_PRODUCT if f.name in VIEW_KEYS]
 
-STATES = {
-    "activity": _state(ACTIVITY_BY_PRODUCT),
-    "visitors": _state(VISITORS_BY_PRODUCT, T.StructField("sketch", T.BinaryType())),
-    "clicks": _state(VISITORS_BY_PRODUCT),
-    "exact": _state(VISITORS_BY_PRODUCT, T.StructField("generation", T.LongType())),
+# What a micro-batch appends of each key.
+DELTAS = {
+    "activity": T.StructType([*ACTIVITY_BY_PRODUCT, *_TIMES]),
+    "visitors": T.StructType([*_KEYS, T.StructField("sketch", T.BinaryType()), *_TIMES]),
+    "clicks": T.StructType([*VISITORS_BY_PRODUCT, *_TIMES]),
+    "exact": T.StructType([*_KEYS, *_TIMES]),
 }
-SEEN = T.StructType([
-    *VISITORS_BY_PRODUCT.fields[:2],
-    T.StructField("generation", T.LongType()),
-    T.StructField("visitor", T.StringType()),
-])
+# And for exact visitors of each key and visitor.
+SEEN = T.StructType([*_KEYS, T.StructField("visitor", T.StringType()), *_TIMES[1:]])
 
 
-def _alive(now_ms: int, ttl_ms: int) -> Column:
-    return F.col(LAST_SEEN) >= F.lit(now_ms - ttl_ms).cast("long")
+def _check(kind: str) -> None:
+    if kind not in DELTAS:
+        raise ValueError(f"kind is one of {', '.join(DELTAS)}, not {kind!r}")
 
 
-def _aggregate(kind: str, activity: DataFrame) -> DataFrame:
+def _batch(kind: str, activity: DataFrame) -> DataFrame:
     if kind == "activity":
         return activity_by_product(activity)
     if kind == "visitors":
         return visitor_sketches(activity)
-    return activity.groupBy(*VIEW_KEYS).agg(F.count("*").alias("unique_visitors"))
+    if kind == "clicks":
+        return activity.groupBy(*VIEW_KEYS).agg(F.count("*").alias("unique_visitors"))
+    return activity.select(*VIEW_KEYS).distinct()
 
 
-def _merged(kind: str) -> dict[str, Column]:
-    """New values of a key from its own batch ``b`` and its live state ``s``, if any."""
+def _merged(kind: str) -> list[Column]:
+    """A key's values out of those of several batches."""
     if kind == "visitors":
-        union = F.coalesce(F.hll_union("b.sketch", "s.sketch"), F.col("b.sketch"))
-        return {"unique_visitors": F.hll_sketch_estimate(union), "sketch": union}
-    counters = ACTIVITY_BY_PRODUCT.names[2:] if kind == "activity" else ["unique_visitors"]
-    return {c: F.col(f"b.{c}") + F.coalesce(f"s.{c}", F.lit(0).cast("long")) for c in counters}
+        return [F.hll_union_agg("sketch").alias("sketch")]
+    names = {"activity": ACTIVITY_BY_PRODUCT.names[2:], "clicks": ["unique_visitors"], "exact": []}[kind]
+    return [F.sum(name).alias(name) for name in names]
 
 
-def _live(
-    fresh: DataFrame, path: str, batch_id: int, kind: str, ttl_ms: int, now_ms: int
-) -> DataFrame:
-    """The unexpired state before this batch of the keys in ``fresh``, which must be persisted."""
-    changes = read_changes(fresh.sparkSession, path, STATES[kind], before=batch_id)
-    touched, _ = near(changes, fresh, VIEW_KEYS)
-    return last_per_key(touched, VIEW_KEYS, BATCH_ID).drop(BATCH_ID).where(_alive(now_ms, ttl_ms))
-
-
-def merge_batch(
-    activity: DataFrame, path: str, batch_id: int, kind: str, ttl_ms: int, now_ms: int
-) -> None:
-    """Merge one micro-batch into the view at ``path``. Doing it again changes nothing."""
-    fresh = _aggregate(kind, activity).persist()
-    try:
-        live = _live(fresh, path, batch_id, kind, ttl_ms, now_ms)
-        joined = fresh.alias("b").join(live.alias("s"), list(VIEW_KEYS), "left")
-        changes = joined.select(
-            *VIEW_KEYS,
-            *(value.alias(name) for name, value in _merged(kind).items()),
-            F.lit(now_ms).cast("long").alias(LAST_SEEN),
-        )
-        write_changes(changes.select(*STATES[kind].names), path, batch_id)
-    finally:
-        fresh.unpersist()
+def append_batch(activity: DataFrame, path: str, batch_id: int, kind: str, now_ms: int) -> None:
+    """Append what one micro-batch adds to the view at ``path``. Doing it again changes nothing."""
+    times = [F.lit(now_ms).cast("long").alias(name) for name in (SINCE, LAST_SEEN)]
+    if kind == "exact":
+        seen = activity.select(*VIEW_KEYS, "visitor").where("visitor is not null").distinct()
+        write_changes(seen.select("*", times[1]), f"{path}/seen", batch_id)
+        path = f"{path}/view"
+    delta = _batch(kind, activity).select("*", *times)
+    write_changes(delta.select(*DELTAS[kind].names), path, batch_id)
 
 
 def start_expiring_view(
     activity: DataFrame,
     path: str,
     kind: str = "activity",
-    ttl_ms: int = TTL_MS,
-    clock: Callable[[], int] = _now_ms,
+    clock: Callable[[], int] = wall_clock_ms,
     checkpoint: str | None = None,
     trigger: Mapping = EVERY_SNAPSHOT,
-    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
-    """Keep an expiring view of action counts ("activity"), sketched visitors ("visitors") or
-    plain click counts ("clicks") at ``path``; ``live_view`` reads it."""
-    if kind not in ("activity", "visitors", "clicks"):
-        raise ValueError(f"kind is 'activity', 'visitors' or 'clicks', not {kind!r}")
+    """Keep an expiring view at ``path``: action counts ("activity"), sketched visitors
+    ("visitors"), exact visitors ("exact") or plain click counts ("clicks").
+
+    ``live_view`` reads it; ``compact_expiring_view`` should be run now and then.
+    """
+    _check(kind)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        now_ms, spark = clock(), batch.sparkSession
-        compact_before(
-            spark, path, STATES[kind], batch_id, compact_every,
-            keep=lambda rows: rows.where(_alive(now_ms, ttl_ms)),
-        )
-        merge_batch(batch, path, batch_id, kind, ttl_ms, now_ms)
+        batch.persist()
+        try:
+            append_batch(batch, path, batch_id, kind, clock())
+        finally:
+            batch.unpersist()
 
     return start_batches(activity, on_batch, path, checkpoint, trigger)
 
 
+def _runs(rows: DataFrame, kind: str, ttl_ms: int | None) -> DataFrame:
+    """One row per key and run, with its values, since when and until when it had data."""
+    keys: list = list(VIEW_KEYS)
+    if ttl_ms is not None:  # a row exactly ttl_ms after the one before goes on with its run
+        keys.append(F.session_window(F.timestamp_millis(LAST_SEEN), f"{ttl_ms} milliseconds").alias("run"))
+    runs = rows.groupBy(*keys).agg(*_merged(kind), F.min(SINCE).alias(SINCE), F.max(LAST_SEEN).alias(LAST_SEEN))
+    return runs.select(*DELTAS[kind].names)
+
+
+def _with_visitors(runs: DataFrame, seen: DataFrame) -> DataFrame:
+    """Rows of ``seen`` next to the run they fall in; a run without any has a null visitor.
+
+    Visitors are rows of their own, so a key with very many is split by the join, and counted in
+    two stages behind it.
+    """
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in VIEW_KEYS]
+    in_run = F.col(f"s.{LAST_SEEN}") >= F.col(f"r.{SINCE}")
+    joined = runs.alias("r").join(seen.alias("s"), [*same, in_run], "left")
+    return joined.select(*(f"r.{k}" for k in VIEW_KEYS), "s.visitor", f"s.{LAST_SEEN}")
+
+
 def live_view(
-    spark: SparkSession, path: str, kind: str = "activity", ttl_ms: int = TTL_MS,
-    now_ms: int | None = None,
+    spark: SparkSession, path: str, kind: str = "activity", ttl_ms: int | None = TTL_MS, now_ms: int | None = None
 ) -> DataFrame:
-    """The keys that have not expired, in the layout of the batch view."""
+    """The keys that have not expired, in the layout of the batch view; with ``ttl_ms=None`` none
+    ever does."""
+    _check(kind)
     layout = ACTIVITY_BY_PRODUCT if kind == "activity" else VISITORS_BY_PRODUCT
-    needed = T.StructType([f for f in STATES[kind] if f.name in (*layout.names, LAST_SEEN)])
-    view = latest_view(spark, path, needed)
-    return view.where(_alive(_now_ms() if now_ms is None else now_ms, ttl_ms)).select(*layout.names)
+    rows = read_changes(spark, f"{path}/view" if kind == "exact" else path, DELTAS[kind])
+    runs = _runs(rows, kind, ttl_ms)
+    if ttl_ms is not None:
+        now_ms = wall_clock_ms() if now_ms is None else now_ms
+        runs = runs.where(F.col(LAST_SEEN) >= now_ms - ttl_ms)
+    if kind == "visitors":
+        runs = runs.withColumn("unique_visitors", F.hll_sketch_estimate("sketch"))
+    if kind == "exact":
+        found = _with_visitors(runs, read_changes(spark, f"{path}/seen", SEEN))
+        runs = found.groupBy(*VIEW_KEYS).agg(F.count_distinct("visitor").alias("unique_visitors"))
+    return runs.select(*layout.names)
 
 
-def _join_by_key(
-    rows: DataFrame, keyed: DataFrame, on: Sequence[str], how: str, count: int
-) -> DataFrame:
-    """Join ``count`` rows that have a ``visitor`` to one row per key.
+def compact_expiring_view(spark: SparkSession, path: str, kind: str = "activity", ttl_ms: int | None = TTL_MS) -> None:
+    """Replace each run by one row, and drop the runs that had ended when the newest batch ran.
 
-    The rows of a hot key are dealt out over several tasks by visitor, and its one row is copied to
-    each. A key is hot above HOT_ROWS rows or a MAX_HOT_KEYS-th of all rows, whichever is more: so
-    there are at most MAX_HOT_KEYS of them, broadcast as a hash and a number each.
-    """
-    hot_rows = max(HOT_ROWS, -(-count // MAX_HOT_KEYS))
-    if count <= hot_rows:
-        return rows.join(keyed, list(on), how)
-    key_hash = F.xxhash64(*on).alias("key_hash")
-    sizes = rows.groupBy(key_hash).agg(F.ceil(F.count("*") / hot_rows).cast("int").alias("salts"))
-    hot = F.broadcast(sizes.where(F.col("salts") > 1))
-
-    def salted(side: DataFrame, salt: Callable[[Column], Column]) -> DataFrame:
-        with_salts = side.withColumn("key_hash", key_hash).join(hot, "key_hash", "left")
-        salts = F.coalesce("salts", F.lit(1))
-        return with_salts.withColumn("salt", salt(salts)).drop("key_hash", "salts")
-
-    dealt = salted(rows, lambda n: F.pmod(F.xxhash64("visitor"), n).cast("int"))
-    copied = salted(keyed, lambda n: F.explode(F.sequence(F.lit(0), n - 1)))
-    return dealt.join(copied, [*on, "salt"], how).drop("salt")
-
-
-def merge_exact_batch(
-    activity: DataFrame, path: str, batch_id: int, ttl_ms: int, now_ms: int
-) -> None:
-    """Merge one micro-batch into the exact view at ``path``. Doing it again changes nothing.
-
-    Visitors are logged once per key and generation, as rows of their own; the generation of a key
-    is the batch it (re)started with, so an expired key's visitors count for nothing later.
+    A job of its own, beside the running query. Call it with one and the same limit, the one views
+    are read with.
     """
-    spark = activity.sparkSession
-    view_path, seen_path = f"{path}/view", f"{path}/seen"
-    visitors = activity.select(*VIEW_KEYS, "visitor").distinct().persist()
-    products = visitors.select(*VIEW_KEYS).distinct().persist()
-    live = _live(products, view_path, batch_id, "exact", ttl_ms, now_ms)
-    touched = products.join(live, list(VIEW_KEYS), "left").select(
-        *VIEW_KEYS,
-        F.coalesce("generation", F.lit(batch_id).cast("long")).alias("generation"),
-        F.coalesce("unique_visitors", F.lit(0).cast("long")).alias("before"),
-    ).persist()
-    try:
-        known = visitors.where(F.col("visitor").isNotNull())
-        seen = read_changes(spark, seen_path, SEEN, before=batch_id).drop(BATCH_ID)
-        seen, count = near(seen, known, [*VIEW_KEYS, "visitor"])
-        candidates = _join_by_key(known, touched.drop("before"), VIEW_KEYS, "inner", count)
-        new = candidates.join(seen, SEEN.names, "left_anti").select(*SEEN.names)
-        write_changes(new, seen_path, batch_id)
-
-        stored = spark.read.schema(SEEN).parquet(f"{seen_path}/changes/{BATCH_ID}={batch_id}")
-        added = stored.groupBy(*VIEW_KEYS).agg(F.count("*").alias("added"))
-        changes = touched.join(added, list(VIEW_KEYS), "left").select(
-            *VIEW_KEYS,
-            (F.col("before") + F.coalesce("added", F.lit(0).cast("long"))).alias("unique_visitors"),
-            "generation",
-            F.lit(now_ms).cast("long").alias(LAST_SEEN),
-        )
-        write_changes(changes.select(*STATES["exact"].names), view_path, batch_id)
-    finally:
-        for kept in (touched, products, visitors):
-            kept.unpersist()
-
-
-def start_expiring_visitors(
-    activity: DataFrame,
-    path: str,
-    ttl_ms: int = TTL_MS,
-    clock: Callable[[], int] = _now_ms,
-    checkpoint: str | None = None,
-    trigger: Mapping = EVERY_SNAPSHOT,
-    compact_every: int = COMPACT_EVERY,
-) -> StreamingQuery:
-    """Keep an expiring view of exact visitors; ``live_view(spark, f"{path}/view", "exact")``
-    reads it."""
-    view_path, seen_path = f"{path}/view", f"{path}/seen"
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        now_ms, spark = clock(), batch.sparkSession
-        compact_before(
-            spark, view_path, STATES["exact"], batch_id, compact_every,
-            keep=lambda rows: rows.where(_alive(now_ms, ttl_ms)),
-        )
-
-        def of_live_keys(rows: DataFrame) -> DataFrame:
-            live = read_changes(spark, view_path, STATES["exact"], before=batch_id)
-            live = last_per_key(live, VIEW_KEYS, BATCH_ID).where(_alive(now_ms, ttl_ms))
-            keys = [*VIEW_KEYS, "generation"]
-            return _join_by_key(rows, live.select(*keys), keys, "left_semi", rows.count())
-
-        compact_before(
-            spark, seen_path, SEEN, batch_id, compact_every, keys=(), keep=of_live_keys)
-        merge_exact_batch(batch, path, batch_id, ttl_ms, now_ms)
-
-    return start_batches(activity, on_batch, path, checkpoint, trigger)
+    _check(kind)
+    view = f"{path}/view" if kind == "exact" else path
+
+    def current(rows: DataFrame) -> DataFrame:
+        runs = _runs(rows, kind, ttl_ms)
+        if ttl_ms is None:
+            return runs
+        newest = rows.agg(F.max(LAST_SEEN).alias("newest"))  # one row
+        return runs.join(F.broadcast(newest), F.col(LAST_SEEN) >= F.col("newest") - ttl_ms, "left_semi")
+
+    compact_view(spark, view, DELTAS[kind], resolve=current, carry=ttl_ms is None)
+    drop_compacted(spark, view, DELTAS[kind])
+    if kind != "exact":
+        return
+
+    def of_current_runs(seen: DataFrame) -> DataFrame:
+        runs = current(read_changes(spark, view, DELTAS[kind]))
+        known = _with_visitors(runs, seen).where("visitor is not null")
+        return known.groupBy(*VIEW_KEYS, "visitor").agg(F.max(LAST_SEEN).alias(LAST_SEEN))
+
+    compact_view(spark, f"{path}/seen", SEEN, resolve=of_current_runs, carry=ttl_ms is None)
+    drop_compacted(spark, f"{path}/seen", SEEN)

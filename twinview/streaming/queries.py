@@ -1,11 +1,13 @@
 """Streaming queries: start, publish, stop.
 
-A query's checkpoint lies in ``_checkpoint`` below the table it writes, unless given: table and
-checkpoint belong together, and one must not be kept without the other.
+A query's checkpoint lies in ``_checkpoint`` below the table it writes (the master dataset's beside
+it, as it is read by its folders), unless given: table and checkpoint belong together, and one
+must not be kept without the other.
 """
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable, Mapping, Sequence
 
@@ -13,10 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from twinview.operators.reports import register
-from twinview.schema import MASTER_PARTITIONS, VIEW_KEYS
+from twinview.schema import VIEW_KEYS
 from twinview.session import state_settings
+from twinview.sinks import append_master
 from twinview.streaming.changelog import (
-    compact_before,
     drop_batches,
     folder_exists,
     latest_view,
@@ -27,9 +29,6 @@ from twinview.streaming.changelog import (
 EVERY_BATCH = {"processingTime": "4 seconds"}
 EVERY_SNAPSHOT = {"processingTime": "28 seconds"}
 
-# Number of micro-batches after which a changelog is compacted.
-COMPACT_EVERY = 50
-
 
 def start_batches(
     stream: DataFrame,
@@ -37,14 +36,15 @@ def start_batches(
     path: str,
     checkpoint: str | None,
     trigger: Mapping,
+    tables: Sequence[str] = (),
 ) -> StreamingQuery:
     """Run ``on_batch`` on every micro-batch.
 
     A checkpoint of its own would number the micro-batches from 0 again, below those already in the
-    table, so a table of another query is refused.
+    table, so a table of another query is refused. ``tables``: folders of tables below the path.
     """
     spark, checkpoint = stream.sparkSession, checkpoint or f"{path}/_checkpoint"
-    used = any(folder_exists(spark, f"{path}/{name}") for name in ("changes", "base", "view"))
+    used = any(folder_exists(spark, f"{path}/{name}") for name in ("changes", "base", "view", *tables))
     if used and not folder_exists(spark, checkpoint):
         raise ValueError(f"{path} has a table, but {checkpoint} is not its checkpoint")
     with state_settings(spark):
@@ -55,36 +55,36 @@ def start_batches(
         )
 
 
+def writer_of(checkpoint: str) -> str:
+    """A name for the query with this checkpoint, the same after a restart."""
+    return hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+
 def append_master_stream(
     flat: DataFrame, path: str, checkpoint: str | None = None, trigger: Mapping = EVERY_BATCH
 ) -> StreamingQuery:
     """Append flattened activities to the master dataset, each exactly once.
 
-    The file sink keeps a log of its files at the path; do not also append there in batch.
+    Micro-batches write as batch jobs do (``append_master``), so both may append to one dataset.
     """
-    return (
-        flat.writeStream.format("parquet").outputMode("append").partitionBy(*MASTER_PARTITIONS)
-        .option("checkpointLocation", checkpoint or f"{path.rstrip('/')}_checkpoint")
-        .trigger(**trigger).start(path)
-    )
+    checkpoint = checkpoint or f"{path.rstrip('/')}_checkpoint"
+    writer = writer_of(checkpoint)
+
+    def on_batch(rows: DataFrame, batch_id: int) -> None:
+        append_master(rows, path, f"{writer}-{batch_id}")
+
+    return flat.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def upsert_view(
     view: DataFrame,
     path: str,
-    keys: Sequence[str] = VIEW_KEYS,
     checkpoint: str | None = None,
     trigger: Mapping = EVERY_SNAPSHOT,
-    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
-    """Save the changed rows of a running view; ``latest_view`` reads it back."""
-    schema = view.schema
-
-    def on_batch(changes: DataFrame, batch_id: int) -> None:
-        compact_before(changes.sparkSession, path, schema, batch_id, compact_every, keys)
-        write_changes(changes, path, batch_id)
-
-    return start_batches(view, on_batch, path, checkpoint, trigger)
+    """Save the changed rows of a running view; ``latest_view`` reads it back, and ``compact_view``
+    should be run now and then."""
+    return start_batches(view, lambda changes, batch_id: write_changes(changes, path, batch_id), path, checkpoint, trigger)
 
 
 def publish_view(
@@ -96,7 +96,6 @@ def publish_view(
     cache: bool = False,
     checkpoint: str | None = None,
     trigger: Mapping = EVERY_BATCH,
-    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Keep SQL table ``name`` of the caller's session at the result of the newest micro-batch.
 
@@ -108,8 +107,6 @@ def publish_view(
 
     def on_batch(rows: DataFrame, batch_id: int) -> None:
         result = transform(rows) if transform else rows
-        if keys:
-            compact_before(spark, path, result.schema, batch_id, compact_every, keys)
         write_changes(result, path, batch_id)
         if keys:
             table = latest_view(spark, path, result.schema, keys)

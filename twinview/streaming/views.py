@@ -6,9 +6,8 @@ watermark. Spark combines each micro-batch map-side before it meets the state of
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,18 +31,10 @@ def exact_visitors_stream(
     """Running exact number of visitors per key; with ``distinct=False`` the number of clicks.
 
     State is spread by (key, visitor), never a list per key. Streaming deduplication has no
-    map-side part, so each Arrow batch drops its own repeats first: a visitor with very many
-    clicks reaches the shuffle as one row per Arrow batch.
+    map-side part; where one visitor may have very many clicks, ``start_expiring_view`` with kind
+    "exact" and a limit of None drops repeats before the shuffle.
     """
     if not distinct:
         return activity.groupBy(*keys).agg(F.count("*").alias("unique_visitors"))
-
-    # Defined here so that it travels with the query: executors need not have this package.
-    def without_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            yield from table.group_by(table.column_names).aggregate([]).to_batches()
-
-    clicks = activity.select(*keys, "visitor")
-    visitors = clicks.mapInArrow(without_repeats, clicks.schema).dropDuplicates()
+    visitors = activity.select(*keys, "visitor").dropDuplicates()
     return visitors.groupBy(*keys).agg(F.count("visitor").alias("unique_visitors"))
