@@ -255,7 +255,7 @@ class _Shard:
         return {int(i): np.array(later[a : a + n - length + 1]) for i, a, n in zip(chosen, begin[:-1], size[chosen])}
 
 
-def _cut(block: _Block, runs: np.ndarray, answers: pa.Table, slices: int) -> pa.Table:
+def _cut(block: _Block, runs: np.ndarray, answers: pa.Table, slices: int, as_text: bool = False) -> pa.Table:
     """The block's documents without the bytes of strings that start earlier."""
     _, leads, lead = block.distinct(runs)
     sent = np.flatnonzero(leads)
@@ -298,16 +298,19 @@ def _cut(block: _Block, runs: np.ndarray, answers: pa.Table, slices: int) -> pa.
     owner = np.repeat(np.arange(len(per) - 1), np.diff(per))
     spans = pa.ListArray.from_arrays(pa.array(per.astype(np.int32)), pa.StructArray.from_arrays(
         [pa.array(starts - bounds[owner]), pa.array(ends - bounds[owner])], ["start", "end"]))
+    parts = (rest[a:b] for a, b in zip(kept[:-1].tolist(), kept[1:].tolist()))
+    column = pa.array([p.decode(errors="ignore") for p in parts], pa.string()) if as_text else pa.array(list(parts), pa.binary())
     return pa.Table.from_arrays(
-        [block.table["doc"], pa.array(np.diff(bounds)), pa.array(np.diff(bounds) - np.diff(kept)), spans,
-         pa.array([rest[a:b] for a, b in zip(kept[:-1].tolist(), kept[1:].tolist())], pa.binary())],
+        [block.table["doc"], pa.array(np.diff(bounds)), pa.array(np.diff(bounds) - np.diff(kept)), spans, column],
         ["doc", "n_bytes", "n_removed", "spans", "kept"])
 
 
 def cut_repeats(docs: DataFrame, length: int = LENGTH, keep: list[str] | None = None, text: str = "text", gram: int = GRAM,
-                block_bytes: int = blocks.BLOCK_BYTES, slice_bytes: int = SLICE_BYTES, memory_bytes: int = MEMORY_BYTES) -> DataFrame:
+                block_bytes: int = blocks.BLOCK_BYTES, slice_bytes: int = SLICE_BYTES, memory_bytes: int = MEMORY_BYTES,
+                as_text: bool = False) -> DataFrame:
     """Every row of ``docs`` as the struct ``doc`` (of the columns ``keep``, all by default), with
-    n_bytes and n_removed of its text in UTF-8, the removed spans (start, end) and the bytes kept.
+    n_bytes and n_removed of its text in UTF-8, the removed spans (start, end) and the bytes kept
+    (``as_text``: as a string, without the rests of characters that a cut goes through).
 
     A byte is removed if a string of ``length`` bytes over it also starts earlier: in a row of
     smaller doc_id (null is smallest) or earlier in the same text. Rows of one doc_id stand in
@@ -339,12 +342,12 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, keep: list[str] | None =
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     result = T.StructType([
         T.StructField("doc", rows.schema["doc"].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
-        T.StructField("spans", T.ArrayType(span)), T.StructField("kept", T.BinaryType())])
+        T.StructField("spans", T.ArrayType(span)), T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
         block, rounds = _Block(table, length, gram), answers["round"].to_numpy()
         runs = block.repeated(answers.filter(pa.array(rounds == 1)), slices)
-        return _cut(block, runs, answers.filter(pa.array(rounds == 2)), slices)
+        return _cut(block, runs, answers.filter(pa.array(rounds == 2)), slices, as_text)
 
     dealt = rows.groupBy("block")
     often = blocks.answer(dealt.applyInArrow(anchors, blocks.MESSAGE), lambda _, found: _often(found))
