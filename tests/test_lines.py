@@ -2,7 +2,6 @@ import random
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from tests.conftest import as_set, click
 from twinview import operators as ops
@@ -100,18 +99,27 @@ def test_file_and_record_props(spark, land):
     props = ops.parse_activity(ops.with_file_props(spark.read.text(folder), "clicks"))
     first = props.select("inputProps").first()[0]
     assert first["topic"] == "clicks" and first["kafkaPartition"] == "0"
-    assert first["fromOffset"] == "0" and int(first["untilOffset"]) == len(click() + click(1)) + 2
+    assert first["fromOffset"] is None and first["untilOffset"] is None  # nothing to resume at
 
 
-@pytest.mark.parametrize("bound", [10, 1])
-def test_offset_ranges_with_and_without_broadcast(spark, bound):
+@pytest.mark.parametrize("known", [False, True])
+def test_offset_ranges_found_or_given(spark, known):
     rows = [(click(i), "t", i % 2, 10 + i) for i in range(40)]
     lines = spark.createDataFrame(rows, "value string, topic string, partition int, offset long")
-    result = ops.with_source_props(lines, max_broadcast_ranges=bound, salts=4)
+    ranges = spark.createDataFrame(
+        [("t", 0, 10, 49), ("t", 1, 11, 50)], "topic string, partition int, fromOffset long, untilOffset long")
+    jobs = spark.sparkContext.statusTracker()
+    before = len(jobs.getJobIdsForGroup(None))
+    result = ops.with_source_props(lines, ranges if known else None, salts=4)
+    assert len(jobs.getJobIdsForGroup(None)) == before  # nothing runs while it is planned
     flat = ops.flatten_props(ops.parse_activity(result))
     assert flat.count() == 40
     assert as_set(flat.select("kafkaPartition", "fromOffset", "untilOffset").distinct()) == [
         ("0", "10", "49"), ("1", "11", "50"),
     ]
-    assert result.drop("inputProps").columns == ["topic", "partition", "value", "offset"]
-    assert flat.where(F.col("topic") != "t").count() == 0
+    assert set(result.drop("inputProps").columns) == {"topic", "partition", "value", "offset"}
+
+
+def test_timestamp_is_judged_once(spark):
+    plan = ops.parse_activity(lines_of(spark, click()))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("RLIKE") == 1

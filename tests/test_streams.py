@@ -3,15 +3,18 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import as_set, click
 from twinview import operators as ops
-from twinview import sources, streaming
+from twinview import sinks, sources, streaming
 from twinview.functions import HOUR_MS, MINUTE_MS
 from twinview.plans import start_pipeline
-from twinview.schema import VIEW_KEYS
-from twinview.streaming.changelog import near, read_changes
-from twinview.streaming.expiry import SEEN, STATES, live_view
+from twinview.plans.speed import ACTIVITY_VIEW, VISITORS_VIEW
+from twinview.schema import ACTIVITY_BY_PRODUCT, VIEW_KEYS
+from twinview.streaming import live_view
+from twinview.streaming.changelog import read_changes
+from twinview.streaming.expiry import DELTAS, SEEN, append_batch
 
 NOW = {"availableNow": True}
 LIMIT = 120
@@ -42,11 +45,13 @@ def landed(land):
     return folder
 
 
-@pytest.mark.parametrize("compact_every", [1, 2, 50])
-def test_running_counts_equal_the_batch_view(spark, landed, tmp_path, compact_every):
+@pytest.mark.parametrize("compacted", [False, True])
+def test_running_counts_equal_the_batch_view(spark, landed, tmp_path, compacted):
     path = str(tmp_path / "view")
     view = streaming.activity_view_stream(stream(spark, landed))
-    finish(streaming.upsert_view(view, path, trigger=NOW, compact_every=compact_every))
+    finish(streaming.upsert_view(view, path, trigger=NOW))
+    if compacted:
+        assert streaming.compact_view(spark, path, view.schema) == 3
     expected = ops.activity_by_product(batch(spark, landed))
     assert as_set(streaming.latest_view(spark, path, view.schema)) == as_set(expected)
 
@@ -88,10 +93,10 @@ def test_restart_goes_on_where_it_stopped(spark, land, tmp_path):
 
 def test_a_table_is_not_continued_with_another_checkpoint(spark, land, tmp_path):
     folder, path = land(click()), str(tmp_path / "view")
-    finish(streaming.start_expiring_visitors(stream(spark, folder), path, trigger=NOW))
+    finish(streaming.start_expiring_view(stream(spark, folder), path, "exact", trigger=NOW))
     with pytest.raises(ValueError, match="not its checkpoint"):
-        streaming.start_expiring_visitors(
-            stream(spark, folder), path, checkpoint=str(tmp_path / "other"), trigger=NOW)
+        streaming.start_expiring_view(
+            stream(spark, folder), path, "exact", checkpoint=str(tmp_path / "other"), trigger=NOW)
 
 
 def forget_last_commit(checkpoint):
@@ -103,45 +108,39 @@ def forget_last_commit(checkpoint):
         os.remove(crc)
 
 
-@pytest.mark.parametrize("kind", ["activity", "visitors", "clicks", "exact"])
-@pytest.mark.parametrize("compact_every", [1, 3, 50])
-def test_replayed_batch_changes_nothing(spark, landed, tmp_path, kind, compact_every):
-    path, options = str(tmp_path / "view"), {"clock": lambda: 5, "trigger": NOW, "compact_every": compact_every}
+KINDS = ["activity", "visitors", "clicks", "exact"]
 
-    def run():
-        if kind == "exact":
-            finish(streaming.start_expiring_visitors(stream(spark, landed), path, **options))
-            return as_set(live_view(spark, f"{path}/view", kind, now_ms=5))
-        finish(streaming.start_expiring_view(stream(spark, landed), path, kind, **options))
-        return as_set(live_view(spark, path, kind, now_ms=5))
 
-    clicks = batch(spark, landed)
-    expected = as_set({
+def in_batch(kind, clicks):
+    return {
         "activity": ops.activity_by_product, "visitors": ops.visitors_by_product,
         "exact": ops.visitors_by_product, "clicks": lambda df: df.groupBy(*VIEW_KEYS).count(),
-    }[kind](clicks))
-    assert run() == expected
-    forget_last_commit(f"{path}/_checkpoint")
-    assert run() == expected
+    }[kind](clicks)
+
 
+@pytest.mark.parametrize("kind", KINDS)
+def test_replayed_batch_changes_nothing(spark, landed, tmp_path, kind):
+    path, expected = str(tmp_path / "view"), as_set(in_batch(kind, batch(spark, landed)))
+    for _ in range(2):
+        finish(streaming.start_expiring_view(stream(spark, landed), path, kind, clock=lambda: 5, trigger=NOW))
+        assert as_set(live_view(spark, path, kind, now_ms=5)) == expected
+        forget_last_commit(f"{path}/_checkpoint")
 
-@pytest.mark.parametrize("kind", ["activity", "visitors", "clicks", "exact"])
-@pytest.mark.parametrize("compact_every", [1, 50])
-def test_idle_keys_expire_and_start_over(spark, land, tmp_path, kind, compact_every):
+
+@pytest.mark.parametrize("kind", KINDS)
+@pytest.mark.parametrize("compacted", [False, True])
+def test_idle_keys_expire_and_start_over(spark, land, tmp_path, kind, compacted):
     """Times 0, 60, 160 and 400 with a limit of 100: B is idle from 0 to 160, A from 160 on."""
     path, times = str(tmp_path / "view"), iter([0, 60, 160, 400])
-    options = {"ttl_ms": 100, "clock": lambda: next(times), "trigger": NOW, "compact_every": compact_every}
-    read = f"{path}/view" if kind == "exact" else path
 
     def step(*lines):
-        clicks = stream(spark, land(*lines))
-        if kind == "exact":
-            finish(streaming.start_expiring_visitors(clicks, path, **options))
-        else:
-            finish(streaming.start_expiring_view(clicks, path, kind, **options))
+        finish(streaming.start_expiring_view(
+            stream(spark, land(*lines)), path, kind, clock=lambda: next(times), trigger=NOW))
+        if compacted:
+            streaming.compact_expiring_view(spark, path, kind, ttl_ms=100)
 
     def alive(now_ms):
-        rows = live_view(spark, read, kind, ttl_ms=100, now_ms=now_ms).collect()
+        rows = live_view(spark, path, kind, ttl_ms=100, now_ms=now_ms).collect()
         return {r.product: r.page_view_count if kind == "activity" else r.unique_visitors for r in rows}
 
     repeat = 3 if kind in ("activity", "clicks") else 2
@@ -157,42 +156,62 @@ def test_idle_keys_expire_and_start_over(spark, land, tmp_path, kind, compact_ev
 
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("kind", ["activity", "exact"])
-def test_expiry_equals_brute_force(spark, land, tmp_path, monkeypatch, kind, seed):
-    """Seven batches of random clicks at random times, some keys idle for longer than the limit."""
-    monkeypatch.setattr("twinview.streaming.expiry.HOT_ROWS", 5)
-    rng, now, ttl, state, times = random.Random(seed), 0, 50, {}, []
-    for _ in range(7):
-        now += rng.choice([5, 20, 49, 51])
-        times.append(now)
+def test_expiry_equals_brute_force(spark, tmp_path, kind, seed):
+    """Batches of random clicks at random times, some keys null, some idle for longer than the limit."""
+    rng, now, ttl, state, path = random.Random(seed), 0, 50, {}, str(tmp_path / "view")
+    schema = "timestamp_hour long, action string, visitor string, product string"
+    for n in range(9):
+        now += rng.choice([5, 20, 50, 51])
         clicks = [
-            (f"P{rng.randrange(12)}", rng.randrange(2) * HOUR_MS, rng.randrange(6))
+            (rng.randrange(2) * HOUR_MS, "page_view", f"V{rng.randrange(6)}", rng.choice([None, *"ABCDEFGHIJK"]))
             for _ in range(rng.choice([3, 15, 40]))
         ]
-        folder = land(*(click(ts, visitor=v, product=p) for p, ts, v in clicks))
-        live = {k: old for k, old in state.items() if now - old[0] <= ttl}
-        for p, ts, v in clicks:
-            live[p, ts] = (now, [*live.get((p, ts), (0, []))[1], v])
-        state = live
-    path, options = str(tmp_path / "view"), {
-        "ttl_ms": ttl, "clock": iter(times).__next__, "trigger": NOW, "compact_every": 3}
-    if kind == "exact":
-        finish(streaming.start_expiring_visitors(stream(spark, folder), path, **options))
-        path = f"{path}/view"
-    else:
-        finish(streaming.start_expiring_view(stream(spark, folder), path, kind, **options))
+        state = {k: old for k, old in state.items() if now - old[0] <= ttl}
+        for hour, _, visitor, product in clicks:
+            state[product, hour] = (now, [*state.get((product, hour), (0, []))[1], visitor])
+        append_batch(spark.createDataFrame(clicks, schema), path, n, kind, now)
+        if n in (3, 4, 7):
+            streaming.compact_expiring_view(spark, path, kind, ttl)
+    value = "page_view_count" if kind == "activity" else "unique_visitors"
     for later in (0, 30, 60):
-        view = live_view(spark, path, kind, ttl, now + later)
-        value = "page_view_count" if kind == "activity" else "unique_visitors"
-        assert as_set(view, *VIEW_KEYS, value) == sorted(
-            (*key, len(seen) if kind == "activity" else len(set(seen)))
+        view = live_view(spark, path, kind, ttl, now + later).select(F.coalesce("product", F.lit("")), "timestamp_hour", value)
+        assert as_set(view) == sorted(
+            (key[0] or "", key[1], len(seen) if kind == "activity" else len(set(seen)))
             for key, (last, seen) in state.items() if now + later - last <= ttl
         )
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10**6])
-def test_hot_key_and_hot_visitor_are_counted_whole(spark, land, tmp_path, monkeypatch, hot_rows):
+@pytest.mark.parametrize("kind", KINDS)
+def test_null_keys_are_one_key_in_all_views(spark, tmp_path, kind):
+    path, rows = str(tmp_path / "view"), [(0, "page_view", "V1", None), (None, "page_view", "V2", "A"), (0, "page_view", None, "A")]
+    clicks = spark.createDataFrame(rows, "timestamp_hour long, action string, visitor string, product string")
+    for n in range(3):
+        append_batch(clicks, path, n, kind, n)
+    thrice = clicks.unionAll(clicks).unionAll(clicks)
+    expected = in_batch(kind, thrice).toPandas().fillna(-1).sort_values(list(VIEW_KEYS), key=lambda c: c.astype(str))
+    for _ in range(2):
+        found = live_view(spark, path, kind, now_ms=2).toPandas().fillna(-1).sort_values(list(VIEW_KEYS), key=lambda c: c.astype(str))
+        assert found.values.tolist() == expected.values.tolist()
+        streaming.compact_expiring_view(spark, path, kind)
+
+
+def test_a_micro_batch_reads_no_state(spark, landed, tmp_path, monkeypatch):
+    """Beyond the first micro-batch, what is written is planned without a scan of the table."""
+    plans, path = [], str(tmp_path / "view")
+    import twinview.streaming.expiry as expiry
+
+    def write(changes, *args):
+        plans.append(changes._jdf.queryExecution().executedPlan().toString())
+
+    monkeypatch.setattr(expiry, "write_changes", write)
+    for kind in KINDS:
+        for n in range(2):
+            append_batch(batch(spark, landed), path, n, kind, n)
+    assert len(plans) == 10 and not any(path in p or "parquet" in p for p in plans)
+
+
+def test_hot_key_and_hot_visitor_are_counted_whole(spark, land, tmp_path):
     """One key has almost all clicks and one visitor most of these, over several batches."""
-    monkeypatch.setattr("twinview.streaming.expiry.HOT_ROWS", hot_rows)
     for n in range(3):
         folder = land(*(click(0, visitor=0 if i % 2 else n * 100 + i, product="HOT") for i in range(800)),
                       click(0, visitor=5, product="COLD"))
@@ -200,23 +219,46 @@ def test_hot_key_and_hot_visitor_are_counted_whole(spark, land, tmp_path, monkey
     view = streaming.exact_visitors_stream(stream(spark, folder))
     finish(streaming.upsert_view(view, str(tmp_path / "a"), trigger=NOW))
     assert as_set(streaming.latest_view(spark, str(tmp_path / "a"), view.schema)) == expected
-    finish(streaming.start_expiring_visitors(
-        stream(spark, folder), str(tmp_path / "b"), trigger=NOW, compact_every=2))
-    assert as_set(live_view(spark, str(tmp_path / "b" / "view"), "exact")) == expected
-    seen = read_changes(spark, str(tmp_path / "b" / "seen"), SEEN)
-    assert seen.count() == seen.select(*SEEN.names).distinct().count()
+    path = str(tmp_path / "b")
+    finish(streaming.start_expiring_view(stream(spark, folder), path, "exact", trigger=NOW))
+    assert as_set(live_view(spark, path, "exact", ttl_ms=None)) == expected
+    streaming.compact_expiring_view(spark, path, "exact")
+    assert as_set(live_view(spark, path, "exact")) == expected
+    seen = read_changes(spark, f"{path}/seen", SEEN)
+    assert seen.count() == seen.select(*VIEW_KEYS, "visitor").distinct().count()
 
 
-def test_compaction_keeps_the_view_and_bounds_what_is_read(spark, landed, tmp_path):
-    path = str(tmp_path / "view")
-    finish(streaming.start_expiring_view(
-        stream(spark, landed), path, clock=lambda: 0, trigger=NOW, compact_every=1))
-    before = as_set(live_view(spark, path, now_ms=0))
-    assert streaming.compact_view(spark, path, STATES["activity"]) == 3
-    assert streaming.compact_view(spark, path, STATES["activity"]) is None
-    assert as_set(live_view(spark, path, now_ms=0)) == before
-    files = read_changes(spark, path, STATES["activity"]).inputFiles()
-    assert files and all("/base/upto=3/" in f for f in files)
+def test_compaction_keeps_the_view_and_rewrites_changed_buckets_only(spark, tmp_path):
+    path, schema = str(tmp_path / "view"), ACTIVITY_BY_PRODUCT
+
+    def write(n, *rows):
+        streaming.write_changes(spark.createDataFrame(rows, schema), path, n)
+
+    write(0, ("A", 0, 1, 0, 0), ("B", HOUR_MS, 1, 0, 0), (None, None, 7, 0, 0))
+    assert streaming.compact_view(spark, path, schema) == 0
+    assert streaming.compact_view(spark, path, schema) is None
+    write(1, ("A", 0, 2, 0, 0))
+    write(2, ("C", 0, 3, 0, 0))
+    expected = {("A", 0, 2), ("B", HOUR_MS, 1), ("C", 0, 3), (None, None, 7)}
+
+    def view():
+        return {tuple(r)[:3] for r in streaming.latest_view(spark, path, schema).collect()}
+
+    assert view() == expected
+    assert streaming.compact_view(spark, path, schema) == 2
+    assert view() == expected
+    streaming.drop_compacted(spark, path, schema)
+    assert view() == expected
+    files = read_changes(spark, path, schema).inputFiles()
+    assert sorted(f.split("/base/")[1].rsplit("/", 1)[0] for f in files) == [
+        "timestamp_hour=0/upto=2", f"timestamp_hour={HOUR_MS}/upto=0", "timestamp_hour=__HIVE_DEFAULT_PARTITION__/upto=0"]
+
+
+def test_files_of_a_micro_batch_follow_its_size(spark, tmp_path):
+    rows = spark.range(2000, numPartitions=64).select(
+        F.col("id").cast("string").alias("product"), *(F.col("id").alias(c) for c in ACTIVITY_BY_PRODUCT.names[1:]))
+    streaming.write_changes(rows.repartition(64, "product"), str(tmp_path / "v"), 0)
+    assert len(glob.glob(f"{tmp_path}/v/changes/batch_id=0/*.parquet")) == 1
 
 
 def test_sql_on_each_batch(spark, land, tmp_path):
@@ -232,55 +274,30 @@ def test_sql_on_each_batch(spark, land, tmp_path):
     assert as_set(spark.table("batch_counts")) == [("B", 2)]
 
 
-@pytest.mark.parametrize("bound", [0, 10**6])
-def test_state_is_looked_up_alike_by_broadcast_and_by_shuffle(spark, landed, tmp_path, monkeypatch, bound):
-    monkeypatch.setattr("twinview.streaming.changelog.MAX_BROADCAST_KEYS", bound)
-    counts, exact = str(tmp_path / "counts"), str(tmp_path / "exact")
-    finish(streaming.start_expiring_view(stream(spark, landed), counts, trigger=NOW))
-    finish(streaming.start_expiring_visitors(stream(spark, landed), exact, trigger=NOW))
-    clicks = batch(spark, landed)
-    assert as_set(live_view(spark, counts)) == as_set(ops.activity_by_product(clicks))
-    assert as_set(live_view(spark, f"{exact}/view", "exact")) == as_set(ops.visitors_by_product(clicks))
-
-
 def test_batches_without_a_good_line(spark, land, tmp_path):
     land("broken")
     land(click(0, product="A"))
     folder = land("broken", "broken too")
     view = streaming.activity_view_stream(stream(spark, folder))
-    finish(streaming.upsert_view(view, str(tmp_path / "a"), trigger=NOW, compact_every=1))
+    finish(streaming.upsert_view(view, str(tmp_path / "a"), trigger=NOW))
     assert as_set(streaming.latest_view(spark, str(tmp_path / "a"), view.schema)) == [("A", 0, 0, 0, 1)]
-    for kind in ("activity", "visitors"):
-        finish(streaming.start_expiring_view(
-            stream(spark, folder), str(tmp_path / kind), kind, trigger=NOW, compact_every=1))
-        assert live_view(spark, str(tmp_path / kind), kind).count() == 1
-    finish(streaming.start_expiring_visitors(
-        stream(spark, folder), str(tmp_path / "e"), trigger=NOW, compact_every=1))
-    assert as_set(live_view(spark, str(tmp_path / "e" / "view"), "exact")) == [("A", 0, 1)]
+    for kind in KINDS:
+        path = str(tmp_path / kind)
+        finish(streaming.start_expiring_view(stream(spark, folder), path, kind, trigger=NOW))
+        assert live_view(spark, path, kind).count() == 1
+        streaming.compact_expiring_view(spark, path, kind)
+        assert live_view(spark, path, kind).count() == 1
     finish(streaming.publish_view(
         stream(spark, folder), "empty_batch", str(tmp_path / "p"), ops.activity_by_product, trigger=NOW))
     assert spark.table("empty_batch").count() == 0
 
 
-def test_state_lookup_reads_few_buckets_and_shuffles_nothing(spark, tmp_path):
-    path, schema = str(tmp_path / "view"), STATES["clicks"]
-    rows = [(f"P{p}", h * HOUR_MS, 1, 0) for p in range(5) for h in range(9)]
-    streaming.write_changes(spark.createDataFrame(rows, schema), path, 0)
-    batch = spark.createDataFrame([("P1", 3 * HOUR_MS), ("P2", 4 * HOUR_MS)], schema.fieldNames()[:2])
-    found, count = near(read_changes(spark, path, schema), batch, VIEW_KEYS)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert count == 2 and as_set(found, *VIEW_KEYS) == as_set(batch)
-    assert f"GreaterThanOrEqual(timestamp_hour,{3 * HOUR_MS})" in plan
-    assert "Exchange hashpartitioning" not in plan
-
-
 def test_half_written_batches_are_not_read(spark, tmp_path):
-    path, schema = str(tmp_path / "view"), STATES["clicks"]
-    rows = spark.createDataFrame([("A", 0, 1, 0)], schema)
-    streaming.write_changes(rows, path, 0)
-    streaming.write_changes(spark.createDataFrame([("A", 0, 2, 0)], schema), path, 1)
+    path, schema = str(tmp_path / "view"), DELTAS["clicks"]
+    streaming.write_changes(spark.createDataFrame([("A", 0, 1, 0, 0)], schema), path, 0)
+    streaming.write_changes(spark.createDataFrame([("A", 0, 2, 0, 0)], schema), path, 1)
     os.remove(f"{path}/changes/batch_id=1/_SUCCESS")
-    assert as_set(streaming.latest_view(spark, path, schema)) == [("A", 0, 1, 0)]
+    assert as_set(streaming.latest_view(spark, path, schema)) == [("A", 0, 1, 0, 0)]
     assert streaming.latest_view(spark, str(tmp_path / "nothing"), schema).count() == 0
 
 
@@ -298,33 +315,49 @@ def test_published_table_is_the_newest_batch(spark, land, tmp_path):
 def test_published_table_of_all_live_keys(spark, landed, tmp_path):
     view = streaming.visitor_view_stream(stream(spark, landed))
     finish(streaming.publish_view(
-        view, "all_visitors", str(tmp_path / "p"), keys=VIEW_KEYS, trigger=NOW, compact_every=2))
+        view, "all_visitors", str(tmp_path / "p"), keys=VIEW_KEYS, trigger=NOW))
     assert as_set(spark.sql("SELECT * FROM all_visitors")) == as_set(ops.visitors_by_product(batch(spark, landed)))
 
 
-@pytest.mark.parametrize("ttl_ms", [None, 10**12])
-def test_pipeline_feeds_master_and_both_views(spark, landed, tmp_path, ttl_ms):
+@pytest.mark.parametrize("replayed", [False, True])
+def test_pipeline_feeds_master_and_both_views(spark, landed, tmp_path, replayed):
     master, views = str(tmp_path / "master"), str(tmp_path / "views")
-    lines = sources.read_click_stream(spark, path=landed, max_files_per_trigger=1)
-    queries = start_pipeline(
-        ops.with_file_props(lines, "clicks"), master, views, ttl_ms=ttl_ms,
-        master_trigger=NOW, view_trigger=NOW)
-    for query in queries.values():
-        finish(query)
+
+    def run():
+        lines = sources.read_click_stream(spark, path=landed, max_files_per_trigger=1)
+        finish(start_pipeline(ops.with_file_props(lines, "clicks"), master, views, trigger=NOW))
+
+    run()
+    if replayed:
+        forget_last_commit(f"{views}/_checkpoint")
+        run()
     clicks = batch(spark, landed)
     columns = ["timestamp_hour", "action", "visitor", "product"]
     stored = sources.read_master(spark, master)
     assert as_set(stored, *columns) == as_set(clicks, *columns)
     assert as_set(sources.read_master(spark, master, since_ms=HOUR_MS), *columns) == as_set(
         ops.recent(clicks, 0, as_of=3600), *columns)
-    activity, visitors = f"{views}/stream_activity_by_product", f"{views}/stream_visitors_by_product"
-    if ttl_ms is None:
-        results = (streaming.latest_view(spark, activity, ops.activity_by_product(clicks).schema),
-                   streaming.latest_view(spark, visitors, ops.visitors_by_product(clicks).schema))
-    else:
-        results = live_view(spark, activity, "activity", ttl_ms), live_view(spark, visitors, "visitors", ttl_ms)
-    assert as_set(results[0]) == as_set(ops.activity_by_product(clicks))
-    assert as_set(results[1]) == as_set(ops.visitors_by_product(clicks))
+    assert sources.starting_offsets_json(stored) is None
+    assert as_set(live_view(spark, f"{views}/{ACTIVITY_VIEW}")) == as_set(ops.activity_by_product(clicks))
+    assert as_set(live_view(spark, f"{views}/{VISITORS_VIEW}", "visitors")) == as_set(ops.visitors_by_product(clicks))
+
+
+def test_batch_and_stream_append_to_one_master(spark, landed, tmp_path):
+    master, clicks = str(tmp_path / "master"), batch(spark, landed)
+    flat = ops.flatten_props(clicks.withColumn("inputProps", F.create_map(F.lit("topic"), F.lit("t"), F.lit("kafkaPartition"), F.lit("3"))))
+    n = clicks.count()
+    sinks.append_master(flat, master)
+    lines = ops.with_file_props(sources.read_click_stream(spark, path=landed, max_files_per_trigger=1), "clicks")
+    streamed = ops.flatten_props(ops.parse_activity(lines))
+    finish(streaming.append_master_stream(streamed, master, trigger=NOW))
+    assert sources.read_master(spark, master).count() == 2 * n
+    forget_last_commit(f"{master}_checkpoint")
+    finish(streaming.append_master_stream(streamed, master, trigger=NOW))
+    for _ in range(2):
+        sinks.append_master(flat, master, "again")
+    assert sources.read_master(spark, master).count() == 3 * n
+    some = sources.read_master(spark, master, since_ms=HOUR_MS)
+    assert all(int(f.split("timestamp_hour=")[1].split("/")[0]) >= HOUR_MS for f in some.inputFiles())
 
 
 def test_query_stops_when_idle(spark, landed, tmp_path):

@@ -95,6 +95,28 @@ def test_kafka_options():
     assert options["minPartitions"] == "64" and options["maxOffsetsPerTrigger"] == "1000"
 
 
+def test_other_kafka_options_are_passed_on():
+    options = sources.kafka_options("h:1", "t", options={"kafka.group.id": "g", "failOnDataLoss": "false"})
+    assert options["kafka.group.id"] == "g" and options["subscribe"] == "t"
+    sink = sinks.lines.kafka_sink_options("h:1", "t", {"kafka.client.id": "c", "kafka.acks": "1"})
+    assert sink == {"kafka.bootstrap.servers": "h:1", "topic": "t", "kafka.acks": "1", "kafka.client.id": "c"}
+
+
+def test_a_null_bucket_is_never_recent(spark, master):
+    null_bucket = flat(spark, 2).withColumn("timestamp_hour", F.lit(None).cast("long"))
+    sinks.append_master(null_bucket, master)
+    assert sources.read_master(spark, master).count() == 42
+    assert sources.read_master(spark, master, since_ms=0).count() == 40
+    nothing = sources.read_master(spark, master, since_ms=10**15)
+    assert nothing.count() == 0 and not nothing.inputFiles()
+
+
+def test_recency_may_end(spark, master):
+    stored = sources.read_master(spark, master)
+    until = ops.recent(stored, 6, as_of=8 * 3600, until=5 * 3600)
+    assert {r[0] // HOUR_MS for r in until.select("timestamp_hour").collect()} == {2, 3, 4}
+
+
 def test_unknown_formats_are_refused(spark):
     with pytest.raises(ValueError):
         sources.read_click_stream(spark, fmt="carrier pigeon")

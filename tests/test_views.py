@@ -90,10 +90,10 @@ def test_reports(spark):
     assert as_set(ops.labelled_buckets(view, zone="UTC"))[0] == ("01-01 00:00:00", 0, 0, 4)
     assert ops.preview(view, 2).count() == 2
     assert [r.product for r in ops.preview(view, 2, ["product"]).collect()] == ["aa", "bb"]
-    visitors = view.select("product", "timestamp_hour", F.lit(5).cast("long").alias("unique_visitors"))
-    both = ops.compare_visitors(visitors, visitors, ["aa"], zone="UTC")
+    visitors = view.select("product", "timestamp_hour", *(F.lit(5).cast("long").alias(c) for c in ("unique_visitors", "sketched")))
+    both = ops.compare_visitors(visitors, ["aa"], zone="UTC")
     assert as_set(both) == [("00:00:00", "aa", 0, 5), ("00:00:00", "aa", 5, 0)]
-    assert ops.compare_visitors(visitors, visitors).count() == 6
+    assert ops.compare_visitors(visitors).count() == 6
 
 
 def test_registered_table(spark):
