@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,12 +55,8 @@ def test_counts_of_odd_rows(odd, empty):
         transducer.count_tokens(odd.withColumn("n_tokens", F.lit(1)))
 
 
-@pytest.mark.parametrize("kept", [10, chunks.KEPT_WORDS])
-def test_ids_and_decoded_texts_are_those_of_the_library(spark, monkeypatch, kept):
-    monkeypatch.setattr(chunks, "KEPT_WORDS", kept)
+def test_ids_and_decoded_texts_are_those_of_the_library():
     model, texts = processor(default_model()), fuzz(3)
-    import pyarrow as pa
-
     for part in (texts[:200], texts[200:], texts):
         ids = model.encode(part)
         assert chunks._encoded(pa.array(part, pa.string()), default_model()).to_pylist() == ids

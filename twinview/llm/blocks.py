@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from twinview.llm.arrow import releasing
+
 BLOCK_BYTES = 4 << 20
 
 MESSAGE = T.StructType([
@@ -38,7 +40,7 @@ def deal(docs: DataFrame, keep: list[str], text: str = "text", block_bytes: int
 
 def ordered(block: pa.Table) -> pa.Table:
     """A block's rows by id (null first) and text: the same in every round."""
-    return block.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    return block.sort_by([("doc_id", "ascending"), ("text", "ascending")], null_placement="at_start")
 
 
 def ids_of(block: pa.Table) -> np.ndarray:
@@ -60,6 +62,7 @@ def bodies(table: pa.Table, order: str) -> list[tuple[int, memoryview]]:
 
 def answer(asked: DataFrame, answering: Callable[[int, list[tuple[int, memoryview]]], list[tuple[int, bytes]]]) -> DataFrame:
     """Messages back to the blocks: ``answering`` maps (slice, bodies by block) to a body for each block."""
+    @releasing
     def run(group: pa.Table) -> pa.Table:
         here, round_ = group["slice"][0].as_py(), group["round"][0].as_py()
         return messages([(here, b, round_, body) for b, body in answering(here, bodies(group, "block"))])

@@ -3,11 +3,12 @@
 No piece of the model crosses from a word into the next word's mark, so a text's pieces are those
 of its marked words (a run of marks and what follows up to the next mark). Each piece of an Arrow
 batch is dictionary-encoded by marked word, each distinct one is segmented once, and the ids are
-joined back by position. Nothing is shuffled; the table is kept by the worker up to a size.
+joined back by position. Nothing is shuffled, and a table is no larger than its piece.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,25 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinview.llm.arrow import pieces, texts_of
+from twinview.llm.arrow import mapped, pieces, texts_of
 from twinview.llm.pieces import MARK, default_model, marked, processor
 
-#: Distinct words a worker remembers; beyond it the table starts anew (only time is lost).
-KEPT_WORDS = 300_000
-
-_tables: dict[str, dict[bytes, np.ndarray]] = {}
-
-
-def _segmented(words: list[bytes], path: str) -> list[np.ndarray]:
-    """Ids of each marked word, from the worker's table where it is there."""
-    table = _tables.setdefault(path, {})
-    if len(table) > KEPT_WORDS:
-        table.clear()
-    new = [w for w in words if w not in table]
-    # the model puts one mark in front by itself
-    for word, ids in zip(new, processor(path).encode([w[1:].decode() if w != b" " else " " for w in new], num_threads=1)):
-        table[word] = np.array(ids if word != b" " else _lone_mark(path), np.int32)
-    return [table[w] for w in words]
+def _segmented(words: list[bytes], path: str) -> list[list[int]]:
+    """Ids of each marked word; the model puts one mark in front by itself."""
+    ids = processor(path).encode([w[1:].decode() if w != b" " else " " for w in words], num_threads=1)
+    return [x if w != b" " else _lone_mark(path) for w, x in zip(words, ids)]
 
 
 def _lone_mark(path: str) -> list[int]:
@@ -60,7 +49,7 @@ def _encoded(column: pa.Array, path: str) -> pa.ListArray:
     sizes = np.array([len(x) for x in table], np.int64)
     ends = np.concatenate([[0], np.cumsum(sizes)])
     codes = coded.indices.to_numpy()
-    flat = np.concatenate(table) if table else np.zeros(0, np.int32)
+    flat = np.fromiter(itertools.chain.from_iterable(table), np.int32, int(ends[-1]))
     counts = sizes[codes] if len(codes) else np.zeros(0, np.int64)
     after = np.concatenate([[0], np.cumsum(counts)])
     where = np.repeat(ends[codes] - after[:-1], counts) + np.arange(after[-1]) if len(codes) else np.zeros(0, np.int64)
@@ -114,7 +103,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", model: str | N
         for batch in pieces(batches, text):
             yield pa.RecordBatch.from_arrays([*batch.columns, _encoded(batch.column(text), path)], [*batch.schema.names, ids])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
+    return mapped(docs, run, T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
 
 
 def decode(encoded: DataFrame, ids: str = "ids", text: str = "decoded", model: str | None = None) -> DataFrame:
@@ -129,7 +118,7 @@ def decode(encoded: DataFrame, ids: str = "ids", text: str = "decoded", model: s
                 part = batch.slice(first, 1000)
                 yield pa.RecordBatch.from_arrays([*part.columns, _decoded(part.column(ids), table)], [*part.schema.names, text])
 
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(text, T.StringType())]))
+    return mapped(encoded, run, T.StructType([*encoded.schema.fields, T.StructField(text, T.StringType())]))
 
 
 def op7_chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from twinview.llm.arrow import releasing
 from twinview.session import new_table_dir
 
 SHARD_ROWS = 4096
@@ -168,6 +169,7 @@ def build_index(vectors: DataFrame, shards: int, vec_id: str = "vec_id", vector:
         F.size(vector).alias("dim"), F.pmod(F.xxhash64(vec_id), F.lit(shards)).cast("int").alias("shard"),
         F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
 
+    @releasing
     def build(group: pa.Table) -> pa.Table:
         dim, shard = group["dim"][0].as_py(), group["shard"][0].as_py()
         points, ids = _matrix(group["v"], dim), group["id"].to_numpy()

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinview.llm import blocks
-from twinview.llm.arrow import LOWER, mixed, pieces, spans_hashed, texts_of, window_starts, windows_hashed, words_of
+from twinview.llm.arrow import LOWER, mapped, mixed, pieces, releasing, spans_hashed, texts_of, window_starts, windows_hashed, words_of
 from twinview.llm.components import components
 from twinview.session import new_table_dir
 
@@ -102,8 +102,8 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, text: str = "text") -> Dat
                 [batch.column("doc_id"), pa.array(np.diff(bounds)), _binary(sums), _binary(signatures(found, bounds))],
                 ["doc_id", "n_shingles", "class", "signature"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(
-        run, "doc_id long, n_shingles long, class binary, signature binary")
+    return mapped(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), text), run, "doc_id long, n_shingles long, class binary, signature binary")
 
 
 def _index_keys(values: np.ndarray) -> np.ndarray:
@@ -162,6 +162,7 @@ def candidates(classes: DataFrame, slices: int) -> DataFrame:
                 rows.append((s, 0, 1, b"".join(x.tobytes() for x in (head, keys[part], owners[part].astype("<i8"), own.astype("<i8")))))
             yield blocks.messages(rows).to_batches()[0]
 
+    @releasing
     def meet(group: pa.Table) -> pa.Table:
         keys, owners, pairs = [], [], []
         for _, body in blocks.bodies(group, "block"):
@@ -173,7 +174,7 @@ def candidates(classes: DataFrame, slices: int) -> DataFrame:
         found = _distinct(np.concatenate([found, *pairs]))
         return pa.table({"a": found[:, 0], "b": found[:, 1]})
 
-    sent = classes.select("id", "signature").mapInArrow(send, blocks.MESSAGE)
+    sent = mapped(classes.select("id", "signature"), send, blocks.MESSAGE)
     return sent.groupBy("slice").applyInArrow(meet, "a long, b long").distinct()
 
 
@@ -187,7 +188,7 @@ def _near_enough(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
     joined = pairs.join(classes.select(F.col("id").alias("a"), F.col("signature").alias("x")), "a")
     joined = joined.join(classes.select(F.col("id").alias("b"), F.col("signature").alias("y")), "b")
-    return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return mapped(joined.select("a", "b", "x", "y"), run, "a long, b long")
 
 
 def _forest(found: np.ndarray, bounds: np.ndarray, ids: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -233,6 +234,7 @@ def _confirmed(members: DataFrame, shingle: int, percent: int) -> DataFrame:
     ``members``: (big, part, i, j, cluster, side, id, text); a group is some small clusters, or two
     blocks i, j of a big one (one block, if they are the same).
     """
+    @releasing
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by([("cluster", "ascending"), ("id", "ascending")])
         found, bounds = shingles(group["text"], shingle)
@@ -287,6 +289,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col(text).alias("text"))
     links = _confirmed(placed.join(texts, "id"), shingle, percent)
+    several = with_sets.groupBy("doc_id").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x != y").select("doc_id")
+    of_one = with_sets.select("doc_id", "class").join(several, "doc_id").join(classes.select("class", "id"), "class")
+    links = links.unionAll(of_one.select(F.col("doc_id").alias("a"), F.col("id").alias("b")))
     reached = components(written(links, "confirmed")).withColumnRenamed("node", "id")
 
     of_class = classes.select("class", "id").join(reached, "id", "left")

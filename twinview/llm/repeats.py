@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinview.llm import blocks
-from twinview.llm.arrow import SPACES, Texts, covered, spans_hashed, texts_of, window_starts, windows_hashed, words_of
+from twinview.llm.arrow import SPACES, Texts, covered, releasing, spans_hashed, texts_of, window_starts, windows_hashed, words_of
 
 WINDOW = 20
 ROWS = 2
@@ -208,9 +208,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep: list[str] | None
     slices = max(8, -(-n_blocks * block_bytes // (6 * slice_windows)))
     width = CELLS * max(1024, min(slice_windows, n_blocks * block_bytes // (6 * slices)))
 
+    @releasing
     def sketch(key: tuple, table: pa.Table) -> pa.Table:
         return _sketched(_Block(table, window), key[0].as_py(), slices, width)
 
+    @releasing
     def ask(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return blocks.messages([])
@@ -221,6 +223,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep: list[str] | None
         T.StructField("doc", rows.schema["doc"].dataType), T.StructField("n_words", T.LongType()),
         T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
 
+    @releasing
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
         block, rounds = _Block(table, window), answers["round"].to_numpy()
         chosen = _estimated(block, answers.filter(pa.array(rounds == 1)), slices, width)

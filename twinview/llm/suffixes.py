@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinview.llm import blocks
-from twinview.llm.arrow import mixed, spans_hashed, texts_of
+from twinview.llm.arrow import mixed, release, releasing, spans_hashed, texts_of
 from twinview.llm.induced import MEMORY_BYTES, Scratch, Sorter
 
 LENGTH = 100
@@ -321,9 +321,11 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, keep: list[str] | None =
     rows, n_blocks = blocks.deal(docs, keep, text, block_bytes)
     slices = max(8, -(-n_blocks * block_bytes // slice_bytes))
 
+    @releasing
     def anchors(key: tuple, table: pa.Table) -> pa.Table:
         return _asked_anchors(_Block(table, length, gram), key[0].as_py(), slices)
 
+    @releasing
     def ask(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return blocks.messages([])
@@ -338,12 +340,15 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, keep: list[str] | None =
                 shard.add(batch["block"][i].as_py(), batch["round"][i].as_py() == 3, memoryview(batch["body"][i].as_buffer()))
         for number, body in shard.answers(length):
             yield blocks.messages([(here, number, 2, body)]).to_batches()[0]
+        del shard
+        release()
 
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     result = T.StructType([
         T.StructField("doc", rows.schema["doc"].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("spans", T.ArrayType(span)), T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
 
+    @releasing
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
         block, rounds = _Block(table, length, gram), answers["round"].to_numpy()
         runs = block.repeated(answers.filter(pa.array(rounds == 1)), slices)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinview.llm.arrow import pieces, texts_of
+from twinview.llm.arrow import mapped, pieces, texts_of
 from twinview.llm.pieces import MARK, default_model, marked, ordinary, processor
 
 CHUNK = 256
@@ -245,7 +245,7 @@ def count_tokens(docs: DataFrame, text: str = "text", model: str | None = None)
                 [*batch.schema.names, "n_bytes", "n_tokens"])
 
     added = [T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
+    return mapped(docs, run, T.StructType([*docs.schema.fields, *added]))
 
 
 def op1_transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
