@@ -38,7 +38,7 @@ def quality(rows, line_docs, line_share, kept_share, min_words=10, max_repeat_sh
                    if not (len(texts_with[host, normal(x)]) > line_docs and len(texts_with[host, normal(x)]) > line_share * docs_of[host]))
         failed = len(found) < min_words or 100 * len(repeated) > max_repeat_share * len(found)
         out.append((doc, len(found), sum(map(len, found)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)),
-                    len(repeated), failed, not failed and left >= min_words and left >= kept_share * len(found)))
+                    len(repeated), failed, not failed and left >= kept_share * len(found)))
     return out
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinview.llm.arrow import SPACES, Texts, Words, covered, mixed, pieces, spans_hashed, texts_of, window_starts, windows_hashed, words_of
+from twinview.llm.arrow import SPACES, Texts, Words, covered, mapped, mixed, pieces, spans_hashed, texts_of, window_starts, windows_hashed, words_of
 
 # Characters that count as symbols (fixed values).
 SYMBOLS = b"#*$%&|<>"
@@ -31,7 +31,7 @@ MAX_REPEAT_SHARE = 20  # percent of words in repeated windows
 #: A line is removed if more documents of its host have it than both of these allow.
 LINE_DOCS = 50
 LINE_SHARE = 0.01
-#: A document is rejected if fewer words than this share, or than MIN_WORDS, are in lines it keeps.
+#: A document is rejected if a smaller share of its words than this is in lines it keeps.
 KEPT_SHARE = 0.3
 
 _SYMBOL = np.zeros(256, bool)
@@ -138,7 +138,7 @@ def _all_lines(docs: DataFrame, text: str) -> DataFrame:
                 [*(f.name for f in others), "line", "words", "content"])
 
     added = [T.StructField(n, T.LongType()) for n in ("line", "words", "content")]
-    return docs.mapInArrow(run, T.StructType([*others, *added]))
+    return mapped(docs, run, T.StructType([*others, *added]))
 
 
 def frequent_lines(rows: DataFrame, docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE) -> DataFrame:
@@ -159,7 +159,7 @@ def quality(docs: DataFrame, host: str = "source", min_words: int = MIN_WORDS, m
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; base_failed: fewer than
     ``min_words`` words, or over ``max_repeat_share`` percent of them in repeated windows;
     n_boilerplate: words in lines above the limit; kept: not base_failed, and lines below the limit
-    hold ``min_words`` words and ``kept_share`` of all.
+    hold ``kept_share`` of all words.
 
     Null and empty texts have no words and fail. A null host is a host. Rows are told apart by
     doc_id: repeated rows share one verdict, and rows of one doc_id with different texts have the
@@ -180,7 +180,7 @@ def quality(docs: DataFrame, host: str = "source", min_words: int = MIN_WORDS, m
                 ["doc", "doc_id", *_COUNTS, "content"])
 
     longs = [T.StructField(n, T.LongType()) for n in [*_COUNTS, "content"]]
-    counted = docs.mapInArrow(run, T.StructType([T.StructField("doc", T.StructType(fields)), docs.schema["doc_id"], *longs]))
+    counted = mapped(docs, run, T.StructType([T.StructField("doc", T.StructType(fields)), docs.schema["doc_id"], *longs]))
 
     key = F.coalesce(F.concat(F.lit("h"), F.col(host)), F.lit("n")).alias("host")
     lines = _all_lines(docs.select("doc_id", key, "text"), "text")
@@ -193,7 +193,7 @@ def quality(docs: DataFrame, host: str = "source", min_words: int = MIN_WORDS, m
     boilerplate = F.coalesce(F.col("n_boilerplate"), F.lit(0)).cast("long")
     left = F.col("n_words") - F.col("n_boilerplate")
     return joined.select("doc", *_COUNTS, failed.alias("base_failed"), boilerplate.alias("n_boilerplate")).withColumn(
-        "kept", ~F.col("base_failed") & (left >= min_words) & (left >= kept_share * F.col("n_words")))
+        "kept", ~F.col("base_failed") & (left >= kept_share * F.col("n_words")))
 
 
 def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
