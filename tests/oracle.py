@@ -45,7 +45,7 @@ def difference(result: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> s
 
 
 def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
-    from twinview.session import build_session
+    from twinview.session import build_session, drop_table_dirs
 
     spark: SparkSession = build_session(
         "oracle", "local[8]",
@@ -66,6 +66,7 @@ def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
                 problem, outcome = None, f"no SQL, {result.count()} rows"
         except Exception as error:  # noqa: BLE001
             problem = outcome = f"{type(error).__name__}: {str(error)[:600]}"
+        drop_table_dirs(spark)
         failed += problem is not None
         print(f"{'FAIL' if problem else 'ok  '} {name:32} {time.time() - start:6.1f}s  {outcome}", flush=True)
     return failed
