@@ -325,9 +325,11 @@ def test_pipeline_feeds_master_and_both_views(spark, landed, tmp_path, replayed)
 
     def run():
         lines = sources.read_click_stream(spark, path=landed, max_files_per_trigger=1)
-        finish(start_pipeline(ops.with_file_props(lines, "clicks"), master, views, trigger=NOW))
+        query = start_pipeline(ops.with_file_props(lines, "clicks"), master, views, trigger=NOW)
+        finish(query)
+        return sum(p["numInputRows"] for p in query.recentProgress)
 
-    run()
+    assert run() == sources.read_click_lines(spark, landed).count()  # once for the three writers
     if replayed:
         forget_last_commit(f"{views}/_checkpoint")
         run()

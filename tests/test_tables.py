@@ -102,6 +102,12 @@ def test_other_kafka_options_are_passed_on():
     assert sink == {"kafka.bootstrap.servers": "h:1", "topic": "t", "kafka.acks": "1", "kafka.client.id": "c"}
 
 
+def test_a_file_sinks_log_is_refused(spark, tmp_path):
+    (tmp_path / "m" / "_spark_metadata").mkdir(parents=True)
+    with pytest.raises(ValueError, match="log of a file sink"):
+        sinks.append_master(flat(spark, 1), str(tmp_path / "m"))
+
+
 def test_a_null_bucket_is_never_recent(spark, master):
     null_bucket = flat(spark, 2).withColumn("timestamp_hour", F.lit(None).cast("long"))
     sinks.append_master(null_bucket, master)

@@ -20,6 +20,9 @@ def append_master(flat: DataFrame, path: str, batch: str | None = None) -> None:
     The rebalance hint brings rows of one folder together, so that a task does not open a file in
     every folder, and lets AQE split a folder that is much bigger than the others.
     """
+    log = flat.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path}/_spark_metadata")
+    if log.getFileSystem(flat.sparkSession._jsc.hadoopConfiguration()).exists(log):
+        raise ValueError(f"{path} has the log of a file sink: readers would not see other files")
     named = flat.withColumn(MASTER_BATCH, F.lit(batch or uuid.uuid4().hex))
     (named.hint("rebalance", *MASTER_PARTITIONS)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
