@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinview.llm.arrow import LOWER, Texts, Words, mixed, pieces, spans_hashed, texts_of, words_of
+from twinview.llm.arrow import LOWER, Texts, Words, mapped, pieces, spans_hashed, texts_of, words_of
 
 # What a sign may be written for (fixed values).
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i",
@@ -82,7 +82,7 @@ def character_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         seen = np.flatnonzero(total)
         yield pa.record_batch([pa.array(seen), pa.array(total[seen])], ["code", "n"])
 
-    return docs.select(text).mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return mapped(docs.select(text), run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 class Channel:
@@ -159,7 +159,9 @@ def _restored(texts: Texts, words: Words, channel: Channel) -> tuple[list[str],
         if single[a] and b - a >= _SPACED:
             signs = flat[words.starts[a] : words.ends[b - 1]].decode(errors="replace").split()
             if len(set(signs)) > 2 and len(signs) <= 64:
-                spaced.append((int(owner[a]), a, _JUNK.sub("", channel.restore("".join(signs)))))
+                word = _JUNK.sub("", channel.restore("".join(signs)))
+                # the first or the last may be a word of its own
+                spaced += [(int(owner[a]), a, w) for w in (word, word[1:], word[:-1])]
     return tokens, code.reshape(-1), spaced
 
 
@@ -197,7 +199,7 @@ def context_counts(labelled: DataFrame, channel: Channel, text: str = "text", la
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["feature", "context", "is_toxic"])
 
-    found = labelled.select(text, label).mapInArrow(run, "feature string, context long, is_toxic boolean")
+    found = mapped(labelled.select(text, label), run, "feature string, context long, is_toxic boolean")
     found = found.groupBy("feature", "context", "is_toxic").count()
     return found.groupBy("feature").agg(F.count_if(F.col("is_toxic")).alias("toxic"), F.count_if(~F.col("is_toxic")).alias("other"))
 
@@ -214,7 +216,8 @@ def learn(docs: DataFrame, labels: DataFrame, channel: Channel, sample_rows: int
     all_other = everything - all_toxic
     draw = F.pmod(F.xxhash64("doc_id", F.lit(SAMPLE_SEED)), F.lit(1 << 20)) / (1 << 20)
     share = F.when(F.col("toxic") == 1, sample_rows / max(all_toxic, 1)).otherwise(2 * sample_rows / max(all_other, 1))
-    rows = docs.select("doc_id", "text").join(known.where(draw < share), "doc_id")
+    # ids and labels of some 3 * sample_rows rows: so many are sent to the texts, which stay where they are
+    rows = docs.select("doc_id", "text").join(F.broadcast(known.where(draw < share)), "doc_id")
     n_toxic, n_other = min(all_toxic, sample_rows), min(all_other, 2 * sample_rows)
     base = (n_toxic + 1) / (n_toxic + n_other + 2)
     t, o = F.col("toxic"), F.col("other")
@@ -259,7 +262,7 @@ def score(docs: DataFrame, channel: Channel, weights: dict[str, float], bias: fl
             logit = bias + most + 0.1 * (total - most)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-logit)))], [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return mapped(docs, run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def fit_channel(docs: DataFrame, text: str = "text") -> Channel:
