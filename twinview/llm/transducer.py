@@ -49,7 +49,7 @@ class Transducer:
         letters = sorted({c for p in vocabulary for c in p})
         if missing := [c for c in letters if c not in vocabulary]:
             raise ValueError(f"characters without a piece: {missing[:5]}")
-        self.classes = np.zeros(0x110000, np.int64)  # 0: in no piece, so in bytes
+        self.classes = np.zeros(0x110000, np.int32)  # 0: in no piece, so in bytes
         self.classes[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
         self.classes[ord(" ")] = self.classes[ord(MARK)]
         self.width = len(letters) + 1
@@ -156,15 +156,16 @@ class Transducer:
         self.filled += len(keys)
 
     def emitted(self, codes: np.ndarray, sync: np.ndarray) -> np.ndarray:
-        """Tokens emitted at each character; ``sync``: the state before it doesn't matter."""
+        """Tokens emitted at each character (16 bits; fewer than a piece has characters); ``sync``:
+        the state before it doesn't matter."""
         if self.filled > KEPT_TRANSITIONS:
             self._forget()
         total = len(codes)
         lanes = -(-total // CHUNK)
         padded = lanes * CHUNK
-        codes = np.concatenate([codes, np.zeros(padded - total, np.int64)]).reshape(lanes, CHUNK)
+        codes = np.concatenate([codes, np.zeros(padded - total, np.int32)]).reshape(lanes, CHUNK)
         sync = np.concatenate([sync, np.ones(padded - total, bool)]).reshape(lanes, CHUNK)
-        out = np.zeros((lanes, CHUNK), np.int32)
+        out = np.zeros((lanes, CHUNK), np.int16)
 
         # Every chunk from its own start: right from its first synchronizing place on.
         behind = np.zeros(lanes, np.int64)
