@@ -63,8 +63,7 @@ def test_restored_texts_score_like_plain_ones(spark, channel):
 def test_odd_rows(spark, odd, empty, channel):
     scored = toxicity.score(odd, channel, {}, -2.0)
     assert scored.count() == odd.count() and rows_of(scored.select("kept").distinct(), "*") == [("own kept",)]
-    with pytest.raises(ValueError, match="already"):
-        toxicity.score(odd, channel, {}, 0.0, name="doc")
+    assert rows_of(toxicity.score(odd, channel, {}, 0.0, name="doc").select("doc").distinct(), "*") == [(0.5,)]
     assert toxicity.score(empty, channel, {}, -2.0).count() == 0
     nothing = toxicity.fit_channel(empty)
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (3, None)], "doc_id long, toxic int")

@@ -84,19 +84,14 @@ def _decoded(column: pa.ListArray, table: pa.Array) -> pa.Array:
     return pa.array([(t[1:] if t[:1] == b" " else t).decode(errors="replace") for t in texts], pa.string())
 
 
-def _free(df: DataFrame, name: str) -> None:
-    if name in df.columns:
-        raise ValueError(f"there is a column {name} already")
-
-
 def encode(docs: DataFrame, text: str = "text", ids: str = "ids", model: str | None = None) -> DataFrame:
     """``docs`` with the ids of each whole text, without begin, end or sampling.
 
     Null and empty texts get an empty list. Rows, repeated or not, and all other columns stay as
-    they are; a column that is named like ``ids`` already is a ValueError. ``model`` is a path
-    that every executor has.
+    they are; a column that is named like ``ids`` already is replaced. ``model`` is a path that
+    every executor has.
     """
-    _free(docs, ids)
+    docs = docs.drop(ids)
     path = model or default_model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,8 +102,11 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", model: str | N
 
 
 def decode(encoded: DataFrame, ids: str = "ids", text: str = "decoded", model: str | None = None) -> DataFrame:
-    """``encoded`` with the text of each list of ids that ``encode`` made; null is an empty list."""
-    _free(encoded, text)
+    """``encoded`` with the text of each list of ids that ``encode`` made; null is an empty list.
+
+    A column that is named like ``text`` already is replaced.
+    """
+    encoded = encoded.drop(text)
     path = model or default_model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -237,10 +237,9 @@ def score(docs: DataFrame, channel: Channel, weights: dict[str, float], bias: fl
 
     The strongest feature of each token counts; a text's strongest token counts whole and the others
     a tenth. Null and empty texts, and those without a known feature, get the bias alone. Rows and
-    other columns stay; a column of the score's name is a ValueError.
+    other columns stay; a column of the score's name is replaced.
     """
-    if name in docs.columns:
-        raise ValueError(f"there is a column {name} already")
+    docs = docs.drop(name)
     shared = docs.sparkSession.sparkContext.broadcast((channel, weights))  # bounded: FEATURES, alphabet
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -231,10 +231,9 @@ def count_tokens(docs: DataFrame, text: str = "text", model: str | None = None)
     """``docs`` with ``n_bytes`` (UTF-8) and ``n_tokens`` of each whole text.
 
     Null and empty texts have none. Characters that are in no piece count a token for each byte.
-    Rows and other columns stay as they are; columns of these two names are a ValueError.
+    Rows and other columns stay as they are; columns of these two names are replaced.
     """
-    if taken := {"n_bytes", "n_tokens"} & set(docs.columns):
-        raise ValueError(f"there are columns {taken} already")
+    docs = docs.drop("n_bytes", "n_tokens")
     path = model or default_model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
