@@ -11,17 +11,18 @@ Texts of equal shingles are one class from the start. A bucket of the index isn'
 its classes are linked to its first and its last, in the block of classes first and then in the
 bucket's slice. Such links count if the whole signatures are near enough (``MOST_APART``) that a
 similarity of 0.8 is possible at all; their components are clusters, in which every pair to be
-found lies. Clusters are then compared exactly, on the full sets and all pairs, a large
-one by blocks against blocks. Only a spanning forest of the confirmed links leaves a task.
+found lies. Clusters are then compared exactly, on the full sets: small ones whole, large ones
+in blocks, where what some hubs connect is not compared again (``_links_of``). Only a spanning
+forest of the confirmed links leaves a task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +41,7 @@ MOST_APART = 52
 SLICE_KEYS = 1 << 20
 BLOCK_SHINGLES = 1 << 17
 GROUP_SHINGLES = 1 << 18
+HUBS = 12
 
 _MULTIPLIERS = np.random.default_rng(20).integers(0, 1 << 32, VALUES, dtype=np.uint32) | np.uint32(1)
 _OFFSETS = np.random.default_rng(21).integers(0, 1 << 32, VALUES, dtype=np.uint32)
@@ -192,8 +194,8 @@ def _near_enough(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _forest(found: np.ndarray, bounds: np.ndarray, ids: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links enough to connect what the pairs at or above the similarity connect, out of all pairs
-    of texts on different sides (all pairs at all, if there is one side)."""
+    """Links enough to connect what pairs at or above the similarity connect: all pairs of texts or,
+    if some are on side 1, those of these with the ones on side 0."""
     parent = list(range(len(ids)))
 
     def root(i: int) -> int:
@@ -208,8 +210,8 @@ def _forest(found: np.ndarray, bounds: np.ndarray, ids: np.ndarray, side: np.nda
     values, begin = np.unique(found[order], return_index=True)
     begin = np.append(begin, len(found))
     postings, code = owner[order], np.searchsorted(values, found)
-    two = len(np.unique(side)) > 1
-    for a in range(len(ids)):
+    two, others = side.any(), side == 0
+    for a in np.flatnonzero(side) if two else range(len(ids)):
         if not sizes[a]:
             continue
         own = code[bounds[a] : bounds[a + 1]]
@@ -217,11 +219,9 @@ def _forest(found: np.ndarray, bounds: np.ndarray, ids: np.ndarray, side: np.nda
         after = np.cumsum(count)
         where = np.repeat(begin[own] - (after - count), count) + np.arange(int(after[-1]))
         shared = np.bincount(postings[where], minlength=len(ids))
-        near = np.flatnonzero(100 * shared >= percent * (sizes[a] + sizes - shared))
-        for b in near[near > a].tolist():
-            if two and side[a] == side[b]:
-                continue
-            x, y = root(a), root(b)
+        near = 100 * shared >= percent * (sizes[a] + sizes - shared)
+        for b in np.flatnonzero(near & others if two else near).tolist():
+            x, y = root(int(a)), root(b)
             if x != y:
                 parent[max(x, y)] = min(x, y)
                 out.append((int(ids[a]), int(ids[b])))
@@ -231,8 +231,8 @@ def _forest(found: np.ndarray, bounds: np.ndarray, ids: np.ndarray, side: np.nda
 def _confirmed(members: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) that connect what exact comparison connects in each cluster.
 
-    ``members``: (big, part, i, j, cluster, side, id, text); a group is some small clusters, or two
-    blocks i, j of a big one (one block, if they are the same).
+    ``members``: (big, part, i, j, cluster, side, id, text); a group is some small clusters, or of a
+    big one the block j and those on side 1 (of block i) that it is compared with.
     """
     @releasing
     def run(group: pa.Table) -> pa.Table:
@@ -250,6 +250,54 @@ def _confirmed(members: DataFrame, shingle: int, percent: int) -> DataFrame:
     return members.groupBy("big", "part", "i", "j").applyInArrow(run, "a long, b long")
 
 
+def _links_of(nodes: DataFrame, pairs: DataFrame, shingle: int, percent: int, written: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Links (a, b) that connect what all pairs of each cluster connect.
+
+    ``nodes``: (id, cluster, n, text); ``pairs``: those that made the clusters. A small cluster is
+    compared whole. In a big one every node first meets some hubs: the one with most pairs, and some
+    by chance. What that connects to the largest part needs no more comparing within it; only
+    the nodes outside of it meet all others. So a group of very many copies costs what its
+    size is, but for the few that are like none of the hubs.
+    """
+    sizes = nodes.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"), F.sum("n").alias("total"))
+    whole, most = sizes.agg(F.sum("total"), F.max("blocks")).first()
+    groups = max(1, -(-(whole or 0) // GROUP_SHINGLES))
+    names = nodes.select("id", "cluster", "n").join(sizes.select("cluster", "blocks"), "cluster")
+    small, big = names.where("blocks <= 1"), names.where("blocks > 1")
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+
+    def place(rows: DataFrame, side: int, i: Column, j: Column, is_big: bool = True) -> DataFrame:
+        part = F.col("cluster") if is_big else F.pmod(F.xxhash64("cluster"), F.lit(groups))
+        return rows.select("id", "cluster", F.lit(side).alias("side"), F.lit(is_big).alias("big"), part.alias("part"), i.alias("i"), j.alias("j"))
+
+    def compared(placed: DataFrame, name: str) -> DataFrame:
+        return written(_confirmed(placed.join(nodes.select("id", "cluster", "text"), ["id", "cluster"]), shingle, percent), name)
+
+    def up_to(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), n - 1))
+
+    none = F.lit(0)
+    if (most or 0) <= 1:
+        return compared(place(small, 0, none, none, False), "confirmed")
+    met = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("met"))
+    drawn = [F.min_by("id", F.xxhash64("id", F.lit(i))) for i in range(HUBS)]
+    hubs = big.join(met, "id").groupBy("cluster", "blocks").agg(F.array_distinct(F.array(F.max_by("id", "met"), *drawn)).alias("ids"))
+    hubs = hubs.select("cluster", "blocks", F.explode("ids").alias("id")).withColumn("j", up_to(F.col("blocks")))
+    first = compared(
+        place(small, 0, none, none, False).unionAll(place(big, 0, none, block)).unionAll(place(hubs, 1, none, F.col("j"))), "confirmed")
+
+    reached = components(first).withColumnRenamed("node", "id")
+    parts = written(big.join(reached, "id", "left").withColumn("component", F.coalesce("component", "id")), "parts")
+    largest = parts.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("size"))
+    largest = largest.groupBy("cluster").agg(F.max_by("component", F.struct("size", "component")).alias("largest"))
+    outside = parts.join(largest, "cluster").where("component != largest").select("id", "cluster", "n", "blocks")
+    more = outside.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("others"))
+    own = F.pmod(F.xxhash64("id", F.lit(1)), F.col("others")).cast("int")
+    asking = place(outside.join(more, "cluster").withColumn("j", up_to(F.col("blocks"))), 1, own, F.col("j"))
+    asked = place(big.join(more, "cluster").withColumn("i", up_to(F.col("others"))), 0, F.col("i"), block)
+    return first.unionAll(compared(asking.unionAll(asked), "rest"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
 
@@ -276,19 +324,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     links = written(_near_enough(candidates(classes, slices), classes), "links")
     clusters = components(links).withColumnRenamed("node", "id").withColumnRenamed("component", "cluster")
 
-    sized = clusters.join(classes.groupBy("id").agg(F.sum("n").alias("n")), "id")
-    parts = sized.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"), F.sum("n").alias("total"))
-    whole = parts.agg(F.sum("total")).first()[0] or 0
-    groups = max(1, -(-whole // GROUP_SHINGLES))
-    placed = sized.join(parts, "cluster").withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    big = F.col("blocks") > 1
-    placed = placed.select(
-        "id", "cluster", "side", big.alias("big"),
-        F.when(big, F.col("cluster")).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(groups))).alias("part"),
-        F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col(text).alias("text"))
-    links = _confirmed(placed.join(texts, "id"), shingle, percent)
+    sized = clusters.join(classes.groupBy("id").agg(F.sum("n").alias("n")), "id")
+    nodes = written(sized.join(texts, "id"), "nodes")
+    links = _links_of(nodes, links, shingle, percent, written)
+
     several = with_sets.groupBy("doc_id").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x != y").select("doc_id")
     of_one = with_sets.select("doc_id", "class").join(several, "doc_id").join(classes.select("class", "id"), "class")
     links = links.unionAll(of_one.select(F.col("doc_id").alias("a"), F.col("id").alias("b")))
