@@ -12,7 +12,8 @@ behind is the same. A text is cut into chunks of equal length, wherever that fal
 state map (state before -> tokens, state behind) is therefore constant but for the head up to its
 first synchronizing place. All chunks run at once, one character of each in every step; the maps
 are then composed in a scan, in which each chunk's head runs from the state behind the chunk
-before, and the running sum of the emitted counts gives every text's tokens.
+before, until its states are those it had without, and the running sum of the emitted counts
+gives every text's tokens.
 """
 
 from __future__ import annotations
@@ -167,36 +168,50 @@ class Transducer:
         sync = np.concatenate([sync, np.ones(padded - total, bool)]).reshape(lanes, CHUNK)
         out = np.zeros((lanes, CHUNK), np.int16)
 
-        # Every chunk from its own start: right from its first synchronizing place on.
-        behind = np.zeros(lanes, np.int64)
+        # Every chunk as if nothing stood before it: right from its first synchronizing place on.
+        behind, trail = np.zeros(lanes, np.int64), np.zeros((lanes, CHUNK), np.int32)
         for i in range(CHUNK):
             behind[sync[:, i]] = _START
             known = np.flatnonzero(codes[:, i])
             behind[known], out[known, i] = self.step(behind[known], codes[known, i])
             if len(known) < lanes:
                 behind[codes[:, i] == 0] = _START
+            trail[:, i] = behind
 
-        # Compose: the head of each chunk runs from the state behind the chunk before.
+        # Compose: the head of each chunk runs from the state behind the chunk before, until it
+        # ends or is in a state that it was in before at this place. If that changes the state
+        # behind the chunk, the next one runs again. What a chunk without a synchronizing place
+        # maps a state to is kept, for others with the same characters.
         heads = np.where(sync.any(1), sync.argmax(1), CHUNK)
-        waits = heads == CHUNK  # not constant: the state behind depends on the state before
-        ready = np.flatnonzero((heads > 0) & ~np.concatenate([[False], waits[:-1]]))
+        maps: dict[tuple[bytes, int], tuple[np.ndarray, np.ndarray, int]] = {}
+        ready = np.flatnonzero(heads > 0)
         while len(ready):
-            states, active, i = behind[ready - 1], ready, 0
-            while len(active):
+            entry = behind[ready - 1]
+            entered = {int(k): (codes[k].tobytes(), int(e)) for k, e in zip(ready, entry) if heads[k] == CHUNK}
+            known = [k for k, key in entered.items() if key in maps]
+            changed = []
+            for k in known:
+                out[k], trail[k], exit_ = maps[entered[k]]
+                if behind[k] != exit_:
+                    behind[k] = exit_
+                    changed.append(k + 1)
+            found = np.isin(ready, known)
+            active, states = ready[~found], entry[~found]
+            for i in range(CHUNK):
                 more = heads[active] > i
-                done = ~more & waits[active]
-                behind[active[done]] = states[done]
                 active, states = active[more], states[more]
-                if len(active):
-                    states, out[active, i] = self.step(states, codes[active, i])
-                i += 1
-                if i == CHUNK:
-                    whole = waits[active]
-                    behind[active[whole]] = states[whole]
+                if not len(active):
                     break
-            after = ready[waits[ready]] + 1
-            after = after[after < lanes]
-            ready = after[heads[after] > 0]
+                states, out[active, i] = self.step(states, codes[active, i])
+                other = trail[active, i] != states
+                active, states = active[other], states[other]
+                trail[active, i] = states
+            if len(active):  # to the end of the chunk, and not as before
+                behind[active] = states
+                changed += (active + 1).tolist()
+            for k in set(entered) - set(known):
+                maps[entered[k]] = out[k].copy(), trail[k].copy(), int(trail[k, -1])
+            ready = np.array(sorted(k for k in changed if k < lanes and heads[k] > 0), np.int64)
         return out.reshape(-1)[:total]
 
 
