@@ -200,3 +200,41 @@ def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of all documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     return quality(docs, keep=["doc_id"]).select("doc.doc_id", *_COUNTS, "base_failed", "kept", "n_boilerplate")
+
+
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+ORACLE = f"""
+WITH texts AS (SELECT doc_id, source, text, {_WORDS.format("coalesce(text, '')")} AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS n
+  FROM (SELECT doc_id, i, array_to_string(list_slice(words, i, i + {WINDOW - 1}), ' ') AS w
+        FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - {WINDOW - 1})) AS i FROM texts WHERE len(words) >= {WINDOW}))),
+repeated AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + {WINDOW - 1})) AS p FROM windows WHERE n > 1)
+  GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, source, text, line, {_WORDS.format("line")} AS words
+  FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM texts)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+normal AS (
+  SELECT *, regexp_replace(translate(array_to_string(words, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[0-9]+', '0', 'g') AS form
+  FROM lines),
+hosts AS (SELECT source, count(*) AS docs FROM documents GROUP BY source),
+frequent AS (
+  SELECT coalesce('h' || n.source, 'n') AS host, form
+  FROM normal n JOIN hosts h ON n.source IS NOT DISTINCT FROM h.source
+  GROUP BY n.source, form, docs HAVING count(DISTINCT text) > {LINE_DOCS} AND count(DISTINCT text) > {LINE_SHARE} * docs),
+by_line AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS dups,
+         coalesce(sum(len(words)) FILTER ((coalesce('h' || source, 'n'), form) IN (SELECT (host, form) FROM frequent)), 0) AS boilerplate
+  FROM normal GROUP BY doc_id),
+counted AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+         coalesce(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')), 0)::BIGINT AS n_symbols,
+         coalesce(dups, 0)::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words, coalesce(boilerplate, 0)::BIGINT AS n_boilerplate
+  FROM texts LEFT JOIN by_line USING (doc_id) LEFT JOIN repeated USING (doc_id)),
+judged AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_SHARE} * n_words AS base_failed FROM counted)
+SELECT *, NOT base_failed AND n_words - n_boilerplate >= {KEPT_SHARE} * n_words AS kept FROM judged"""

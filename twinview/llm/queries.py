@@ -17,4 +17,6 @@ QUERIES = {
 ORACLES = {
     "op3_sainte_lague_mix": mix.ORACLE,
     "op4_warc_segments": warc.ORACLE,
+    "op5_count_min_windows": repeats.ORACLE,
+    "op6_line_frequency": lines.ORACLE,
 }

@@ -241,3 +241,17 @@ def op5_count_min_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return remove_repeats(docs, keep=["doc_id"]).select(
         "doc.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE = f"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(list_slice(words, i, i + {WINDOW - 1}), ' ') AS w
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - {WINDOW - 1})) AS i FROM texts WHERE len(words) >= {WINDOW})),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + {WINDOW - 1})) AS p FROM later),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+placed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM texts),
+rest AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept FROM placed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN removed USING (doc_id) LEFT JOIN rest USING (doc_id)"""
