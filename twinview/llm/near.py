@@ -346,3 +346,25 @@ def op2_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates of all documents on shingles of two words."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return near_duplicates(docs, shingle=2)
+
+
+ORACLE = f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 1), ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 1, 1))) AS i FROM texts WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(shingle) AS n FROM texts LEFT JOIN shingles USING (doc_id) GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= {PERCENT} * (x.n + y.n - common)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sizes
+  UNION
+  SELECT r.doc_id, w.b FROM reached r JOIN ways w ON r.other = w.a)
+SELECT doc_id, any_value(n) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reached JOIN sizes USING (doc_id) GROUP BY doc_id"""

@@ -15,8 +15,10 @@ QUERIES = {
     "op10_hnsw_shards": hnsw.op10_hnsw_shards,
 }
 ORACLES = {
+    "op2_hamming_join": near.ORACLE,
     "op3_sainte_lague_mix": mix.ORACLE,
     "op4_warc_segments": warc.ORACLE,
     "op5_count_min_windows": repeats.ORACLE,
     "op6_line_frequency": lines.ORACLE,
+    "op9_induced_suffixes": suffixes.ORACLE,
 }

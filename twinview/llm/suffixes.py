@@ -366,3 +366,20 @@ def op9_induced_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return cut_repeats(docs, keep=["doc_id"]).select(
         "doc.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents),
+strings AS (
+  SELECT doc_id, i, substr(digits, 2 * i - 1, 200) AS s
+  FROM (SELECT doc_id, digits, unnest(generate_series(1, length(digits) // 2 - 99)) AS i FROM texts WHERE length(digits) >= 200)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS n FROM strings) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 99)) AS p FROM later),
+spans AS (
+  SELECT doc_id, count(*) AS n, count(*) FILTER (p - before > 1 OR before IS NULL) AS runs
+  FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM gone) GROUP BY doc_id),
+bytes AS (SELECT doc_id, digits, unnest(generate_series(1, length(digits) // 2)) AS p FROM texts),
+rest AS (SELECT doc_id, string_agg(substr(digits, 2 * p - 1, 2), '' ORDER BY p) AS kept FROM bytes ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, (length(digits) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(runs, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM texts LEFT JOIN spans USING (doc_id) LEFT JOIN rest USING (doc_id)"""
