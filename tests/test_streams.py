@@ -195,6 +195,19 @@ def test_null_keys_are_one_key_in_all_views(spark, tmp_path, kind):
         streaming.compact_expiring_view(spark, path, kind)
 
 
+def test_compaction_beside_a_micro_batch_loses_no_visitor(spark, tmp_path):
+    """The visitors of batch 1 are written, its keys not yet, when the view is compacted."""
+    path, schema = str(tmp_path / "view"), "timestamp_hour long, action string, visitor string, product string"
+    append_batch(spark.createDataFrame([(0, "x", "V1", "A")], schema), path, 0, "exact", 0)
+    append_batch(spark.createDataFrame([(0, "x", "V2", "A"), (0, "x", "V3", "B")], schema), path, 1, "exact", 1)
+    os.rename(f"{path}/view/changes/batch_id=1", f"{path}/later")
+    streaming.compact_expiring_view(spark, path, "exact")
+    assert as_set(live_view(spark, path, "exact", now_ms=1)) == [("A", 0, 2)]
+    os.rename(f"{path}/later", f"{path}/view/changes/batch_id=1")
+    streaming.compact_expiring_view(spark, path, "exact")
+    assert as_set(live_view(spark, path, "exact", now_ms=1)) == [("A", 0, 2), ("B", 0, 1)]
+
+
 def test_a_micro_batch_reads_no_state(spark, landed, tmp_path, monkeypatch):
     """Beyond the first micro-batch, what is written is planned without a scan of the table."""
     plans, path = [], str(tmp_path / "view")

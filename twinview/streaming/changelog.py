@@ -61,6 +61,11 @@ def _bases(spark: SparkSession, path: str, schema: T.StructType) -> dict[str, di
     return out
 
 
+def newest_mark(spark: SparkSession, path: str) -> int | None:
+    """The batch that the newest compaction reaches up to."""
+    return next(reversed(_numbers(spark, f"{path}/marks", UPTO)), None)
+
+
 def _mark(spark: SparkSession, path: str, upto: int) -> None:
     file = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/marks/{UPTO}={upto}/_SUCCESS")
     file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file, True).close()
@@ -121,14 +126,16 @@ def compact_view(
     keys: Sequence[str] = VIEW_KEYS,
     resolve: Callable[[DataFrame], DataFrame] | None = None,
     carry: bool = True,
+    upto: int | None = None,
 ) -> int | None:
     """Write new bases and return the batch they reach up to, None if there was nothing to do.
 
+    Batches after ``upto`` are left as they are.
     ``resolve`` makes of a bucket's rows those to keep, else the last row per key stays. With
     ``carry`` buckets without a change stay as they are. What the new bases cover stays until
     ``drop_compacted``, for readers already under way.
     """
-    batches = _numbers(spark, f"{path}/changes", BATCH_ID)
+    batches = [n for n in _numbers(spark, f"{path}/changes", BATCH_ID) if upto is None or n <= upto]
     marks = _numbers(spark, f"{path}/marks", UPTO)
     if not batches or (marks and marks[-1] >= batches[-1]):
         return None

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from twinview.operators.views import activity_by_product, visitor_sketches
 from twinview.schema import ACTIVITY_BY_PRODUCT, VIEW_KEYS, VISITORS_BY_PRODUCT
-from twinview.streaming.changelog import compact_view, drop_compacted, read_changes, write_changes
+from twinview.streaming.changelog import compact_view, drop_compacted, newest_mark, read_changes, write_changes
 from twinview.streaming.queries import EVERY_SNAPSHOT, start_batches
 
 # Time without new data after which a key expires (fixed value).
@@ -172,5 +172,8 @@ def compact_expiring_view(spark: SparkSession, path: str, kind: str = "activity"
         known = _with_visitors(runs, seen).where("visitor is not null")
         return known.groupBy(*VIEW_KEYS, "visitor").agg(F.max(LAST_SEEN).alias(LAST_SEEN))
 
-    compact_view(spark, f"{path}/seen", SEEN, resolve=of_current_runs, carry=ttl_ms is None)
+    # a micro-batch under way has written its visitors, but not yet its keys: leave it alone
+    upto = newest_mark(spark, view)
+    if upto is not None:
+        compact_view(spark, f"{path}/seen", SEEN, resolve=of_current_runs, carry=ttl_ms is None, upto=upto)
     drop_compacted(spark, f"{path}/seen", SEEN)
