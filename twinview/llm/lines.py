@@ -5,9 +5,9 @@ The counts of a text need nothing but the text; they are taken for whole Arrow b
 A line is normalised (A-Z lowered, runs of separators one space, runs of digits one 0) and hashed.
 The documents with it are counted per host. Copies of one text are one document: a text that was
 copied often is for the near-duplicate stage, and none of its lines is boilerplate for that. Lines
-above the limit are removed, and a document that keeps too little is rejected. A line of a third
-of all documents is summed before the shuffle; back at the documents it is one join key, which
-Spark's skew join splits.
+above the limit are removed from the text that ``as_text`` asks for, and a document that keeps too
+little is rejected. A line of a third of all documents is summed before the shuffle; back at the
+documents it is one join key, which Spark's skew join splits.
 """
 
 from __future__ import annotations
@@ -112,6 +112,22 @@ def normalised_lines(texts: Texts, words: Words) -> tuple[np.ndarray, np.ndarray
     return mixed(sums ^ (last - first).astype(np.uint64), 2), last - first, owner
 
 
+def without_lines(texts: Texts, gone: pa.ListArray) -> list[str]:
+    """Each text without its lines whose hashes are in its list, and without their line feeds."""
+    out = []
+    words = words_of(texts)
+    line, _, owner = normalised_lines(texts, words)
+    first, _, _ = _lines(texts, words)
+    feeds = np.flatnonzero(texts.data == 0x0A)
+    place = np.searchsorted(feeds, words.starts[first]) - np.searchsorted(feeds, texts.bounds[owner])
+    bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
+    for i in range(len(texts)):
+        own = slice(bounds[i], bounds[i + 1])
+        drop = set(place[own][np.isin(line[own].view(np.int64), gone[i].values.to_numpy())].tolist())
+        out.append(b"\n".join(x for n, x in enumerate(texts.bytes_of(i).split(b"\n")) if n not in drop).decode(errors="replace"))
+    return out
+
+
 def _all_lines(docs: DataFrame, text: str) -> DataFrame:
     """One row for each row of ``docs`` and distinct normalised line of it, with its words.
 
@@ -152,14 +168,15 @@ def frequent_lines(rows: DataFrame, docs: DataFrame, line_docs: int = LINE_DOCS,
 
 def quality(docs: DataFrame, host: str = "source", min_words: int = MIN_WORDS, max_repeat_share: int = MAX_REPEAT_SHARE,
             line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE, kept_share: float = KEPT_SHARE,
-            keep: list[str] | None = None) -> DataFrame:
+            keep: list[str] | None = None, as_text: bool = False) -> DataFrame:
     """Every row of ``docs`` as the struct ``doc`` (of the columns ``keep``, all by default), with
     its counts and verdict.
 
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; base_failed: fewer than
     ``min_words`` words, or over ``max_repeat_share`` percent of them in repeated windows;
     n_boilerplate: words in lines above the limit; kept: not base_failed, and lines below the limit
-    hold ``kept_share`` of all words.
+    hold ``kept_share`` of all words. With ``as_text`` also cleaned: the text without the lines
+    above the limit (``keep`` must have the text then).
 
     Null and empty texts have no words and fail. A null host is a host. Rows are told apart by
     doc_id: repeated rows share one verdict, and rows of one doc_id with different texts have the
@@ -186,14 +203,36 @@ def quality(docs: DataFrame, host: str = "source", min_words: int = MIN_WORDS, m
     lines = _all_lines(docs.select("doc_id", key, "text"), "text")
     limit = frequent_lines(lines, docs.select(key), line_docs, line_share)
     removed = lines.join(limit, ["host", "line"]).select("doc_id", "content", "line", "words").distinct()
-    removed = removed.groupBy("doc_id", "content").agg(F.sum("words").alias("n_boilerplate"))
+    gone = [F.collect_list("line").alias("gone")] if as_text else []  # no more than the text has lines
+    removed = removed.groupBy("doc_id", "content").agg(F.sum("words").alias("n_boilerplate"), *gone)
     removed = removed.withColumnRenamed("content", "_content").withColumnRenamed("doc_id", "_id")
     joined = counted.join(removed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("content") == F.col("_content")), "left")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_share * F.col("n_words"))
     boilerplate = F.coalesce(F.col("n_boilerplate"), F.lit(0)).cast("long")
     left = F.col("n_words") - F.col("n_boilerplate")
-    return joined.select("doc", *_COUNTS, failed.alias("base_failed"), boilerplate.alias("n_boilerplate")).withColumn(
+    judged = joined.select("doc", *_COUNTS, failed.alias("base_failed"), boilerplate.alias("n_boilerplate"), *(["gone"] if as_text else [])).withColumn(
         "kept", ~F.col("base_failed") & (left >= kept_share * F.col("n_words")))
+    return _cleaned(judged) if as_text else judged
+
+
+def _cleaned(judged: DataFrame) -> DataFrame:
+    """``judged`` with cleaned in place of gone, the hashes of the lines to leave out."""
+    others = [f for f in judged.schema.fields if f.name != "gone"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cleaned: list[str | None] = [None] * batch.num_rows
+            rows = np.flatnonzero(batch.column("gone").is_valid().to_numpy(zero_copy_only=False))
+            own = pa.RecordBatch.from_arrays(
+                [batch.column("doc").field("text").take(pa.array(rows)), batch.column("gone").take(pa.array(rows)), pa.array(rows)], ["text", "gone", "row"])
+            for piece in pieces([own], "text"):
+                for row, text in zip(piece.column("row").to_pylist(), without_lines(texts_of(piece.column("text")), piece.column("gone"))):
+                    cleaned[row] = text
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(f.name) for f in others), pa.array(cleaned, pa.string())], [*(f.name for f in others), "cleaned"])
+
+    found = mapped(judged, run, T.StructType([*others, T.StructField("cleaned", T.StringType())]))
+    return found.withColumn("cleaned", F.when(F.col("n_boilerplate") > 0, F.col("cleaned")).otherwise(F.col("doc.text")))
 
 
 def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
