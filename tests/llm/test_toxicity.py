@@ -70,3 +70,33 @@ def test_odd_rows(spark, odd, empty, channel):
     weights, bias = toxicity.learn(odd, labels, nothing)
     assert weights == {} and toxicity.score(odd, nothing, weights, bias).count() == odd.count()
     assert toxicity.learn(empty, labels.limit(0), nothing)[0] == {}
+
+
+SENTENCE = "you are not here and the stupid loser is in the house"
+
+
+@pytest.mark.parametrize("written", [
+    " ".join(SENTENCE.replace(" ", "")),
+    "   ".join(" ".join(w) for w in SENTENCE.split()),
+    " ".join((SENTENCE * 3).replace(" ", "")),
+    ".".join(SENTENCE.replace(" ", "")),
+    SENTENCE.replace(" ", "..."),
+    "they say: " + " ".join("y0uar3astup1d1ose"),
+    "s" + "t" * 70 + "u" * 70 + "pid",
+    "s.t.u.p." + "-" * 70 + "i.d",
+])
+def test_long_and_spaced_texts_are_restored(spark, channel, written):
+    weights = {"stupid": 6.0, "loser": 6.0}
+    df = spark.createDataFrame([(1, written), (2, " ".join("wearehereandthereisnothingtoseeinthehouseofthem"))], "doc_id long, text string")
+    found = {r.doc_id: r.score for r in toxicity.score(df, channel, weights, -3.0).collect()}
+    assert found[1] > 0.9 and found[2] < 0.1
+
+
+def test_words_of_a_row(channel):
+    assert channel.restore("t h e h o u s e").replace(" ", "") == "thehouse"
+    assert {"stupid", "loser"} <= set(channel.row_words(" ".join("youareastupidloser"), {"stupid", "loser"}))
+    # a known word inside a likelier one is none
+    assert "her" not in channel.row_words(" ".join("thereisanother"), {"her"})
+    assert "rubbish" in channel.row_words(" ".join("thisisrubbishandnonsense"), {"rubbish"})
+    # no length is too long
+    assert channel.row_words(" ".join("stupid" * 2000), {"stupid"}).count("stupid") == 2000

@@ -6,7 +6,9 @@ that stand for letters between letters, separators between single letters, or a
 in a row; so is a row of single letters set apart by spaces. A noisy token is a lattice: each
 character may be what it is, a letter it is written for, or nothing (separators, repeats). The
 best path under the channel's costs and the language model is found by Viterbi decoding. Other
-tokens have one path only and are left as they are.
+tokens have one path only and are left as they are. In a row, and in a token with several gaps of
+separators, a gap may also be a bound of words, and each word of the path counts. No length is
+too long: the work is linear in it.
 
 Features are a restored word and its first letters. Their weights are log odds of the contexts
 in which they stand in toxic and in other labelled texts; a word's contexts are the words before,
@@ -20,7 +22,8 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,17 +60,24 @@ FEATURES = 20_000
 SAMPLE_SEED = 11
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.3
+#: The log probability that a word of a row is a certain one of those known, at least.
+KNOWN = math.log(1e-4)
 
 _LETTER = r"[^\W\d_]"
 _SIGNS = re.escape("".join(LEET))
 _NOISY = re.compile(
     rf"{_LETTER}[{_SIGNS}]+{_LETTER}|^[{_SIGNS}]+{_LETTER}{{2}}|{_LETTER}{{2}}[0-9$@!|]+$"
     rf"|({_LETTER})\1\1|(?:^|\W){_LETTER}(?:[{re.escape(SEPARATORS)}]+{_LETTER}){{2}}", re.I)
-_EDGES = re.compile(r"^[^\w@$!|+(€¡*#]+|[^\w@$!|+€*#]+$")
-_JUNK = re.compile(r"(?:[^\w]|_)+$")
+# What may stand before and after a word; for the end, of the text turned round, as a search would be quadratic.
+_HEAD = re.compile(r"[^\w@$!|+(€¡*#]*")
+_TAIL = re.compile(r"[^\w@$!|+€*#]*")
+_JUNK = re.compile(r"(?:[^\w]|_)*")
 _THRICE = re.compile(r"(.)\1\1", re.I)
 _PLAIN_EDGES = ".,;:?\"'()[]{}&%"
-_SPACED = 4  # single letters in a row that may be one word
+_GAPS = re.compile(" +|[^ ]")
+_BLANKS = re.compile(r"[\x09-\x0d\x20]+")
+_PARTS = re.compile(rf"[^{re.escape(''.join(c for c in SEPARATORS if c not in LEET and c != chr(39)))}]+")
+_SPACED = 4  # single letters in a row that may be words
 
 
 def character_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -99,25 +109,88 @@ class Channel:
         self.log = np.log(p3).astype(np.float32)
 
     def restore(self, token: str) -> str:
-        """The likeliest word for a token in lower case."""
-        paths = {(_BOUND, _BOUND): (0.0, "")}
+        """The likeliest text for a token in lower case; a gap of spaces in it is a bound of words or nothing."""
+        # a path is (path before, letter), so equal beginnings are kept once
+        paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(_BOUND, _BOUND): (0.0, None)}
+        signs = _GAPS.findall(token)
+        narrow = min((len(sign) for sign in signs if sign[0] == " "), default=0)
         before = ""
-        for sign in [*token, None]:
-            grown: dict[tuple[int, int], tuple[float, str]] = {}
+        for sign in [*signs, None]:
+            grown: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             if sign is None:
                 options = [("", _BOUND, 0.0)]
+            elif sign[0] == " ":
+                options = [(" ", _BOUND, 0.0), ("", -1, LEFT_OUT * (len(sign) - narrow))]
             else:
                 options = [(sign, int(_CODES[ord(sign)]), SAME)]
                 options += [(c, int(_CODES[ord(c)]), WRITTEN - math.log(len(LEET[sign]))) for c in LEET.get(sign, "")]
                 if sign in SEPARATORS or sign == before:
                     options.append(("", -1, LEFT_OUT if sign in SEPARATORS else SAME))
+                before = sign
             for (a, b), (cost, path) in paths.items():
                 for letter, code, price in options:
                     state, value = ((a, b), cost + price) if code < 0 else ((b, code), cost + price + float(self.log[a, b, code]))
                     if state not in grown or value > grown[state][0]:
-                        grown[state] = (value, path + letter)
-            paths, before = grown, sign
-        return max(paths.values())[1]
+                        grown[state] = (value, (path, letter) if letter else path)
+            paths = grown
+        path, letters = max(paths.values(), key=lambda p: p[0])[1], []
+        while path:
+            path, letter = path
+            letters.append(letter)
+        return "".join(reversed(letters))
+
+    def row_words(self, row: str, known: Collection[str] = ()) -> list[str]:
+        """Words of a row in lower case, whose gaps are bounds of words or nothing.
+
+        Those of the likeliest path; those of ``known`` in its letters where a path through them is
+        likelier if a known word has the probability ``KNOWN``; and the row as one word, as the first
+        or the last sign may be a word of its own.
+        """
+        path = self.restore(row).split()
+        whole = _without_end(self.restore(row.replace(" ", "")), _JUNK)
+        found = Counter(_without_end(w, _JUNK) for w in path)
+        # the path may leave out one of two equal letters, as written they are there
+        for letters in {"".join(path), row.replace(" ", "")}:
+            found |= Counter(self._known_words(letters, known))
+        found |= Counter({whole, whole[1:], whole[:-1]})
+        return [w for w in found.elements() if w]
+
+    def _known_words(self, letters: str, known: Collection[str]) -> list[str]:
+        """The known words on the likeliest path through letters, with a bound of words anywhere."""
+        sizes = sorted({len(w) for w in known if 2 < len(w) <= len(letters)})
+        if not sizes:
+            return []
+        codes = [int(_CODES[ord(c)]) for c in letters]
+        # by the place after a bound: the letter before the bound, the path's value and its known words
+        at: list[tuple[int, float, tuple | None] | None] = [None] * (len(letters) + 1)
+        at[0] = (_BOUND, 0.0, None)
+        open_words: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for i in range(len(letters) + 1):
+            ended = [(a, value + float(self.log[a0, a, _BOUND]), path) for (a0, a), (value, path) in open_words.items()]
+            best = max([*([at[i]] if at[i] else []), *ended], key=lambda x: x[1])
+            at[i] = best
+            if i == len(letters):
+                break
+            for n in sizes:
+                if i + n <= len(letters) and (word := letters[i : i + n]) in known:
+                    jump = (codes[i + n - 1], best[1] + KNOWN, (best[2], word))
+                    if at[i + n] is None or jump[1] > at[i + n][1]:
+                        at[i + n] = jump
+            grown: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            for (a, b), (value, path) in [((best[0], _BOUND), best[1:]), *open_words.items()]:
+                state, value = (b, codes[i]), value + float(self.log[a, b, codes[i]])
+                if state not in grown or value > grown[state][0]:
+                    grown[state] = (value, path)
+            open_words = grown
+        path, words = at[-1][2], []
+        while path:
+            path, word = path
+            words.append(word)
+        return words
+
+
+def _without_end(token: str, end: re.Pattern) -> str:
+    return token[: len(token) - end.match(token[::-1]).end()]
 
 
 def _token_words(token: str, channel: Channel | None) -> str:
@@ -126,13 +199,13 @@ def _token_words(token: str, channel: Channel | None) -> str:
     if plain.isalpha() and not _THRICE.search(plain):
         return plain.lower()
     token = token.lower()
-    bare = _EDGES.sub("", token)
-    if channel and len(bare) <= 64 and _NOISY.search(bare):
-        plain = _JUNK.sub("", bare)
+    bare = _without_end(token[_HEAD.match(token).end() :], _TAIL)
+    if channel and _NOISY.search(bare):
+        plain = _without_end(bare, _JUNK)
         if plain != bare and not _NOISY.search(plain):
             return plain
-        return _JUNK.sub("", channel.restore(bare))
-    return _JUNK.sub("", bare)
+        return _without_end(channel.restore(bare), _JUNK)
+    return _without_end(bare, _JUNK)
 
 
 def _features(word: str) -> list[str]:
@@ -142,27 +215,36 @@ def _features(word: str) -> list[str]:
     return [word, *([word[:-1]] if word[-1] == "s" and len(word) > 4 else []), *(f"{word[:n]}*" for n in PREFIXES if len(word) > n)]
 
 
-def _restored(texts: Texts, words: Words, channel: Channel) -> tuple[list[str], np.ndarray, list[tuple[int, int, str]]]:
-    """Distinct restored tokens, each word's token, and (text, word, restored) of spaced words."""
+def _restored(texts: Texts, words: Words, channel: Channel, known: Collection[str] = ()) -> tuple[list[str], np.ndarray, list[tuple[int, int, str]]]:
+    """Distinct restored tokens, each word's token, and (text, word, restored) of the words in rows.
+
+    A row is of single characters set apart by spaces, or one token with several gaps of separators.
+    """
     lowered = LOWER[texts.data]
     hashes = spans_hashed(lowered, words.starts, words.ends)
     _, first, code = np.unique(hashes, return_index=True, return_inverse=True)
+    code = code.reshape(-1)
     flat = lowered.tobytes()
-    tokens = [_token_words(flat[a:b].decode(errors="replace"), channel) for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist())]
+    owner = np.repeat(np.arange(len(texts)), words.counts)
+    tokens, spaced = [], []
+    for c, (a, b) in enumerate(zip(words.starts[first].tolist(), words.ends[first].tolist())):
+        token = flat[a:b].decode(errors="replace")
+        tokens.append(_token_words(token, channel))
+        parts = _PARTS.findall(token.lower())
+        if len(parts) >= _SPACED and len(set(parts)) > 2:
+            more = Counter(channel.row_words(" ".join(parts), known)) - Counter([tokens[c]])
+            spaced += [(int(owner[i]), i, w) for i in np.flatnonzero(code == c).tolist() for w in more.elements()]
     # rows of single characters
     size = np.diff(np.concatenate([[0], np.cumsum(lowered & 0xC0 != 0x80)])[np.stack([words.starts, words.ends])], axis=0)[0] if len(words.starts) else np.zeros(0)
     single = size == 1
-    owner = np.repeat(np.arange(len(texts)), words.counts)
     edge = np.flatnonzero(np.concatenate([[True], (single[1:] != single[:-1]) | (owner[1:] != owner[:-1]), [True]])) if len(single) else np.zeros(1, int)
-    spaced = []
     for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
         if single[a] and b - a >= _SPACED:
-            signs = flat[words.starts[a] : words.ends[b - 1]].decode(errors="replace").split()
-            if len(set(signs)) > 2 and len(signs) <= 64:
-                word = _JUNK.sub("", channel.restore("".join(signs)))
-                # the first or the last may be a word of its own
-                spaced += [(int(owner[a]), a, w) for w in (word, word[1:], word[:-1])]
-    return tokens, code.reshape(-1), spaced
+            row = flat[words.starts[a] : words.ends[b - 1]].decode(errors="replace").lower()
+            if len(set(row.split())) > 2:
+                row = _BLANKS.sub(lambda m: " " * len(m[0]), row)
+                spaced += [(int(owner[a]), a, w) for w in channel.row_words(row, known)]
+    return tokens, code, spaced
 
 
 def crc_part(doc_id: Column) -> Column:
@@ -184,17 +266,18 @@ def context_counts(labelled: DataFrame, channel: Channel, text: str = "text", la
             tokens, code, spaced = _restored(texts, words, shared.value)
             features = [_features(t) for t in tokens]
             crc = [zlib.crc32(t.encode()) for t in tokens]
-            rows = []
+            rows, more = [], defaultdict(list)
+            for t, _, word in spaced:
+                more[t].append(word)
             for i, value in enumerate(batch.column(label).to_pylist()):
                 own = code[words.bounds[i] : words.bounds[i + 1]].tolist()
                 first: dict[str, int] = {}
                 for before, c in zip([-1, *own], own):
                     for f in features[c]:
                         first.setdefault(f, crc[c] if f[-1] == "*" else crc[before] if before >= 0 else 0)
-                for t, _, word in spaced:
-                    if t == i:
-                        for f in _features(word):
-                            first.setdefault(f, 1)
+                for word in more[i]:
+                    for f in _features(word):
+                        first.setdefault(f, 1)
                 rows += [(f, c, value == 1) for f, c in first.items()]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["feature", "context", "is_toxic"])
@@ -244,10 +327,11 @@ def score(docs: DataFrame, channel: Channel, weights: dict[str, float], bias: fl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         channel, weights = shared.value
+        known = {f for f in weights if f[-1] != "*"}
         for batch in pieces(batches, text):
             texts = texts_of(batch.column(text))
             words = words_of(texts)
-            tokens, code, spaced = _restored(texts, words, channel)
+            tokens, code, spaced = _restored(texts, words, channel, known)
             worth = np.array([max((weights.get(f, 0.0) for f in _features(t)), default=0.0) for t in tokens] or [0.0])
             each = worth[code] if len(code) else np.zeros(0)
             most, total = np.zeros(len(texts)), np.zeros(len(texts))
