@@ -88,3 +88,12 @@ def test_connected_components(spark, shape):
             parent[y] = x
     found = components(spark.createDataFrame(links, "a long, b long"))
     assert rows_of(found, "node", "component") == sorted((x, root(x)) for x in parent)
+
+
+@pytest.mark.parametrize("size", [100, 100_000, 400_000])
+def test_signatures_tell_unrelated_sets_of_any_size_apart(size):
+    drawn = np.random.default_rng(size).integers(0, 1 << 63, 2 * size, dtype=np.uint64)
+    one, other, near_one = drawn[:size], drawn[size:], np.concatenate([drawn[: size * 9 // 10], drawn[-size // 10 :]])
+    found = near.signatures(np.concatenate([one, other, near_one]), np.cumsum([0, size, size, len(near_one)]))
+    assert (found[0] != found[1]).sum() >= 110
+    assert (found[0] != found[2]).sum() <= near.MOST_APART

@@ -79,7 +79,8 @@ def signatures(found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
             drawn ^= drawn >> np.uint32(15)
             drawn *= np.uint32(0x2C1B3C6D)
             drawn ^= drawn >> np.uint32(12)
-            out[some, i] = np.minimum.reduceat(drawn, first) >> np.uint32(16)
+            # the low bits: the high ones of a large set's minimum are all zero
+            out[some, i] = np.minimum.reduceat(drawn, first).astype(np.uint16)
     return out
 
 
