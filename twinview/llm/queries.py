@@ -1,6 +1,20 @@
 """The queries opN_<name>, each applying one operator to its whole table, and their SQL."""
 
-from twinview.llm import chunks, hnsw, lines, mix, near, repeats, suffixes, toxicity, transducer, warc
+from twinview.llm import (
+    chunks,
+    hnsw,
+    lines,
+    middle,
+    mix,
+    near,
+    pivots,
+    repeats,
+    spectrum,
+    suffixes,
+    toxicity,
+    transducer,
+    warc,
+)
 
 QUERIES = {
     "op1_transducer_counts": transducer.op1_transducer_counts,
@@ -13,6 +27,9 @@ QUERIES = {
     "op8_noisy_channel": toxicity.op8_noisy_channel,
     "op9_induced_suffixes": suffixes.op9_induced_suffixes,
     "op10_hnsw_shards": hnsw.op10_hnsw_shards,
+    "op11_block_rotation": middle.op11_block_rotation,
+    "op12_pivot_range_join": pivots.op12_pivot_range_join,
+    "op13_spectrum_slicing": spectrum.op13_spectrum_slicing,
 }
 ORACLES = {
     "op2_hamming_join": near.ORACLE,
@@ -21,4 +38,6 @@ ORACLES = {
     "op5_count_min_windows": repeats.ORACLE,
     "op6_line_frequency": lines.ORACLE,
     "op9_induced_suffixes": suffixes.ORACLE,
+    "op11_block_rotation": middle.ORACLE,
+    "op12_pivot_range_join": pivots.ORACLE,
 }
