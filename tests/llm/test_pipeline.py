@@ -64,3 +64,10 @@ def test_stages_on_odd_rows(spark, documents, empty):
         if name != corpus_pipeline.STAGES[-1][0]:
             assert docs.columns == before
     assert (docs.count() == 0) == empty
+
+
+def test_an_id_of_several_texts_keeps_the_same_row(spark):
+    rows = [(1, f"text {i} of this id " + " ".join(f"w{i}x{j}" for j in range(20)), s) for i in range(6) for s in ("a", None)]
+    docs = spark.createDataFrame([*rows, *rows[:3]], "doc_id long, text string, source string")
+    kept = [[tuple(r) for r in corpus_pipeline.near_dedup(spark, docs.repartition(n), SF_DIR).collect()] for n in (1, 7)]
+    assert len(kept[0]) == 1 and kept[0] == kept[1] and kept[0][0] in rows

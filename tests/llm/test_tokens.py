@@ -87,3 +87,20 @@ def test_queries_equal_the_library(spark, documents):
     assert rows_of(found, "doc_id", "n_bytes", "n_tokens", "over_limit") == sorted(counts)
     found = chunks.op7_chunk_table(spark, SF_DIR)
     assert rows_of(found, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(digests)
+
+
+def test_checked_encoding_is_encode_and_decode(odd, empty, monkeypatch):
+    both = chunks.decode(chunks.encode(odd)).selectExpr("doc_id", "ids", "decoded = coalesce(text, '') AS same")
+    checked = chunks.encode_checked(odd.withColumn("round_trip", F.lit("own")), ["doc_id", "source", "round_trip"])
+    assert checked.columns == ["doc_id", "source", "ids", "round_trip"]
+    assert rows_of(checked, "doc_id", "ids", "round_trip") == rows_of(both, "doc_id", "ids", "same")
+    assert chunks.encode_checked(empty, ["doc_id"]).count() == 0
+    with_text = chunks.encode_checked(odd, ["doc_id", "text"])
+    assert rows_of(with_text, "doc_id", "text") == rows_of(odd, "doc_id", "text")
+
+
+def test_decoding_in_small_slices_is_the_same(monkeypatch):
+    batch = pa.RecordBatch.from_pydict({"i": [1, 2, 3, 4], "ids": pa.array([[1] * 5, None, [], [2, 3]], pa.list_(pa.int32()))})
+    monkeypatch.setattr(chunks, "PIECE_IDS", 4)
+    parts = list(chunks._by_ids(iter([batch]), "ids"))
+    assert [p.column("i").to_pylist() for p in parts] == [[1], [2, 3, 4]]

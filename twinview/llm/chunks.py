@@ -20,6 +20,10 @@ from pyspark.sql import types as T
 from twinview.llm.arrow import mapped, pieces, texts_of
 from twinview.llm.pieces import MARK, default_model, marked, processor
 
+#: Ids that are decoded at once; one longer list is worked on alone.
+PIECE_IDS = 1 << 20
+
+
 def _segmented(words: list[bytes], path: str) -> list[list[int]]:
     """Ids of each marked word; the model puts one mark in front by itself."""
     ids = processor(path).encode([w[1:].decode() if w != b" " else " " for w in words], num_threads=1)
@@ -111,14 +115,47 @@ def decode(encoded: DataFrame, ids: str = "ids", text: str = "decoded", model: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _surface(path)
-        for batch in batches:
-            for first in range(0, batch.num_rows, 1000):
-                part = batch.slice(first, 1000)
-                yield pa.RecordBatch.from_arrays([*part.columns, _decoded(part.column(ids), table)], [*part.schema.names, text])
+        for part in _by_ids(batches, ids):
+            yield pa.RecordBatch.from_arrays([*part.columns, _decoded(part.column(ids), table)], [*part.schema.names, text])
 
     return mapped(encoded, run, T.StructType([*encoded.schema.fields, T.StructField(text, T.StringType())]))
 
 
+def _by_ids(batches: Iterator[pa.RecordBatch], ids: str) -> Iterator[pa.RecordBatch]:
+    """The batches cut to rows of at most ``PIECE_IDS`` ids together, one row at least."""
+    for batch in batches:
+        ends, first = np.cumsum(batch.column(ids).value_lengths().fill_null(0).to_numpy()), 0
+        while first < batch.num_rows:
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + PIECE_IDS, "right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
+def encode_checked(docs: DataFrame, keep: list[str], text: str = "text", model: str | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` with ``ids``, and ``round_trip``: whether decoding them gives the
+    text again (null as the empty text).
+
+    Encoded, decoded and compared piece by piece in one pass, so that neither the text nor what is
+    decoded leaves the worker. Rows stay as ``encode`` leaves them.
+    """
+    path = model or default_model()
+    kept = [f for f in docs.schema.fields if f.name in keep and f.name not in ("ids", "round_trip")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _surface(path)
+        for batch in pieces(batches, text):
+            found = _encoded(batch.column(text), path)
+            decoded, texts = texts_of(_decoded(found, table)), texts_of(batch.column(text))
+            same = [decoded.bytes_of(i) == texts.bytes_of(i) for i in range(len(texts))]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(f.name) for f in kept), found, pa.array(same, pa.bool_())], [*(f.name for f in kept), "ids", "round_trip"])
+
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())]
+    columns = list(dict.fromkeys([*(f.name for f in kept), text]))
+    return mapped(docs.select(*columns), run, T.StructType([*kept, *added]))
+
+
 def op7_chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded: counts and digests of the ids and the decoded text."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
