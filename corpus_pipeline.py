@@ -29,13 +29,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id, of its rows one.
+    """Of each group of near-duplicates the document with the smallest id.
 
-    Rows without an id have no near-duplicates and stay.
+    Of its rows, if they are several, the one with the least digest of its text, then of its other
+    columns, stays, so that reruns agree. Rows without an id have no near-duplicates and stay.
     """
     found = near.near_duplicates(docs.select("doc_id", "text")).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    firsts = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return firsts.join(found, firsts["doc_id"] == found["_id"], "left_semi").unionByName(docs.where("doc_id is null"))
+    with_id = docs.where("doc_id is not null")
+    rest = with_id.join(found, with_id["doc_id"] == found["_id"], "left_semi")
+    order = F.struct(F.md5("text"), F.md5(F.to_json(F.struct(*(c for c in docs.columns if c != "text")))))
+    firsts = rest.groupBy(F.col("doc_id").alias("_id")).agg(F.min_by(F.struct(*docs.columns), order).alias("_row")).select("_row.*")
+    return firsts.unionByName(docs.where("doc_id is null"))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,9 +66,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document; decoding them gives the text again (``round_trip``)."""
-    both = chunks.decode(chunks.encode(docs))
-    same = F.col("decoded") == F.coalesce(F.col("text"), F.lit(""))
-    return both.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+    found = chunks.encode_checked(docs, ["doc_id", "source"])
+    return found.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
 STAGES = [
