@@ -39,4 +39,5 @@ def click(ts=0, action="page_view", visitor=1, product="Acme,Soap", referrer="Go
 
 
 def as_set(df, *columns):
-    return sorted(tuple(r) for r in (df.select(*columns) if columns else df).collect())
+    rows = (df.select(*columns) if columns else df).collect()
+    return sorted((tuple(r) for r in rows), key=lambda r: [(v is not None, v) for v in r])

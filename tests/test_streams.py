@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.conftest import as_set, click
 from twinview import operators as ops
 from twinview import sinks, sources, streaming
-from twinview.functions import HOUR_MS, MINUTE_MS
+from twinview.functions import DAY_MS, HOUR_MS, MINUTE_MS
 from twinview.plans import start_pipeline
 from twinview.plans.speed import ACTIVITY_VIEW, VISITORS_VIEW
 from twinview.schema import ACTIVITY_BY_PRODUCT, VIEW_KEYS
@@ -241,18 +241,18 @@ def test_hot_key_and_hot_visitor_are_counted_whole(spark, land, tmp_path):
     assert seen.count() == seen.select(*VIEW_KEYS, "visitor").distinct().count()
 
 
-def test_compaction_keeps_the_view_and_rewrites_changed_buckets_only(spark, tmp_path):
+def test_compaction_keeps_the_view_and_rewrites_changed_days_only(spark, tmp_path):
     path, schema = str(tmp_path / "view"), ACTIVITY_BY_PRODUCT
 
     def write(n, *rows):
         streaming.write_changes(spark.createDataFrame(rows, schema), path, n)
 
-    write(0, ("A", 0, 1, 0, 0), ("B", HOUR_MS, 1, 0, 0), (None, None, 7, 0, 0))
+    write(0, ("A", 0, 1, 0, 0), ("B", DAY_MS, 1, 0, 0), (None, None, 7, 0, 0))
     assert streaming.compact_view(spark, path, schema) == 0
     assert streaming.compact_view(spark, path, schema) is None
     write(1, ("A", 0, 2, 0, 0))
     write(2, ("C", 0, 3, 0, 0))
-    expected = {("A", 0, 2), ("B", HOUR_MS, 1), ("C", 0, 3), (None, None, 7)}
+    expected = {("A", 0, 2), ("B", DAY_MS, 1), ("C", 0, 3), (None, None, 7)}
 
     def view():
         return {tuple(r)[:3] for r in streaming.latest_view(spark, path, schema).collect()}
@@ -264,7 +264,7 @@ def test_compaction_keeps_the_view_and_rewrites_changed_buckets_only(spark, tmp_
     assert view() == expected
     files = read_changes(spark, path, schema).inputFiles()
     assert sorted(f.split("/base/")[1].rsplit("/", 1)[0] for f in files) == [
-        "timestamp_hour=0/upto=2", f"timestamp_hour={HOUR_MS}/upto=0", "timestamp_hour=__HIVE_DEFAULT_PARTITION__/upto=0"]
+        "day=0/upto=2", "day=1/upto=0", "day=__HIVE_DEFAULT_PARTITION__/upto=0"]
 
 
 def test_files_of_a_micro_batch_follow_its_size(spark, tmp_path):

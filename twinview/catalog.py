@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from twinview import operators as ops
 from twinview import sinks, sources, streaming
@@ -20,6 +21,7 @@ from twinview.plans.speed import ACTIVITY_VIEW, VISITORS_VIEW
 from twinview.schema import ACTIVITY, ACTIVITY_BY_PRODUCT, VISITORS_BY_PRODUCT
 from twinview.session import new_table_dir
 from twinview.streaming.expiry import TTL_MS
+from twinview.streaming.windows import WINDOW_MS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -267,9 +269,31 @@ def recent_activity_until(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.recent(_activity(spark, sf_dir), hours=48, as_of=AS_OF, until=AS_OF).select(*RECORD)
 
 
+A_CENTURY = 24 * 36_525  # hours
+
+
+@_query(f"{RECORD_SQL} WHERE timestamp_hour >= (epoch(now())::BIGINT - {A_CENTURY * 3600}) * 1000")
+def recent_activity_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measured from the time the query runs at."""
+    return ops.recent(_activity(spark, sf_dir), hours=A_CENTURY).select(*RECORD)
+
+
 # Reports
 
 
+@_query(_visitors_sql("product"))
+def cached_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a cached SQL table; what the result needs of it is stored before the cache goes."""
+    name, path = "cached_activity", new_table_dir(spark, "cached")
+    ops.register(_activity(spark, sf_dir).select("product", "visitor"), name, cache=True)
+    try:
+        found = spark.sql(f"SELECT product, count(DISTINCT visitor) AS unique_visitors FROM {name} GROUP BY ALL")
+        found.write.parquet(path)
+    finally:
+        spark.catalog.uncacheTable(name)
+    return spark.read.schema(found.schema).parquet(path)
+
+
 @_query(f"SELECT * FROM ({_view_sql('timestamp_day')}) WHERE page_view_count > 2")
 def hot_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_table_dir(spark, "view")
@@ -394,6 +418,58 @@ def master_of_both_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_master(spark, path)
 
 
+MASTER_SQL = f"""
+{_flat_sql("timestamp_day")}, kafka_partition::INT AS "kafkaPartition", event_id::VARCHAR AS "fromOffset",
+  (event_id + 1)::VARCHAR AS "untilOffset"
+FROM clicks"""
+
+
+def _merged_master(spark: SparkSession, sf_dir: str) -> str:
+    """As ``master_of_both_sides``, but merged twice: between the stream's first and second run, after
+    which the batch job runs again, and in the end, after which what was merged is deleted."""
+    path, landing, checkpoint = (new_table_dir(spark, name) for name in ("master", "landing", "checkpoint"))
+    lines = ops.with_record_props(_kafka_lines(spark, sf_dir))
+    odd, even = (lines.where(F.col("offset") % 2 == n) for n in (1, 0))
+
+    def append_odd() -> None:
+        sinks.append_master(ops.flatten_props(ops.parse_activity(odd, DAY_MS)), path, "odd")
+
+    def stream_part(part: int) -> None:
+        even.where(F.col("offset") % 4 == 2 * part).repartition(MICRO_BATCHES * FILES).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(even.schema).option("maxFilesPerTrigger", FILES).parquet(landing)
+        flat = ops.flatten_props(ops.parse_activity(stream, DAY_MS))
+        streaming.append_master_stream(flat, path, checkpoint, trigger=NOW).awaitTermination()
+
+    append_odd()
+    stream_part(0)
+    sinks.compact_master(spark, path, before_ms=AS_OF * 1000)
+    append_odd()
+    stream_part(1)
+    sinks.compact_master(spark, path, before_ms=AS_OF * 1000)
+    sinks.vacuum_master(spark, path, keep_ms=0)
+    return path
+
+
+@_query(MASTER_SQL)
+def master_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.read_master(spark, _merged_master(spark, sf_dir))
+
+
+@_query(f"""
+SELECT '{TOPIC}' AS topic, kafka_partition::INT AS "kafkaPartition", max(event_id) + 1 AS "untilOffset"
+FROM clicks GROUP BY ALL""")
+def latest_offsets_noted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the notes of streams and merges, and a scan of the few folders without one."""
+    return sources.latest_offsets_of(spark, _merged_master(spark, sf_dir))
+
+
+@_query(MASTER_SQL)
+def master_or_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset that isn't there yet reads as no rows."""
+    nothing = sources.read_master(spark, new_table_dir(spark, "absent"), missing_ok=True)
+    return nothing.unionByName(sources.read_master(spark, _write_master(spark, sf_dir, DAY_MS), missing_ok=True))
+
+
 BATCH_JOB_SQL = f"""
 SELECT product, timestamp_day AS timestamp_hour, {{columns}} FROM clicks
 WHERE timestamp_day >= {(AS_OF - 72 * 3600) * 1000} GROUP BY ALL"""
@@ -605,3 +681,115 @@ def stream_pipeline_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_pipeline_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, views = _pipeline(spark, sf_dir)
     return streaming.live_view(spark, f"{views}/{VISITORS_VIEW}", "visitors", now_ms=AS_OF)
+
+
+# Streams in parts: micro-batch n holds part n of the clicks.
+
+
+def _in_parts(spark: SparkSession, rows: DataFrame, part: Column, parts: int) -> DataFrame:
+    path, numbered = new_table_dir(spark, "landing"), rows.withColumn("part", part.cast("long"))
+    for n in range(parts):
+        numbered.where(F.col("part") == n).repartition(FILES).write.mode("append").parquet(path)
+    return spark.readStream.schema(numbered.schema).option("maxFilesPerTrigger", FILES).parquet(path)
+
+
+def _until_idle(spark: SparkSession, start: Callable[[], StreamingQuery], batch_id: int | None = None) -> None:
+    """Run a query until it has nothing to read, or has committed a micro-batch."""
+    log = streaming.watch_progress(spark)
+    try:
+        streaming.stop_after(start(), log, batch_id)
+    finally:
+        spark.streams.removeListener(log)
+
+
+EVERY_SECOND = {"processingTime": "1 second"}
+
+
+def _state(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Keyed state with the limit and the clock of the expiring views, read from the state store."""
+    checkpoint = new_table_dir(spark, f"state-{kind}")
+    clicks = _in_parts(spark, _activity(spark, sf_dir, DAY_MS), F.col("event_id") % PARTS, PARTS)
+    now = F.element_at(F.array(*map(F.lit, _part_times(TTL_MS))), (F.col("part") + 1).cast("int"))
+    _until_idle(spark, lambda: streaming.start_state_view(clicks, checkpoint, kind, TTL_MS, now, EVERY_SECOND))
+    return streaming.state_view(spark, checkpoint, kind, TTL_MS, _live_at(TTL_MS))
+
+
+@_query(_expiring_sql(COUNTS_SQL, TTL_MS))
+def stream_state_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _state(spark, sf_dir, "activity")
+
+
+@_query(_expiring_sql(VISITORS_COLUMN, TTL_MS))
+def stream_state_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _state(spark, sf_dir, "exact")
+
+
+@_query(_view_sql())
+def stream_state_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All keys of a running aggregation, from its state store."""
+    view, path = streaming.activity_view_stream(_activity_stream(spark, sf_dir)), new_table_dir(spark, "stream-view")
+    streaming.upsert_view(view, path, trigger=NOW).awaitTermination()
+    return streaming.aggregate_state(spark, f"{path}/_checkpoint", ACTIVITY_BY_PRODUCT.names[2:])
+
+
+@_query(_view_sql("timestamp_day"))
+def stream_stopped_and_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stopped after its first micro-batch, and gone on with to the end."""
+    view = streaming.activity_view_stream(_activity_stream(spark, sf_dir, DAY_MS))
+    path = new_table_dir(spark, "stream-view")
+    for batch_id in (0, MICRO_BATCHES - 1):
+        _until_idle(spark, lambda: streaming.upsert_view(view, path, trigger=EVERY_SECOND), batch_id)
+    return streaming.latest_view(spark, path, view.schema, BOTH)
+
+
+# A window of seven panes, four seconds each (fixed values), over nine micro-batches.
+PANES, SLIDE_MS = 9, 4_000
+
+
+@_query(f"""
+SELECT pane * {SLIDE_MS} AS at_ms, product, timestamp_day AS timestamp_hour,{COUNTS_SQL}
+FROM clicks JOIN generate_series(0, {PANES - 1}) panes(pane)
+  ON event_id % {PANES} <= pane AND event_id % {PANES} > pane - {WINDOW_MS // SLIDE_MS}
+GROUP BY ALL""")
+def stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sliding window after each micro-batch."""
+    path, times = new_table_dir(spark, "window"), iter(range(0, PANES * SLIDE_MS, SLIDE_MS))
+    clicks = _in_parts(spark, _activity(spark, sf_dir, DAY_MS), F.col("event_id") % PANES, PANES)
+    streaming.start_window_view(clicks, path, WINDOW_MS, lambda: next(times), trigger=NOW, keep=PANES).awaitTermination()
+    return streaming.window_history(spark, path)
+
+
+@_query(f"""
+{_flat_sql("timestamp_day")}, kafka_partition::INT AS "kafkaPartition",
+  (min(event_id) OVER part)::VARCHAR AS "fromOffset", (max(event_id) OVER part + 1)::VARCHAR AS "untilOffset"
+FROM clicks WINDOW part AS (PARTITION BY kafka_partition, event_id // 2 % {MICRO_BATCHES})""")
+def stream_master_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each line with the offsets that its micro-batch holds of its Kafka partition."""
+    part = F.floor(F.col("offset") / 2) % MICRO_BATCHES
+    lines = _in_parts(spark, _kafka_lines(spark, sf_dir), part, MICRO_BATCHES).drop("part")
+    master, views = new_table_dir(spark, "master"), new_table_dir(spark, "views")
+    start_pipeline(lines, master, views, DAY_MS, clock=lambda: AS_OF, trigger=NOW).awaitTermination()
+    return sources.read_master(spark, master)
+
+
+# Clicks in parts of ten days; one of forty comes a part later, some of these too late.
+FIRST_MS, PART_MS, LATE_PARTS, DELAY_DAYS = 1_704_067_200_000, 10 * DAY_MS, 4, 3
+
+
+@_query(f""",
+parted AS (
+  SELECT *, least((ts_ms - {FIRST_MS}) // {PART_MS}, 2) + (event_id % 40 = 7)::INT AS part FROM clicks),
+marks AS (
+  SELECT part, coalesce(max(newest) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING), 0) - {DELAY_DAYS * DAY_MS} AS mark
+  FROM (SELECT part, max(timestamp_hour) AS newest FROM parted GROUP BY part))
+SELECT product, timestamp_hour,{COUNTS_SQL}
+FROM parted JOIN marks USING (part)
+WHERE timestamp_hour > mark AND timestamp_hour <= (SELECT max(timestamp_hour) FROM parted) - {DELAY_DAYS * DAY_MS}
+GROUP BY ALL""")
+def stream_closed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets that no click reaches any more; clicks that come after that are left out."""
+    clicks, path = _activity(spark, sf_dir), new_table_dir(spark, "closed")
+    part = F.least(F.floor((F.col("ts_ms") - FIRST_MS) / PART_MS), F.lit(2)) + (F.col("event_id") % 40 == 7).cast("int")
+    closed = streaming.closed_activity_view(_in_parts(spark, clicks, part, LATE_PARTS), f"{DELAY_DAYS} days")
+    streaming.append_view(closed, path, trigger=NOW).awaitTermination()
+    return streaming.read_changes(spark, path, ACTIVITY_BY_PRODUCT).select(*ACTIVITY_BY_PRODUCT.names)

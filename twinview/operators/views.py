@@ -89,9 +89,14 @@ def approx_visitors_oneshot(activity: DataFrame, keys: Sequence[str] = VIEW_KEYS
 
 
 def visitors_summary(activity: DataFrame, keys: Sequence[str] = VIEW_KEYS) -> DataFrame:
-    """Exact, sketched and one-shot number of visitors per key, all from one pass over the clicks."""
-    return activity.groupBy(*keys).agg(
-        F.count_distinct("visitor").alias("unique_visitors"),
+    """Exact, sketched and one-shot number of visitors per key, all from one pass over the clicks.
+
+    All three ignore repeats, so the clicks are reduced to distinct visitors first, map-side; a
+    sketch is made of those, one for each task and key, not one for each visitor.
+    """
+    visitors = activity.select(*keys, "visitor").distinct()
+    return visitors.groupBy(*keys).agg(
+        F.count("visitor").alias("unique_visitors"),
         F.hll_sketch_estimate(F.hll_sketch_agg("visitor", SKETCH_BITS)).alias("sketched"),
         F.approx_count_distinct("visitor", ONESHOT_ERROR).alias("oneshot"),
     )

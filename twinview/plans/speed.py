@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from twinview.functions import HOUR_MS
-from twinview.operators import flatten_props, parse_activity
+from twinview.operators import flatten_props, parse_activity, with_source_props
 from twinview.sinks import append_master
+from twinview.sources.merges import write_ends
 from twinview.streaming.expiry import append_batch, wall_clock_ms
 from twinview.streaming.queries import EVERY_BATCH, start_batches, writer_of
 
@@ -28,23 +29,32 @@ def start_pipeline(
 ) -> StreamingQuery:
     """Start the one query that feeds all three.
 
-    ``lines`` has ``value`` and ``inputProps``. A micro-batch is read and parsed once and kept for
-    its three writers; each replaces what an earlier try of the micro-batch wrote. ``live_view``
+    ``lines`` has ``value`` and ``inputProps``, or in place of these ``topic``, ``partition`` and
+    ``offset``: then the offset range of a line is what its micro-batch holds of its Kafka partition,
+    found on the micro-batch as it is kept, without reading it again. A micro-batch is read and
+    parsed once and kept for its three writers; each replaces what an earlier try of it wrote. ``live_view``
     reads the views ("activity" and "visitors"): keys idle for its limit, two hours unless given,
     have expired.
     """
     checkpoint = checkpoint or f"{views_path}/_checkpoint"
     writer = writer_of(checkpoint)
 
+    ranged = "inputProps" not in lines.columns
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        now_ms = clock()
+        now_ms, name = clock(), f"{writer}-{batch_id}"
         batch.persist()
+        activity = parse_activity(with_source_props(batch), bucket_ms).persist() if ranged else batch
         try:
-            append_master(flatten_props(batch), master_path, f"{writer}-{batch_id}")
-            append_batch(batch, f"{views_path}/{ACTIVITY_VIEW}", batch_id, "activity", now_ms)
-            append_batch(batch, f"{views_path}/{VISITORS_VIEW}", batch_id, "visitors", now_ms)
+            flat = flatten_props(activity)
+            append_master(flat, master_path, name)
+            write_ends(flat, master_path, name)
+            append_batch(activity, f"{views_path}/{ACTIVITY_VIEW}", batch_id, "activity", now_ms)
+            append_batch(activity, f"{views_path}/{VISITORS_VIEW}", batch_id, "visitors", now_ms)
         finally:
+            activity.unpersist()
             batch.unpersist()
 
     tables = (f"{ACTIVITY_VIEW}/changes", f"{VISITORS_VIEW}/changes")
-    return start_batches(parse_activity(lines, bucket_ms), on_batch, views_path, checkpoint, trigger, tables)
+    rows = lines if ranged else parse_activity(lines, bucket_ms)
+    return start_batches(rows, on_batch, views_path, checkpoint, trigger, tables)

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from twinview import files
 from twinview.schema import MASTER, MASTER_BATCH, MASTER_PARTITIONS
+from twinview.sources import merges
 
 # The Kafka source's code for a partition's earliest offset (fixed value).
 EARLIEST = -2
@@ -19,23 +21,23 @@ EARLIEST = -2
 STORED = T.StructType([*MASTER.fields, T.StructField(MASTER_BATCH, T.StringType())])
 
 
-def _recent_folders(spark: SparkSession, path: str, since_ms: int) -> list[str] | None:
-    """Folders of the buckets from ``since_ms`` on; None if there is nothing at the path.
+def bucket_folders(spark: SparkSession, path: str, since_ms: int | None = None, before_ms: int | None = None) -> list[str] | None:
+    """Folders of the buckets from ``since_ms`` on and before ``before_ms``; None if there is nothing
+    at the path.
 
-    A folder without a bucket (a null one) is never recent.
+    A folder without a bucket (a null one) is neither recent nor past.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(hadoop.Path(path)):
+    if not files.exists(spark, path):
         return None
-    levels = "/".join(f"{name}=*" for name in MASTER_PARTITIONS)
-    found = [s.getPath() for s in files.globStatus(hadoop.Path(f"{path}/{levels}")) or []]
 
-    def recent(name: str) -> bool:
-        value = name.split("=", 1)[1]
-        return value.removeprefix("-").isdigit() and int(value) >= since_ms
+    def wanted(folder: str) -> bool:
+        value = folder.rsplit("=", 1)[1]
+        if not value.removeprefix("-").isdigit():
+            return False
+        return (since_ms is None or int(value) >= since_ms) and (before_ms is None or int(value) < before_ms)
 
-    return [p.toString() for p in found if recent(p.getName())]
+    levels = "/".join(f"{name}=*" for name in MASTER_PARTITIONS)
+    return [folder for folder in files.glob(spark, f"{path}/{levels}") if wanted(folder)]
 
 
 def read_master(
@@ -45,16 +47,23 @@ def read_master(
     as no rows.
 
     With ``since_ms`` only buckets from then on are read, and the files of older ones are not even
-    listed: listing a long history takes longer than scanning its last hours.
+    listed: listing a long history takes longer than scanning its last hours. Of folders that
+    ``compact_master`` merged, the rows are read once, from before or after.
     """
+    rows = _stored(spark, path, missing_ok, since_ms)
+    return rows if rows.columns == MASTER.names else merges.live(rows, path).select(*MASTER.names)
+
+
+def _stored(spark: SparkSession, path: str, missing_ok: bool, since_ms: int | None) -> DataFrame:
+    """Rows of the folders as they lie there; without the write's name if there are none."""
     reader = spark.read.schema(STORED)
     try:
-        folders = None if since_ms is None else _recent_folders(spark, path, since_ms)
+        folders = None if since_ms is None else bucket_folders(spark, path, since_ms)
         if folders == []:
             return spark.createDataFrame([], MASTER)
         if folders:
-            return reader.option("basePath", path).parquet(*folders).select(*MASTER.names)
-        return reader.parquet(path).select(*MASTER.names)
+            return reader.option("basePath", path).parquet(*folders)
+        return reader.parquet(path)
     except AnalysisException as error:
         if missing_ok and error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], MASTER)
@@ -83,6 +92,24 @@ def latest_offsets(master: DataFrame) -> DataFrame:
     )
 
 
+def latest_offsets_of(spark: SparkSession, path: str) -> DataFrame:
+    """``latest_offsets`` of the master dataset at ``path``, without reading what is noted already.
+
+    Streams and merges note where each of their writes ends, once it is stored; only the folders of
+    other writes are scanned, and those of a stream whose note is missing as it stopped in between.
+    """
+    noted = merges.noted_writes(spark, path)
+    names = ["topic", "kafkaPartition", "untilOffset"]
+    rows = _stored(spark, path, True, None)
+    if MASTER_BATCH in rows.columns:
+        rows = merges.live(rows.where(~F.col(MASTER_BATCH).isin(*noted)), path)
+    found = latest_offsets(rows).select(*names)
+    if noted:
+        folders = [f"{merges.ends_table(path)}/{MASTER_BATCH}={name}" for name in noted]
+        found = found.unionAll(spark.read.schema(merges.ENDS).parquet(*folders).select(*names))
+    return found.groupBy("topic", "kafkaPartition").agg(F.max("untilOffset").alias("untilOffset"))
+
+
 def starting_offsets_json(
     master: DataFrame, partition_counts: Mapping[str, int] | None = None
 ) -> str | None:

@@ -1,63 +1,50 @@
 """A keyed view kept as a changelog in Parquet.
 
     <path>/changes/batch_id=<n>/              what micro-batch n changed, one row per changed key
-    <path>/base/[timestamp_hour=<h>/]upto=<n>/  what all batches up to n come to, by time bucket
+    <path>/base/[day=<d>/]upto=<n>/           what all batches up to n come to, by day of the bucket
     <path>/marks/upto=<n>/                    compaction n is whole
 
 A replayed micro-batch replaces its own folder, so a retry changes nothing. Folders count only once
 their ``_SUCCESS`` marker is there, so a reader never sees half a batch or half a base. A reader
-goes through each bucket's newest base up to the newest mark and the batches after that mark.
+goes through each day's newest base up to the newest mark and the batches after that mark.
 
 Micro-batches only write; ``compact_view`` is a job of its own, from time to time, beside them. It
-rewrites the buckets that have changed and leaves all others where they are.
+rewrites the days that have changed and leaves all others where they are: there is one folder a day,
+however fine the buckets, and the bucket is a column with statistics in its files.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from twinview import files
+from twinview.functions import DAY_MS
 from twinview.operators.snapshots import last_per_key
 from twinview.schema import VIEW_KEYS
 
 BATCH_ID = "batch_id"
 BUCKET = "timestamp_hour"
+DAY = "day"
 UPTO = "upto"
 
 
-def _glob(spark: SparkSession, pattern: str) -> list:
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    return [s.getPath() for s in found]
-
-
 def _numbers(spark: SparkSession, parent: str, name: str) -> list[int]:
     """Numbers of the completed folders <parent>/<name>=<number>."""
-    found = _glob(spark, f"{parent}/{name}=*/_SUCCESS")
-    return sorted(int(p.getParent().getName().split("=")[1]) for p in found)
-
-
-def folder_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
-def delete_folders(spark: SparkSession, folders: Sequence[str]) -> None:
-    for folder in folders:
-        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    found = files.glob(spark, f"{parent}/{name}=*/_SUCCESS")
+    return sorted(int(p.removesuffix("/_SUCCESS").rsplit("=", 1)[1]) for p in found)
 
 
 def _bases(spark: SparkSession, path: str, schema: T.StructType) -> dict[str, dict[int, str]]:
-    """Folders of each bucket's bases by the batch they reach up to."""
-    levels = f"{BUCKET}=*/{UPTO}=*" if BUCKET in schema.names else f"{UPTO}=*"
+    """Folders of each day's bases by the batch they reach up to."""
+    levels = f"{DAY}=*/{UPTO}=*" if BUCKET in schema.names else f"{UPTO}=*"
     out: dict[str, dict[int, str]] = {}
-    for folder in _glob(spark, f"{path}/base/{levels}"):
-        bucket = folder.getParent().getName()
-        out.setdefault(bucket, {})[int(folder.getName().split("=")[1])] = folder.toString()
+    for folder in files.glob(spark, f"{path}/base/{levels}"):
+        day, upto = folder.split("/")[-2:]
+        out.setdefault(day, {})[int(upto.split("=")[1])] = folder
     return out
 
 
@@ -67,8 +54,7 @@ def newest_mark(spark: SparkSession, path: str) -> int | None:
 
 
 def _mark(spark: SparkSession, path: str, upto: int) -> None:
-    file = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/marks/{UPTO}={upto}/_SUCCESS")
-    file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file, True).close()
+    files.create(spark, f"{path}/marks/{UPTO}={upto}/_SUCCESS")
 
 
 def write_changes(changes: DataFrame, path: str, batch_id: int) -> None:
@@ -80,7 +66,7 @@ def write_changes(changes: DataFrame, path: str, batch_id: int) -> None:
 
 
 def _read(
-    spark: SparkSession, path: str, schema: T.StructType, newest: int, buckets: set[str] | None = None
+    spark: SparkSession, path: str, schema: T.StructType, newest: int, days: set[str] | None = None
 ) -> DataFrame:
     """Rows of all batches up to ``newest``, with the ``batch_id`` up to which they reach."""
     logged = T.StructType([*schema.fields, T.StructField(BATCH_ID, T.LongType())])
@@ -92,9 +78,9 @@ def _read(
         folders = [f"{path}/changes/{BATCH_ID}={n}" for n in batches]
         rows = spark.read.schema(logged).option("basePath", f"{path}/changes").parquet(*folders)
     bases = []
-    for bucket, folders in _bases(spark, path, schema).items():
+    for day, folders in _bases(spark, path, schema).items():
         known = [n for n in folders if n <= mark]
-        if known and (buckets is None or bucket in buckets):
+        if known and (days is None or day in days):
             bases.append(folders[max(known)])
     if bases:
         stored = T.StructType([*schema.fields, T.StructField(UPTO, T.LongType())])
@@ -104,7 +90,7 @@ def _read(
 
 
 def read_changes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The newest base of each bucket and the batches after it, with their ``batch_id``."""
+    """The newest base of each day and the batches after it, with their ``batch_id``."""
     return _read(spark, path, schema, 1 << 62)
 
 
@@ -115,8 +101,8 @@ def latest_view(
     return last_per_key(read_changes(spark, path, schema), keys, BATCH_ID).drop(BATCH_ID)
 
 
-def _bucket_name(value: int | None) -> str:
-    return f"{BUCKET}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+def _day() -> Column:
+    return F.floor(F.col(BUCKET) / DAY_MS)
 
 
 def compact_view(
@@ -131,39 +117,37 @@ def compact_view(
     """Write new bases and return the batch they reach up to, None if there was nothing to do.
 
     Batches after ``upto`` are left as they are.
-    ``resolve`` makes of a bucket's rows those to keep, else the last row per key stays. With
-    ``carry`` buckets without a change stay as they are. What the new bases cover stays until
+    ``resolve`` makes of a day's rows those to keep, else the last row per key stays. With
+    ``carry`` days without a change stay as they are. What the new bases cover stays until
     ``drop_compacted``, for readers already under way.
     """
     batches = [n for n in _numbers(spark, f"{path}/changes", BATCH_ID) if upto is None or n <= upto]
     marks = _numbers(spark, f"{path}/marks", UPTO)
     if not batches or (marks and marks[-1] >= batches[-1]):
         return None
-    newest, by_bucket, touched = batches[-1], BUCKET in schema.names, None
-    if by_bucket and carry:
+    newest, by_day, touched = batches[-1], BUCKET in schema.names, None
+    if by_day and carry:
         fresh = [f"{path}/changes/{BATCH_ID}={n}" for n in batches if not marks or n > marks[-1]]
-        found = spark.read.schema(schema).parquet(*fresh).select(BUCKET).distinct()
-        touched = {_bucket_name(r[0]) for r in found.collect()}  # names of folders to be written
+        found = spark.read.schema(schema).parquet(*fresh).select(_day().alias(DAY)).distinct()
+        touched = {f"{DAY}={'__HIVE_DEFAULT_PARTITION__' if r[0] is None else r[0]}" for r in found.collect()}  # folders to be written
     rows = _read(spark, path, schema, newest, touched)
     rows = resolve(rows) if resolve else last_per_key(rows, keys, BATCH_ID)
     rows = rows.select(*schema.names).withColumn(UPTO, F.lit(newest).cast("long"))
-    levels = [BUCKET, UPTO] if by_bucket else [UPTO]
+    levels = [DAY, UPTO] if by_day else [UPTO]
+    rows = rows.withColumn(DAY, _day()) if by_day else rows
     writer = rows.hint("rebalance", *levels).write.partitionBy(*levels)
     writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{path}/base")
-    if not carry:  # a bucket of which nothing is kept must not be read from its older base
+    if not carry:  # a day of which nothing is kept must not be read from its older base
         _retire(spark, path, schema, newest)
     _mark(spark, path, newest)
     return newest
 
 
 def _retire(spark: SparkSession, path: str, schema: T.StructType, newest: int) -> None:
-    """Give buckets without a row in the new base an empty one."""
-    fs = spark._jvm.org.apache.hadoop.fs
-    for bucket, folders in _bases(spark, path, schema).items():
+    """Give days without a row in the new base an empty one."""
+    for folders in _bases(spark, path, schema).values():
         if newest not in folders:
-            parent = fs.Path(next(iter(folders.values()))).getParent()
-            folder = fs.Path(parent, f"{UPTO}={newest}")
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+            files.make(spark, next(iter(folders.values())).rsplit("/", 1)[0] + f"/{UPTO}={newest}")
 
 
 def drop_compacted(spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -178,10 +162,10 @@ def drop_compacted(spark: SparkSession, path: str, schema: T.StructType) -> None
         known = [n for n in folders if n <= mark]
         old += [folders[n] for n in known if n < max(known)]
     old += [f"{path}/marks/{UPTO}={n}" for n in marks[:-2]]
-    delete_folders(spark, old)
+    files.delete(spark, old)
 
 
 def drop_batches(spark: SparkSession, path: str, before: int) -> None:
     """Delete the changes of batches before this one, where only the newest batch is of use."""
     batches = _numbers(spark, f"{path}/changes", BATCH_ID)
-    delete_folders(spark, [f"{path}/changes/{BATCH_ID}={n}" for n in batches if n < before])
+    files.delete(spark, [f"{path}/changes/{BATCH_ID}={n}" for n in batches if n < before])

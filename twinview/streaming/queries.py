@@ -14,13 +14,16 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from twinview import files
 from twinview.operators.reports import register
 from twinview.schema import VIEW_KEYS
 from twinview.session import state_settings
 from twinview.sinks import append_master
+from twinview.sources.merges import write_ends
 from twinview.streaming.changelog import (
+    compact_view,
     drop_batches,
-    folder_exists,
+    drop_compacted,
     latest_view,
     write_changes,
 )
@@ -29,6 +32,9 @@ from twinview.streaming.changelog import (
 EVERY_BATCH = {"processingTime": "4 seconds"}
 EVERY_SNAPSHOT = {"processingTime": "28 seconds"}
 
+#: Micro-batches after which a published view with keys is compacted.
+COMPACT_EVERY = 64
+
 
 def start_batches(
     stream: DataFrame,
@@ -37,6 +43,7 @@ def start_batches(
     checkpoint: str | None,
     trigger: Mapping,
     tables: Sequence[str] = (),
+    mode: str = "update",
 ) -> StreamingQuery:
     """Run ``on_batch`` on every micro-batch.
 
@@ -44,12 +51,12 @@ def start_batches(
     table, so a table of another query is refused. ``tables``: folders of tables below the path.
     """
     spark, checkpoint = stream.sparkSession, checkpoint or f"{path}/_checkpoint"
-    used = any(folder_exists(spark, f"{path}/{name}") for name in ("changes", "base", "view", *tables))
-    if used and not folder_exists(spark, checkpoint):
+    used = any(files.exists(spark, f"{path}/{name}") for name in ("changes", "base", "view", *tables))
+    if used and not files.exists(spark, checkpoint):
         raise ValueError(f"{path} has a table, but {checkpoint} is not its checkpoint")
     with state_settings(spark):
         return (
-            stream.writeStream.outputMode("update").foreachBatch(on_batch)
+            stream.writeStream.outputMode(mode).foreachBatch(on_batch)
             .option("checkpointLocation", checkpoint)
             .trigger(**trigger).start()
         )
@@ -71,7 +78,12 @@ def append_master_stream(
     writer = writer_of(checkpoint)
 
     def on_batch(rows: DataFrame, batch_id: int) -> None:
-        append_master(rows, path, f"{writer}-{batch_id}")
+        rows.persist()
+        try:
+            append_master(rows, path, f"{writer}-{batch_id}")
+            write_ends(rows, path, f"{writer}-{batch_id}")
+        finally:
+            rows.unpersist()
 
     return flat.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
@@ -87,6 +99,15 @@ def upsert_view(
     return start_batches(view, lambda changes, batch_id: write_changes(changes, path, batch_id), path, checkpoint, trigger)
 
 
+def append_view(
+    closed: DataFrame, path: str, checkpoint: str | None = None, trigger: Mapping = EVERY_SNAPSHOT
+) -> StreamingQuery:
+    """Save the rows of a view that never change again (``closed_activity_view``), each once;
+    ``read_changes`` reads them back."""
+    return start_batches(
+        closed, lambda rows, batch_id: write_changes(rows, path, batch_id), path, checkpoint, trigger, mode="append")
+
+
 def publish_view(
     stream: DataFrame,
     name: str,
@@ -101,7 +122,9 @@ def publish_view(
 
     ``transform`` is applied to each micro-batch on its own. With ``keys`` the table holds the last
     row per key of all micro-batches, else the rows of the newest one. The rows are stored below
-    ``path``; the table reads them from there. Without new data the table stays as it is.
+    ``path``; the table reads them from there. Without new data the table stays as it is. With ``keys``
+    every ``COMPACT_EVERY``-th micro-batch compacts what is stored, so that the table reads a base and
+    a bounded number of micro-batches.
     """
     spark = stream.sparkSession
 
@@ -109,6 +132,9 @@ def publish_view(
         result = transform(rows) if transform else rows
         write_changes(result, path, batch_id)
         if keys:
+            if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+                compact_view(spark, path, result.schema, keys)
+                drop_compacted(spark, path, result.schema)
             table = latest_view(spark, path, result.schema, keys)
         else:
             table = spark.read.schema(result.schema).parquet(f"{path}/changes/batch_id={batch_id}")

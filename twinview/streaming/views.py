@@ -1,7 +1,7 @@
 """The views as streaming DataFrames: running totals per key, without expiry.
 
 Buckets are keys made from the data, so a late click just updates its old bucket and there is no
-watermark. Spark combines each micro-batch map-side before it meets the state of its key.
+watermark, but for ``closed_activity_view``, where late clicks are given up for a state that ends. Spark combines each micro-batch map-side before it meets the state of its key.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinview.operators.views import activity_by_product, approx_visitors_by_product
-from twinview.schema import VIEW_KEYS
+from twinview.schema import ACTIVITY_BY_PRODUCT, VIEW_KEYS
 
 
 def activity_view_stream(activity: DataFrame, keys: Sequence[str] = VIEW_KEYS) -> DataFrame:
@@ -38,3 +38,15 @@ def exact_visitors_stream(
         return activity.groupBy(*keys).agg(F.count("*").alias("unique_visitors"))
     visitors = activity.select(*keys, "visitor").dropDuplicates()
     return visitors.groupBy(*keys).agg(F.count("visitor").alias("unique_visitors"))
+
+
+def closed_activity_view(activity: DataFrame, delay: str) -> DataFrame:
+    """Action counts of the buckets that are closed, each key once (for append output).
+
+    A bucket is closed when a click's bucket begins ``delay`` ("3 hours") after it, or later; its
+    state is dropped then. A click of a bucket that was closed before the micro-batch ahead of its own
+    is too late and left out, and so is one without a bucket or with one up to 1970. A null product is a key like any other.
+    """
+    timed = activity.withColumn("bucket_time", F.timestamp_millis("timestamp_hour")).withWatermark("bucket_time", delay)
+    closed = activity_by_product(timed.where("bucket_time is not null"), ["product", "bucket_time"])
+    return closed.withColumn("timestamp_hour", F.unix_millis("bucket_time")).select(*ACTIVITY_BY_PRODUCT.names)
