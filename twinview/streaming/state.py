@@ -32,7 +32,7 @@ from twinview.streaming.expiry import TTL_MS, wall_clock_ms
 from twinview.streaming.queries import EVERY_BATCH
 
 #: Keys that the visitors of a product and bucket are spread over. A running query's number stays.
-SHARDS = 16
+SHARDS = 8
 
 NOW = "now_ms"
 COUNTERS = ACTIVITY_BY_PRODUCT.names[2:]
@@ -63,7 +63,7 @@ class Counts(StatefulProcessor):
         for row in rows:
             added = [a + row[name] for a, name in zip(added, COUNTERS)]
             now = row[NOW] if now is None else max(now, row[NOW])
-        before = self.totals.get() if self.totals.exists() else None
+        before = self.totals.get()
         if before is not None and now - before[-1] <= self.ttl_ms:
             added = [a + b for a, b in zip(added, before)]
         self.totals.update((*added, now))
@@ -73,7 +73,8 @@ class Counts(StatefulProcessor):
 class Visitors(StatefulProcessor):
     """Distinct visitors of a key's shard since it last started over: each one an entry of a map.
 
-    The number is kept beside the map, which is never read as a whole. A timer drops both.
+    The number is kept beside the map, which is never read as a whole. A timer drops both; it is
+    set once, and again when it comes up too early.
     """
 
     rows = (*VIEW_KEYS, "shard", "visitor", NOW)
@@ -85,7 +86,7 @@ class Visitors(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.totals = handle.getValueState(_VALUE, "unique_visitors long, last_seen_ms long, timer_ms long")
+        self.totals = handle.getValueState(_VALUE, "unique_visitors long, last_seen_ms long, written_ms long")
         self.seen = handle.getMapState(_SEEN, "visitor string", "since_ms long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
@@ -94,25 +95,30 @@ class Visitors(StatefulProcessor):
             now = row[NOW] if now is None else max(now, row[NOW])
             if row["visitor"] is not None:
                 visitors.add(row["visitor"])
+        before, written = self.totals.get(), timerValues.getCurrentProcessingTimeInMs()
         count = 0
-        if self.totals.exists():
-            count, last_seen, timer = self.totals.get()
-            self.handle.deleteTimer(timer)
-            if now - last_seen > self.ttl_ms:
-                self.seen.clear()
-                count = 0
+        if before is None:
+            self.handle.registerTimer(written + self.ttl_ms + 1)
+        elif now - before[1] > self.ttl_ms:
+            self.seen.clear()
+        else:
+            count = before[0]
+        some = count > 0  # else the map is empty
         for visitor in visitors:
-            if not self.seen.containsKey((visitor,)):
+            if not some or not self.seen.containsKey((visitor,)):
                 self.seen.updateValue((visitor,), (now,))
                 count += 1
-        timer = timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms + 1
-        self.handle.registerTimer(timer)
-        self.totals.update((count, now, timer))
+        self.totals.update((count, now, written))
         yield Row(**dict(zip(self.out, (*key, count))))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.seen.clear()
-        self.totals.clear()
+        before = self.totals.get()
+        until = before[2] + self.ttl_ms + 1 if before is not None else 0
+        if until > timerValues.getCurrentProcessingTimeInMs():
+            self.handle.registerTimer(until)
+        else:
+            self.seen.clear()
+            self.totals.clear()
         yield from ()
 
 
