@@ -77,3 +77,30 @@ def test_blocks_go_by_highest_quotient(spark, seats):
 def test_no_python_in_the_plan(documents):
     plan = mix.mix(documents)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
+
+
+@pytest.mark.parametrize("words", [1, 2, 4, 10])
+@pytest.mark.parametrize("bound", [3, 1])
+def test_a_source_of_short_texts_reaches_its_target(spark, words, bound):
+    """At its bound to the word, and below it within a block of each kind."""
+    rows = [(i, " ".join("w" * words), "a small") for i in range(1500)]
+    rows += [(10_000 + i, "w " * 200, "b large") for i in range(10 * words * (20 if bound == 3 else 1))]
+    found = mix.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).selectExpr("doc.source", "size", "target", "taken", "copies").collect()
+    taken, target = defaultdict(int), {}
+    for r in found:
+        assert 0 <= r.taken <= 3 * r["size"]
+        taken[r["source"]] += r.taken
+        target[r["source"]] = r.target
+    assert target["a small"] == 3 * 1500 * words or bound == 1
+    for source, wanted in target.items():
+        assert abs(taken[source] - wanted) <= 8, (source, taken[source], wanted)
+    assert sum(taken.values()) == pytest.approx(sum(r["size"] for r in found), abs=16)
+
+
+def test_the_rest_stays_within_its_room(spark):
+    """Shares of a source that is all cut: the whole room, and no shard above its own."""
+    rooms = {f"p{i:02}": i % 4 for i in range(60)}
+    for rest in (0, 1, 17, sum(rooms.values()) - 1, sum(rooms.values())):
+        parties = spark.createDataFrame([(0, p, v, rest, sum(rooms.values())) for p, v in rooms.items()], "g int, p string, v long, s long, w long")
+        found = {r.p: r.blocks for r in mix._apportioned(parties, ["g"], "s", "v", "w", ["p"]).collect()}
+        assert sum(found.values()) == rest and all(found[p] <= rooms[p] for p in rooms)

@@ -3,9 +3,11 @@
 Everything is DataFrame functions. The corpus is summed once by (source, shard), where a shard is
 a fixed hash bucket of a source, so that a source with a third of all rows is many shards. Blocks
 of ``block_tokens`` words go to sources, and a source's blocks to its shards, by highest quotient
-votes / (2 j - 1). Each shard's documents stand in a seeded order on a tape that repeats; the
-shard takes its quota of consecutive blocks from a seeded block on, never over ``max_repeat``
-rounds of the tape. Only the sums by shard are gathered; documents are shuffled once.
+votes / (2 j - 1). A shard takes ``max_repeat`` times its words at most; what that bound takes off its
+blocks goes, word by word and again by highest quotient, to the shards of its source that are below
+theirs, so a source gets its blocks' words whatever the length of its texts. Each shard's documents
+stand in a seeded order on a tape that repeats; the shard takes its quota of consecutive words from a
+seeded block on. Only the sums by shard are gathered; documents are shuffled once.
 """
 
 from __future__ import annotations
@@ -107,9 +109,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_tokens: int =
     shares = sources.select("_key", "source_size", "target", F.col("blocks").alias("_seats"))
     shares = sums.select("_key", "_shard", "_votes").join(shares, "_key")
     shares = _apportioned(shares, ["_key"], "_seats", "_votes", "source_size", ["_shard"])
-    quotas = shares.select(
-        "_key", "_shard", "source_size", "target", F.col("_votes").alias("_s"),
-        F.least(F.col("blocks") * block_tokens, F.col("_votes") * max_repeat).alias("_quota"),
+    each = Window.partitionBy("_key")
+    asked, most = F.col("blocks") * block_tokens, F.col("_votes") * max_repeat
+    cut = shares.withColumn("_quota", F.least(asked, most)).withColumn("_room", most - F.col("_quota"))
+    whole = F.least(F.sum(asked).over(each), F.col("source_size") * max_repeat)
+    cut = cut.withColumn("_rest", whole - F.sum("_quota").over(each)).withColumn("_rooms", F.sum("_room").over(each))
+    # as there is room for the rest, no quotient beyond a shard's room (under 1/2) wins before one within it
+    given = _apportioned(cut.drop("blocks", "_seats"), ["_key"], "_rest", "_room", "_rooms", ["_shard"])
+    quotas = given.select(
+        "_key", "_shard", "source_size", "target", F.col("_votes").alias("_s"), (F.col("_quota") + F.col("blocks")).alias("_quota"),
         (_draw(F.lit(seed), F.col("_key"), F.col("_shard").cast("string"))
          % F.greatest(F.floor(F.col("_votes") / block_tokens), F.lit(1)) * block_tokens).alias("_from"))
 
@@ -185,10 +193,19 @@ shares AS (
   SELECT s.key, s.shard, s.votes, p.source_size, p.target, p.source_size AS whole, p.blocks AS seats
   FROM sums s JOIN source_seats p USING (key)),
 {_APPORTION.format(name="shard_seats", parties="shares", over="PARTITION BY key", keys="key, shard", party="shard")},
-quotas AS (
-  SELECT key, shard, source_size, target, votes AS s, least(blocks * {BLOCK_TOKENS}, votes * {MAX_REPEAT})::BIGINT AS quota,
-         {_DRAW.format(f"'{SEED}|' || key || '|' || shard")} % greatest(votes // {BLOCK_TOKENS}, 1) * {BLOCK_TOKENS} AS start
+cut AS (
+  SELECT key, shard, source_size, target, votes AS s, blocks * {BLOCK_TOKENS} AS asked,
+         least(blocks * {BLOCK_TOKENS}, votes * {MAX_REPEAT})::BIGINT AS quota, votes * {MAX_REPEAT} AS most
   FROM shard_seats),
+rooms AS (
+  SELECT key, shard, source_size, target, s, quota, most - quota AS votes, (sum(most - quota) OVER (PARTITION BY key))::BIGINT AS whole,
+         (least(sum(asked) OVER (PARTITION BY key), source_size * {MAX_REPEAT}) - sum(quota) OVER (PARTITION BY key))::BIGINT AS seats
+  FROM cut),
+{_APPORTION.format(name="given", parties="rooms", over="PARTITION BY key", keys="key, shard", party="shard")},
+quotas AS (
+  SELECT key, shard, source_size, target, s, (quota + blocks)::BIGINT AS quota,
+         {_DRAW.format(f"'{SEED}|' || key || '|' || shard")} % greatest(s // {BLOCK_TOKENS}, 1) * {BLOCK_TOKENS} AS start
+  FROM given),
 placed AS (
   SELECT r.*, q.*, coalesce(quota // nullif(s, 0), 0)::BIGINT AS rounds,
          (sum(size) OVER (PARTITION BY r.key, q.shard ORDER BY draw, doc_id, size ROWS UNBOUNDED PRECEDING))::BIGINT AS stop
