@@ -96,4 +96,43 @@ def test_signatures_tell_unrelated_sets_of_any_size_apart(size):
     one, other, near_one = drawn[:size], drawn[size:], np.concatenate([drawn[: size * 9 // 10], drawn[-size // 10 :]])
     found = near.signatures(np.concatenate([one, other, near_one]), np.cumsum([0, size, size, len(near_one)]))
     assert (found[0] != found[1]).sum() >= 110
-    assert (found[0] != found[2]).sum() <= near.MOST_APART
+    assert (found[0] != found[2]).sum() <= near.NEAR
+
+
+def _changed(rng, values, count):
+    out = values.copy()
+    out[rng.choice(near.VALUES, count, replace=False)] = rng.integers(0, 1 << 16, count, dtype=np.uint16)
+    return out
+
+
+def polluted(seed, size=700):
+    """Signatures drawn from one small pool, so that buckets hold many that are far apart, copies at all
+    distances, and a group of near copies whose leaders are at its rim."""
+    rng = np.random.default_rng(seed)
+    pool = rng.integers(0, 1 << 16, (near.VALUES, 2), dtype=np.uint16)
+    rows = [np.where(rng.random(near.VALUES) < 0.45, pool[:, 0], rng.integers(0, 1 << 16, near.VALUES, dtype=np.uint16)) for _ in range(size)]
+    rows += [_changed(rng, rows[i], int(rng.integers(1, 2 * near.CHUNKS))) for i in range(0, size, 5)]
+    centre = rng.integers(0, 1 << 16, near.VALUES, dtype=np.uint16)
+    rows += [_changed(rng, centre, int(n)) for n in rng.integers(0, 34, 120)]
+    return np.array(rows, np.uint16)[rng.permutation(len(rows))]
+
+
+@pytest.mark.parametrize(("seed", "block"), [(1, near.BLOCK_ROWS), (2, 40)])
+def test_no_near_pair_of_a_polluted_bucket_is_lost(spark, monkeypatch, tmp_path, seed, block):
+    """Every pair within the distance, and every near pair with a bucket in common, is in one cluster."""
+    monkeypatch.setattr(near, "BLOCK_ROWS", block)
+    values = polluted(seed)
+    classes = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(values)], "id long, signature binary").repartition(3)
+
+    def written(df, name):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.schema(df.schema).parquet(str(tmp_path / name))
+
+    links = near.candidates(classes, written)
+    assert all((values[r.a] != values[r.b]).sum() <= near.NEAR for r in links.collect())
+    cluster = {r.node: r.component for r in components(links).collect()}
+    keys = [set(k) for k in near._index_keys(values).tolist()]
+    pairs = [(a, b) for a in range(len(values)) for b in np.flatnonzero((values[a + 1 :] != values[a]).sum(1) <= near.NEAR) + a + 1]
+    certain = [(a, b) for a, b in pairs if (values[a] != values[b]).sum() <= 2 * near.CHUNKS - 1]
+    assert len(certain) > 100 and all(keys[a] & keys[b] for a, b in certain)
+    assert all(cluster[a] == cluster[b] for a, b in pairs if keys[a] & keys[b])

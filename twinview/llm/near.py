@@ -3,17 +3,24 @@
 A text's signature is ``CHUNKS * CHUNK`` minhash values of 16 bits each. Signatures that differ in
 at most 2 * CHUNKS - 1 values have, by the pigeonhole principle, a chunk that differs in one value at
 most; each chunk therefore goes to the index once for each place at which that value may be,
-with the place left out. So no pair within that distance is missed. At the similarity linked
-(0.8) a chunk has one error at most with probability 0.58, and 16 chunks miss a pair beyond the
-distance with probability 1e-6.
-
-Texts of equal shingles are one class from the start. A bucket of the index isn't multiplied out:
-its classes are linked to its first and its last, in the block of classes first and then in the
-bucket's slice. Such links count if the whole signatures are near enough (``MOST_APART``) that a
-similarity of 0.8 is possible at all; their components are clusters, in which every pair to be
-found lies. Clusters are then compared exactly, on the full sets: small ones whole, large ones
-in blocks, where what some hubs connect is not compared again (``_links_of``). Only a spanning
-forest of the confirmed links leaves a task.
+with the place left out. So no pair within that distance has no bucket in common. At the similarity
+linked (0.8) a chunk has one error at most with probability 0.58, and 16 chunks miss a pair beyond
+the distance with probability 1e-6; it differs in more than ``NEAR`` values with probability 2e-7.
+
+Texts of equal shingles are one class from the start. All pairs of a bucket that are near (at most
+``NEAR`` values apart) end in one cluster, though a bucket isn't multiplied out:
+
+* its least and greatest class, found by an aggregation with a map-side part, are its leaders: every
+  other class meets these two, and is linked to those that are near;
+* what is near a class within ``CORE`` of a leader is within NEAR + CORE of this leader. So only classes
+  between NEAR and NEAR + CORE from a leader ask those in its core (``_rings``);
+* classes outside of both leaders' cores ask all the others of their bucket that are, too (``_rest``).
+
+Both questions are asked with whole signatures, in blocks of a bounded size, and answered with links
+enough to connect what is near. The components are clusters, in which every pair to be found lies.
+Clusters are then compared exactly, on the full sets: small ones whole, large ones in blocks, where
+what some hubs connect is not compared again (``_links_of``). Only a spanning forest of the
+confirmed links leaves a task.
 """
 
 from __future__ import annotations
@@ -26,7 +33,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinview.llm import blocks
 from twinview.llm.arrow import LOWER, mapped, mixed, pieces, releasing, spans_hashed, texts_of, window_starts, windows_hashed, words_of
 from twinview.llm.components import components
 from twinview.session import new_table_dir
@@ -36,9 +42,11 @@ PERCENT = 80  # of the union that the intersection must have
 
 CHUNK, CHUNKS = 7, 16
 VALUES = CHUNK * CHUNKS
-#: Of 112 values 22.4 differ on average at a similarity of 0.8, with a deviation of 4.2: seven of these.
-MOST_APART = 52
-SLICE_KEYS = 1 << 20
+#: Of 112 values 22.4 differ on average at a similarity of 0.8, with a deviation of 4.2.
+NEAR = 45
+CORE = 21
+BLOCK_ROWS = 4096  # signatures of a side that meet in one group
+GROUP_ROWS = 1 << 17  # in small groups that share a task's call
 BLOCK_SHINGLES = 1 << 17
 GROUP_SHINGLES = 1 << 18
 HUBS = 12
@@ -123,75 +131,115 @@ def _index_keys(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def _stars(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted by key and id: distinct links of each id with its bucket's first and last, and the
-    entries that are first or last."""
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
-    new = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
-    begin = np.flatnonzero(new)
-    last = np.append(begin[1:], len(keys)) - 1
-    bucket = np.cumsum(new) - 1
-    alone = (last == begin)[bucket]
-    some = np.flatnonzero(~alone)
-    pairs = np.concatenate([np.stack([ids[begin[bucket[some]]], ids[some]], 1), np.stack([ids[some], ids[last[bucket[some]]]], 1)])
-    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-    ends = np.zeros(len(keys), bool)
-    ends[begin] = ends[last] = True
-    return _distinct(pairs), keys[ends], ids[ends]
-
-
-def _distinct(pairs: np.ndarray) -> np.ndarray:
-    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
-    pairs = pairs[order]
-    return pairs[np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(1)])] if len(pairs) else pairs
-
-
-def candidates(classes: DataFrame, slices: int) -> DataFrame:
-    """Distinct (a, b) of classes (id, signature) that meet in a bucket as first or last and another."""
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _entries(classes: DataFrame) -> DataFrame:
+    """The index: (key, id) of every class (id, signature) and each of its keys."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
             whole = texts_of(batch.column("signature"))
             keys = _index_keys(np.frombuffer(whole.data.tobytes(), np.uint16).reshape(-1, VALUES))
-            pairs, keys, owners = _stars(keys.reshape(-1), np.repeat(ids, VALUES))
-            rows = []
-            at = np.searchsorted(keys, np.array([-(-(s << 64) // slices) for s in range(slices)], np.uint64))
-            at = np.append(at, len(keys))
-            for s in range(slices):
-                part = slice(at[s], at[s + 1])
-                own = pairs[s::slices]  # any slice will do for what is found already
-                head = np.array([at[s + 1] - at[s], len(own)], "<i8")
-                rows.append((s, 0, 1, b"".join(x.tobytes() for x in (head, keys[part], owners[part].astype("<i8"), own.astype("<i8")))))
-            yield blocks.messages(rows).to_batches()[0]
-
-    @releasing
-    def meet(group: pa.Table) -> pa.Table:
-        keys, owners, pairs = [], [], []
-        for _, body in blocks.bodies(group, "block"):
-            n, m = np.frombuffer(body[:16], "<i8").tolist()
-            keys.append(np.frombuffer(body[16 : 16 + 8 * n], np.uint64))
-            owners.append(np.frombuffer(body[16 + 8 * n : 16 + 16 * n], "<i8"))
-            pairs.append(np.frombuffer(body[16 + 16 * n :], "<i8").reshape(m, 2))
-        found, _, _ = _stars(np.concatenate(keys), np.concatenate(owners))
-        found = _distinct(np.concatenate([found, *pairs]))
-        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+            offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * VALUES)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1).view(np.int64)))], ["id", "keys"])
 
-    sent = mapped(classes.select("id", "signature"), send, blocks.MESSAGE)
-    return sent.groupBy("slice").applyInArrow(meet, "a long, b long").distinct()
+    return mapped(classes.select("id", "signature"), run, "id long, keys array<long>").select(F.explode("keys").alias("key"), "id")
 
 
-def _near_enough(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs whose signatures are at most ``MOST_APART`` values apart."""
+def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (id, leader) with the number of values ``apart``, if they are at most NEAR + CORE."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = (np.frombuffer(texts_of(batch.column(c)).data.tobytes(), np.uint16).reshape(-1, VALUES) for c in ("x", "y"))
-            near = (left != right).sum(1) <= MOST_APART
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(near)) for c in ("a", "b")], ["a", "b"])
+            apart = (left != right).sum(1).astype(np.int32)
+            near = pa.array(apart <= NEAR + CORE)
+            yield pa.RecordBatch.from_arrays([c.filter(near) for c in (batch.column("id"), batch.column("leader"), pa.array(apart))], ["id", "leader", "apart"])
+
+    joined = pairs.join(classes.select("id", F.col("signature").alias("x")), "id")
+    joined = joined.join(classes.select(F.col("id").alias("leader"), F.col("signature").alias("y")), "leader")
+    return mapped(joined.select("id", "leader", "x", "y"), run, "id long, leader long, apart int")
+
+
+def _met(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) that connect what near pairs of one group connect: of an id that asks and one asked.
+
+    ``rows``: (key, id, asks, asked), a group is a key. Both sides of a large one are dealt to blocks, each
+    of which meets all blocks of the other side.
+    """
+    sized = rows.groupBy("key").agg(F.count_if("asks").alias("n_asks"), F.count_if("asked").alias("n_asked")).where("n_asks > 0 and n_asked > 0")
+    whole = sized.agg(F.sum(F.col("n_asks") + F.col("n_asked"))).first()[0] or 0
+    groups = max(1, -(-whole // GROUP_ROWS))
+    sized = sized.select("key", *(F.ceil(F.col(n) / BLOCK_ROWS).cast("int").alias(to) for n, to in (("n_asks", "i_all"), ("n_asked", "j_all"))))
+    placed = rows.join(sized, "key").withColumn("big", (F.col("i_all") > 1) | (F.col("j_all") > 1))
+    none, no = F.lit(0), F.lit(False)
+    small = placed.where(~F.col("big")).select(
+        F.pmod(F.xxhash64("key"), F.lit(groups)).alias("part"), "big", none.alias("i"), none.alias("j"), "key", "id", "asks", "asked")
+
+    def dealt(side: str, seed: int, n: str, i: str, other: str, j: str) -> DataFrame:
+        own = F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n)).cast("int")
+        of_side = placed.where(F.col("big") & F.col(side)).withColumn(i, own).withColumn(j, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        return of_side.select(F.col("key").alias("part"), "big", "i", "j", "key", "id",
+                              *(F.col(c) if c == side else no.alias(c) for c in ("asks", "asked")))
+
+    large = dealt("asks", 0, "i_all", "i", "j_all", "j").unionAll(dealt("asked", 1, "j_all", "j", "i_all", "i"))
+
+    @releasing
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("key")
+        keys, ids, asks, asked = (group[c].to_numpy() for c in ("key", "id", "asks", "asked"))
+        values = np.frombuffer(texts_of(group["signature"]).data.tobytes(), np.uint16).reshape(-1, VALUES)
+        edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
+        links: set[tuple[int, int]] = set()
+        for first, last in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            side = slice(first, last)
+            links.update(_near_forest(values[side], ids[side], np.flatnonzero(asks[side]), np.flatnonzero(asked[side])))
+        found = np.array(sorted(links), np.int64).reshape(-1, 2)
+        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+
+    both = small.unionAll(large).join(classes.select("id", "signature"), "id")
+    return both.groupBy("part", "big", "i", "j").applyInArrow(run, "a long, b long")
+
+
+def _near_forest(values: np.ndarray, ids: np.ndarray, asks: np.ndarray, asked: np.ndarray) -> list[tuple[int, int]]:
+    """Links (a < b) that connect what near pairs of an asking and an asked signature connect."""
+    root, out, others = np.arange(len(ids)), [], values[asked]
+    for a in asks.tolist():
+        near = asked[(others != values[a]).sum(1) <= NEAR]
+        mine = root[a]
+        for other in np.unique(root[near]).tolist():
+            if other != mine:
+                b = near[root[near] == other][0]
+                if ids[a] != ids[b]:
+                    out.append((int(min(ids[a], ids[b])), int(max(ids[a], ids[b]))))
+                root[root == other] = mine
+    return out
+
+
+def _rings(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """Near pairs of classes in a leader's core with those beyond NEAR from it.
+
+    The leader itself is in its core, but is near none of these.
+    """
+    core, ring = F.col("apart") <= CORE, F.col("apart") > NEAR
+    asked = links.where(core | ring).select(F.col("leader").alias("key"), "id", ring.alias("asks"), core.alias("asked"))
+    return _met(asked, classes)
+
+
+def _rest(stars: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
+    """Near pairs of classes that are in no core of the leaders of a bucket they share."""
+    rest, settled = stars.where("id <> first and id <> last"), links.where(F.col("apart") <= CORE)
+    for leader in ("first", "last"):
+        rest = rest.join(settled.select("id", F.col("leader").alias(leader)), ["id", leader], "left_anti")
+    yes = F.lit(True)
+    return _met(rest.select("key", "id", yes.alias("asks"), yes.alias("asked")), classes)
+
 
-    joined = pairs.join(classes.select(F.col("id").alias("a"), F.col("signature").alias("x")), "a")
-    joined = joined.join(classes.select(F.col("id").alias("b"), F.col("signature").alias("y")), "b")
-    return mapped(joined.select("a", "b", "x", "y"), run, "a long, b long")
+def candidates(classes: DataFrame, written: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Links (a, b) of classes (id, signature) whose components hold every near pair that shares a bucket."""
+    leaders = _entries(classes).groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last")
+    stars = written(_entries(classes).join(leaders, "key"), "stars")
+    pairs = stars.select("id", F.explode(F.array("first", "last")).alias("leader")).where("id <> leader").distinct()
+    links = written(_apart(pairs, classes), "apart")
+    near = links.where(F.col("apart") <= NEAR).select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
+    return written(near.unionAll(_rings(links, classes)).unionAll(_rest(stars, links, classes)).distinct(), "links")
 
 
 def _forest(found: np.ndarray, bounds: np.ndarray, ids: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -321,8 +369,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     with_sets = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = written(with_sets.groupBy("class").agg(
         F.min("doc_id").alias("id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n")), "classes")
-    slices = max(8, -(-classes.count() * VALUES // SLICE_KEYS))
-    links = written(_near_enough(candidates(classes, slices), classes), "links")
+    links = candidates(classes, written)
     clusters = components(links).withColumnRenamed("node", "id").withColumnRenamed("component", "cluster")
 
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col(text).alias("text"))
