@@ -46,7 +46,7 @@ VALUES = CHUNK * CHUNKS
 NEAR = 45
 CORE = 21
 BLOCK_ROWS = 4096  # signatures of a side that meet in one group
-GROUP_ROWS = 1 << 17  # in small groups that share a task's call
+GROUP_ROWS = 1 << 13  # in small groups that are met in one call
 BLOCK_SHINGLES = 1 << 17
 GROUP_SHINGLES = 1 << 18
 HUBS = 12
