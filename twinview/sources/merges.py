@@ -54,8 +54,13 @@ def in_folders(rows: DataFrame, folders: DataFrame, how: str) -> DataFrame:
 
 
 def live(rows: DataFrame, path: str) -> DataFrame:
-    """Rows of a master dataset, with its folders' columns, that count."""
+    """Rows of a master dataset, with its folders' columns, that count.
+
+    ``rows`` must have been listed before: then a merge that begins now is in no file of theirs.
+    """
     spark = rows.sparkSession
+    if not numbers(spark, path, "begun"):
+        return rows
     done = numbers(spark, path, "done")
     merged = [f"{MERGED}{n}" for n in done]
     rows = rows.where(~F.col(MASTER_BATCH).startswith(MERGED) | F.col(MASTER_BATCH).isin(*merged))
