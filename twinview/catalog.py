@@ -550,6 +550,20 @@ def stream_activity_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upserted(spark, view, BOTH)
 
 
+@_query(_view_sql())
+def stream_bucketed_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_activity_view``, from a base in buckets and the micro-batches after it."""
+    path, landing = new_table_dir(spark, "stream-view"), new_table_dir(spark, "landing")
+    clicks = _activity(spark, sf_dir)
+    for part in range(3):
+        sinks.write_lines(ops.encode_activity(clicks.where(F.col("event_id") % 3 == part)), path=landing)
+        view = streaming.activity_view_stream(ops.parse_activity(sources.read_click_stream(spark, path=landing)))
+        streaming.upsert_view(view, path, trigger=NOW).awaitTermination()
+        if part < 2:
+            streaming.compact_bucketed_view(spark, path, view.schema, BOTH, buckets=FILES)
+    return streaming.latest_bucketed_view(spark, path, view.schema, BOTH)
+
+
 @_query(_close_sql("sketch"))
 def stream_visitor_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = streaming.visitor_view_stream(_activity_stream(spark, sf_dir), ["product"])

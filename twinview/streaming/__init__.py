@@ -1,5 +1,6 @@
 """Continuously updated views."""
 
+from twinview.streaming.bucketed import compact_bucketed_view, drop_bucketed, latest_bucketed_view
 from twinview.streaming.changelog import compact_view, drop_compacted, latest_view, read_changes, write_changes
 from twinview.streaming.expiry import compact_expiring_view, live_view, start_expiring_view
 from twinview.streaming.progress import progress_table, stop_after, watch_progress
@@ -22,8 +23,8 @@ from twinview.streaming.windows import start_window_view, window_history, window
 
 __all__ = [
     "activity_view_stream", "aggregate_state", "append_master_stream", "append_view", "await_for",
-    "closed_activity_view", "compact_expiring_view", "compact_view", "drop_compacted",
-    "exact_visitors_stream", "keyed_state", "latest_view", "live_view", "progress_table",
+    "closed_activity_view", "compact_bucketed_view", "compact_expiring_view", "compact_view",
+    "drop_bucketed", "drop_compacted", "exact_visitors_stream", "keyed_state", "latest_bucketed_view", "latest_view", "live_view", "progress_table",
     "publish_view", "read_changes", "start_expiring_view", "start_state_view", "start_window_view",
     "state_view", "stop_after", "stop_when_idle", "upsert_view", "visitor_view_stream",
     "watch_progress", "window_history", "window_view", "write_changes",

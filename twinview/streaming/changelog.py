@@ -89,6 +89,16 @@ def _read(
     return rows
 
 
+def changes_between(spark: SparkSession, path: str, schema: T.StructType, after: int) -> tuple[DataFrame, int]:
+    """Rows of the batches after this one, with their ``batch_id``, and the newest (``after`` if none is)."""
+    logged = T.StructType([*schema.fields, T.StructField(BATCH_ID, T.LongType())])
+    batches = [n for n in _numbers(spark, f"{path}/changes", BATCH_ID) if n > after]
+    if not batches:
+        return spark.createDataFrame([], logged), after
+    folders = [f"{path}/changes/{BATCH_ID}={n}" for n in batches]
+    return spark.read.schema(logged).option("basePath", f"{path}/changes").parquet(*folders), batches[-1]
+
+
 def read_changes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The newest base of each day and the batches after it, with their ``batch_id``."""
     return _read(spark, path, schema, 1 << 62)
