@@ -1,5 +1,8 @@
+import itertools
+import random
 import zlib
 
+import numpy as np
 import pytest
 
 from tests.llm.conftest import rows_of
@@ -32,6 +35,80 @@ def test_spaced_words_are_restored(channel):
     assert (0, 2, "stupid") in spaced and all(t == 0 for t, _, _ in spaced)
 
 
+def lattice(token):
+    """For each sign, or gap of spaces, what it may be: (letters, code or None, cost)."""
+    signs, out, before = toxicity._GAPS.findall(token), [], ""
+    narrow = min((len(s) for s in signs if s[0] == " "), default=0)
+    for sign in signs:
+        if sign[0] == " ":
+            out.append([(" ", toxicity._BOUND, 0.0), ("", None, toxicity.LEFT_OUT * (len(sign) - narrow))])
+            continue
+        written = toxicity.LEET.get(sign, "")
+        options = [(sign, int(toxicity._CODES[ord(sign)]), toxicity.SAME)]
+        options += [(c, int(toxicity._CODES[ord(c)]), toxicity.WRITTEN - float(np.log(len(written)))) for c in written]
+        if sign in toxicity.SEPARATORS:
+            options.append(("", None, toxicity.LEFT_OUT))
+        elif sign == before:
+            options.append(("", None, toxicity.SAME))
+        out.append(options)
+        before = sign
+    return out
+
+
+def values_of(channel, token):
+    """The value of the best path to each text that a token may stand for, by every path of its lattice."""
+    found = {}
+    for path in itertools.product(*lattice(token)):
+        value, a, b = 0.0, toxicity._BOUND, toxicity._BOUND
+        for code, price in [*((code, price) for _, code, price in path), (toxicity._BOUND, 0.0)]:
+            value += price
+            if code is not None:
+                value += float(channel.log[a, b, code])
+                a, b = b, code
+        text = "".join(letters for letters, _, _ in path)
+        found[text] = max(found.get(text, -np.inf), value)
+    return found
+
+
+def test_decoding_finds_the_best_of_all_paths(channel):
+    rng = random.Random(5)
+    tokens = ["".join(rng.choice("abeiostux  ..--_*@$!|+(013457é#中") for _ in range(rng.randrange(1, 8))).strip() for _ in range(250)]
+    tokens += ["s t u p", "s  t u p", "l0ser", "$h!t", "aaab", "a..b", "1d10t", "", "|*|", "b.a.d"]
+    for token in tokens:
+        values = values_of(channel, token)
+        assert values[channel.restore(token)] == pytest.approx(max(values.values()), abs=1e-6), token
+
+
+def cuts(letters, known):
+    """Every way to cut letters into words, those of ``known`` taken as such (True) or spelt."""
+    if not letters:
+        yield []
+    for n in range(1, len(letters) + 1):
+        for taken in ([False, True] if letters[:n] in known and n > 2 else [False]):
+            for rest in cuts(letters[n:], known):
+                yield [(letters[:n], taken), *rest]
+
+
+def test_known_words_are_those_of_the_best_cut(channel):
+    rng, bound = random.Random(6), toxicity._BOUND
+    known = {"bad", "adder", "idiot", "you", "the", "ab", "eat"}
+    rows = ["".join(rng.choice([*known, *"abdeinotuy"]) for _ in range(4))[:11] for _ in range(60)]
+    for letters in [*rows, "youidiot", "badder", ""]:
+        best = (-np.inf, [])
+        for cut in cuts(letters, known):
+            value, last = 0.0, bound
+            for word, taken in cut:
+                codes = [int(toxicity._CODES[ord(c)]) for c in word]
+                if taken:
+                    value += toxicity.KNOWN
+                else:
+                    for a, b, c in zip([last, bound, *codes], [bound, *codes], [*codes, bound]):
+                        value += float(channel.log[a, b, c])
+                last = codes[-1]
+            best = max(best, (value, sorted(w for w, taken in cut if taken)), key=lambda x: x[0])
+        assert sorted(channel._known_words(letters, known)) == best[1], letters
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     docs = spark.createDataFrame(toxicity.op8_noisy_channel(spark, SF01).toPandas())
