@@ -91,7 +91,8 @@ def _decoded(column: pa.ListArray, table: pa.Array) -> pa.Array:
 def encode(docs: DataFrame, text: str = "text", ids: str = "ids", model: str | None = None) -> DataFrame:
     """``docs`` with the ids of each whole text, without begin, end or sampling.
 
-    Null and empty texts get an empty list. Rows, repeated or not, and all other columns stay as
+    Null and empty texts get an empty list. A text over ``PIECE_BYTES`` is a piece of its own, with arrays
+    of many times its size. Rows, repeated or not, and all other columns stay as
     they are; a column that is named like ``ids`` already is replaced. ``model`` is a path that
     every executor has.
     """

@@ -180,7 +180,8 @@ def quality(docs: DataFrame, host: str = "source", min_words: int = MIN_WORDS, m
 
     Null and empty texts have no words and fail. A null host is a host. Rows are told apart by
     doc_id: repeated rows share one verdict, and rows of one doc_id with different texts have the
-    boilerplate of their own text. Other columns stay inside ``doc``. No rows give no rows.
+    boilerplate of their own text. A text over ``PIECE_BYTES`` is worked on alone, with arrays of
+    many times its size. Other columns stay inside ``doc``. No rows give no rows.
     """
     keep = keep or docs.columns
     fields = [f for f in docs.schema.fields if f.name in keep]

@@ -86,7 +86,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_tokens: int =
     size: its words; source_size, target: of its source; taken: its words in the mix, repeats
     counted; copies: whole copies a mix of whole documents has (blocks' first words decide).
 
-    Null and empty texts have no words and are taken 0 times. A null source is a source, the
+    Null and empty texts have no words and are taken 0 times; texts of any length are parted like others. A null source is a source, the
     last. Repeated rows are rows of their own; rows equal in doc_id and size may swap results.
     Null ids share one shard order. Other columns, whatever their names, stay inside ``doc``.
     An empty table gives no rows.

@@ -355,7 +355,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     own included; kept: they are the same. Null and empty texts and those without a word have no
     shingles and no links. Rows of one doc_id are one document, linked if any of them is; repeated
     rows stay. Rows without a doc_id are linked with nothing, their component is null and they
-    are kept. Other columns are left out. No rows give no rows. Intermediate tables are written to the
+    are kept. A text over ``PIECE_BYTES`` is worked on alone, with arrays of many times its size. Other
+    columns are left out. No rows give no rows. Intermediate tables are written to the
     shared folder.
     """
     spark = docs.sparkSession

@@ -200,7 +200,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep: list[str] | None
     A word is removed if a window of ``window`` words over it also starts earlier: in a row of
     smaller doc_id (null is smallest) or earlier in the same text. Rows of one doc_id stand in
     the order of a hash. kept_text is the words that stay, joined by one space. Null and empty
-    texts, and those with fewer words than the window, lose nothing. No rows give no rows.
+    texts, and those with fewer words than the window, lose nothing. A text longer than a block is a
+    block of its own, with arrays of many times its size. No rows give no rows.
     """
     keep = docs.columns if keep is None else keep
     rows, n_blocks = blocks.deal(docs, keep, text, block_bytes)

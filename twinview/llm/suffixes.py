@@ -315,7 +315,8 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, keep: list[str] | None =
     A byte is removed if a string of ``length`` bytes over it also starts earlier: in a row of
     smaller doc_id (null is smallest) or earlier in the same text. Rows of one doc_id stand in
     the order of a hash. Cuts may fall inside a character. Null, empty and shorter texts lose
-    nothing. No rows give no rows.
+    nothing. A text longer than a block is a block of its own, with arrays of many times its size. No rows
+    give no rows.
     """
     keep = docs.columns if keep is None else keep
     rows, n_blocks = blocks.deal(docs, keep, text, block_bytes)

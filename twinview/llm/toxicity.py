@@ -319,8 +319,8 @@ def score(docs: DataFrame, channel: Channel, weights: dict[str, float], bias: fl
     """``docs`` with the probability that label 1 fits the restored text.
 
     The strongest feature of each token counts; a text's strongest token counts whole and the others
-    a tenth. Null and empty texts, and those without a known feature, get the bias alone. Rows and
-    other columns stay; a column of the score's name is replaced.
+    a tenth. Null and empty texts, and those without a known feature, get the bias alone. A text over
+    ``PIECE_BYTES`` is worked on alone, and read to its end. Rows and other columns stay; a column of the score's name is replaced.
     """
     docs = docs.drop(name)
     shared = docs.sparkSession.sparkContext.broadcast((channel, weights))  # bounded: FEATURES, alphabet

@@ -246,6 +246,7 @@ def count_tokens(docs: DataFrame, text: str = "text", model: str | None = None)
     """``docs`` with ``n_bytes`` (UTF-8) and ``n_tokens`` of each whole text.
 
     Null and empty texts have none. Characters that are in no piece count a token for each byte.
+    A text over ``PIECE_BYTES`` is worked on alone, with arrays of many times its size.
     Rows and other columns stay as they are; columns of these two names are replaced.
     """
     docs = docs.drop("n_bytes", "n_tokens")
