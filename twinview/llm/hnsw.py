@@ -5,6 +5,9 @@ are. A shard's graph is over its distinct vectors, with the ids of each: a vecto
 all rows have is one node of each shard. Graphs are stored as flat arrays, one row for a shard. Each
 query goes to every shard; shards answer from their graph, and the answers are merged by exact
 distance. A search task holds one graph and one batch of queries at a time.
+
+A shard's rows grow with the root of the table, up to SHARD_BYTES of vectors: both the graphs and
+the searches of each query stay few. Queries are dealt to parts, so that a graph's are many tasks.
 """
 
 from __future__ import annotations
@@ -22,7 +25,9 @@ from pyspark.sql import types as T
 from twinview.llm.arrow import releasing
 from twinview.session import new_table_dir
 
-SHARD_ROWS = 4096
+SHARD_ROWS = 1024  # as many shards as a shard has times as many rows
+SHARD_BYTES = 32 << 20
+PART_QUERIES = 1 << 14
 LINKS = 12  # on the upper levels; twice as many on the lowest
 EF_BUILD = 48
 EF_SEARCH = 96
@@ -154,8 +159,13 @@ def usable(rows: DataFrame, vector: str) -> DataFrame:
     return rows.where(F.col(vector).isNotNull() & ~bad & F.exists(vector, lambda x: x != 0))
 
 
+def shards_of(rows: int, components: int) -> int:
+    """The number of shards of ``rows`` vectors with ``components`` numbers in all."""
+    return max(1, round(math.sqrt(rows / SHARD_ROWS)), -(-8 * components // SHARD_BYTES))
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return column.combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, dim)
+    return (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).flatten().to_numpy().astype(np.float64).reshape(-1, dim)
 
 
 def build_index(vectors: DataFrame, shards: int, vec_id: str = "vec_id", vector: str = "embedding",
@@ -187,7 +197,8 @@ def build_index(vectors: DataFrame, shards: int, vec_id: str = "vec_id", vector:
         flat = [pa.array([np.ascontiguousarray(arrays[n], kind).tobytes()], pa.binary()) for n, kind in _ARRAYS.items()]
         return pa.Table.from_arrays([pa.array([x], pa.int32()) for x in (dim, shard, graph.entry)] + flat, INDEX.names)
 
-    return rows.groupBy("dim", "shard").applyInArrow(build, INDEX)
+    # a graph takes long to build for its bytes: by an explicit number, small partitions are not joined
+    return rows.repartition(4 * shards, "dim", "shard").groupBy("dim", "shard").applyInArrow(build, INDEX)
 
 
 class _Shard:
@@ -216,31 +227,40 @@ class _Shard:
 
 
 def search(index: DataFrame, queries: DataFrame, shards: int, k: int = NEAREST, ef: int = EF_SEARCH,
-           query_id: str = "vec_id", vector: str = "embedding", links: int = LINKS) -> DataFrame:
+           query_id: str = "vec_id", vector: str = "embedding", links: int = LINKS, part_queries: int = PART_QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query's dimension, by
     Euclidean distance and then id, the query's own id left out.
 
     Queries that are not ``usable`` or without an id get no rows, repeated ones count once. With
-    fewer than k candidates all that are found are returned.
+    fewer than k candidates all that are found are returned. A task has about ``part_queries`` queries
+    of one shard; queries are counted for it.
     """
     asked = usable(queries, vector).where(F.col(query_id).isNotNull()).select(
         F.size(vector).alias("dim"), F.col(query_id).cast("long").alias("query_id"), F.col(vector).cast("array<double>").alias("v")).distinct()
+    parts = max(1, -(-queries.count() // part_queries))
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<int>")))
-    rows = index.withColumn("kind", F.lit(0)).unionByName(asked.withColumn("kind", F.lit(1)), allowMissingColumns=True)
-    rows = rows.repartition(shards, "dim", "shard").sortWithinPartitions("dim", "shard", "kind")
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
+    graphs = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<int>")))
+    rows = graphs.withColumn("kind", F.lit(0)).unionByName(asked.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    task = ["dim", "shard", "part"]
+    rows = rows.repartition(4 * shards * parts, *task).sortWithinPartitions(*task, "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened, key = None, None
+        opened, own = None, None
         for batch in batches:
+            kinds, keys = batch["kind"].to_numpy(), np.stack([batch[c].to_numpy() for c in task], 1)
+            new = np.concatenate([[True], (keys[1:] != keys[:-1]).any(1) | (kinds[1:] != kinds[:-1])])
+            edges = np.append(np.flatnonzero(new), len(kinds)).tolist()
             found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            for i in range(batch.num_rows):
-                row_key = batch["dim"][i].as_py(), batch["shard"][i].as_py()
-                if batch["kind"][i].as_py() == 0:
-                    opened, key = _Shard(batch.slice(i, 1).to_pylist()[0], links), row_key
-                elif key == row_key:  # else nothing of this dimension is in the shard
-                    query = batch["query_id"][i].as_py()
-                    ids, far = opened.nearest(query, np.array(batch["v"][i].as_py()), k, ef)
-                    found.append((np.full(len(ids), query), ids, far))
+            for a, b in zip(edges, edges[1:]):
+                key = tuple(keys[a].tolist())
+                if kinds[a] == 0:
+                    opened, own = _Shard(batch.slice(a, 1).to_pylist()[0], links), key
+                elif key == own:  # else nothing of this dimension is in the shard
+                    points, ids_ = _matrix(batch["v"].slice(a, b - a), key[0]), batch["query_id"].slice(a, b - a).to_numpy()
+                    for query, point in zip(ids_.tolist(), points):
+                        ids, far = opened.nearest(query, point, k, ef)
+                        found.append((np.full(len(ids), query), ids, far))
             if found:
                 yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found)], ["query_id", "vec_id", "score"])
 
@@ -252,7 +272,8 @@ def search(index: DataFrame, queries: DataFrame, shards: int, k: int = NEAREST,
 def op10_hnsw_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors found of every hundredth id."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
-    shards = max(1, round(vectors.count() / SHARD_ROWS))
+    size = vectors.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.greatest(F.size("embedding"), F.lit(0))).alias("numbers")).first()
+    shards = shards_of(size["rows"], size["numbers"] or 0)
     path = new_table_dir(spark, "hnsw")
     build_index(vectors, shards).write.parquet(path)
     return search(spark.read.schema(INDEX).parquet(path), vectors.where(F.col("vec_id") % QUERY_EVERY == 0), shards)
