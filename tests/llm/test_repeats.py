@@ -121,3 +121,15 @@ def test_differences_come_back():
 def test_first_ones_tell_long_keys_apart():
     keys = [np.array([5, 5, 5, 7], np.uint64), np.array([1, 2, 1, 1], np.uint32)]
     assert blocks.first_ones(keys, np.array([9, 3, 4, 0])).tolist() == [False, True, True, True]
+
+
+def test_rows_asked_do_not_grow_with_the_slices():
+    import pyarrow as pa
+
+    rows = passages(4)
+    table = pa.table({"doc": [{"doc_id": d} for d, _ in rows], "doc_id": [d for d, _ in rows], "text": [t for _, t in rows]})
+    block = suffixes._Block(table, 100, 32)
+    answers = pa.table({"key": block.anchors()[0].view(np.int64)})
+    few, many = (suffixes._asked_runs(block, 3, slices, answers) for slices in (8, 8000))
+    assert few.num_rows == many.num_rows == len(np.unique(few["place"].to_numpy()))
+    assert max(few["slice"].to_pylist()) < 8 <= max(many["slice"].to_pylist()) < 8000

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from twinview.llm.arrow import releasing
 
@@ -48,6 +49,10 @@ def ids_of(block: pa.Table) -> np.ndarray:
     return block["doc_id"].combine_chunks().fill_null(np.iinfo(np.int64).min).to_numpy()
 
 
+def empty(schema: T.StructType) -> pa.Table:
+    return to_arrow_schema(schema).empty_table()
+
+
 def messages(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
     columns = list(zip(*rows)) if rows else [[], [], [], []]
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
