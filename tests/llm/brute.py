@@ -22,9 +22,9 @@ def quality(rows, line_docs, line_share, kept_share, min_words=10, max_repeat_sh
     def normal(line):
         return re.sub("[0-9]+", "0", " ".join(words(line.translate({c: c + 32 for c in range(65, 91)}))))
 
-    texts_with, docs_of = defaultdict(set), Counter()
+    texts_with, texts_of = defaultdict(set), defaultdict(set)
     for _, host, text in rows:
-        docs_of[host] += 1
+        texts_of[host] |= {text} if words(text) else set()
         for line in (text or "").split("\n"):
             if words(line):
                 texts_with[host, normal(line)].add(text)
@@ -35,7 +35,7 @@ def quality(rows, line_docs, line_share, kept_share, min_words=10, max_repeat_sh
         often = Counter(windows)
         repeated = {j for i, w in enumerate(windows) if often[w] > 1 for j in range(i, i + 5)}
         left = sum(len(words(x)) for x in lines
-                   if not (len(texts_with[host, normal(x)]) > line_docs and len(texts_with[host, normal(x)]) > line_share * docs_of[host]))
+                   if not (len(texts_with[host, normal(x)]) > line_docs and len(texts_with[host, normal(x)]) > line_share * len(texts_of[host])))
         failed = len(found) < min_words or 100 * len(repeated) > max_repeat_share * len(found)
         out.append((doc, len(found), sum(map(len, found)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)),
                     len(repeated), failed, not failed and left >= kept_share * len(found)))

@@ -29,6 +29,15 @@ def test_copies_are_one_document(spark):
     assert {r.kept for r in lines.quality(df, line_docs=1, line_share=0.0).collect()} == {True}
 
 
+def test_copies_and_blank_texts_do_not_hide_a_line(spark):
+    rows = [(i, "h", f"all of the menu stands here in one line of its own\nown {i}") for i in range(4)]
+    rows += [(100 + i, "h", "some other text that is copied a great many times here") for i in range(40)] + [(200 + i, "h", " \n") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    found = lines.quality(df, line_docs=3, line_share=0.5)
+    assert rows_of(found, *COLUMNS) == sorted(brute.quality(rows, 3, 0.5, lines.KEPT_SHARE))
+    assert {r.doc.doc_id for r in found.where("n_boilerplate > 0").collect()} == {0, 1, 2, 3}
+
+
 def test_odd_rows(odd, empty):
     rows = [(d, s, t) for d, t, s in [*ODD, ODD[0], ODD[2], ODD[8]]]
     found = lines.quality(odd, line_docs=1, line_share=0.0)

@@ -3,8 +3,9 @@
 The counts of a text need nothing but the text; they are taken for whole Arrow batches at a time.
 
 A line is normalised (A-Z lowered, runs of separators one space, runs of digits one 0) and hashed.
-The documents with it are counted per host. Copies of one text are one document: a text that was
-copied often is for the near-duplicate stage, and none of its lines is boilerplate for that. Lines
+The documents with it are counted per host, and so are the host's. Copies of one text are one
+document, and texts without a word none: a text that was copied often is for the near-duplicate
+stage, and makes its host's share neither larger nor smaller. Lines
 above the limit are removed from the text that ``as_text`` asks for, and a document that keeps too
 little is rejected. A line of a third of all documents is summed before the shuffle; back at the
 documents it is one join key, which Spark's skew join splits.
@@ -159,10 +160,11 @@ def _all_lines(docs: DataFrame, text: str) -> DataFrame:
 
 def frequent_lines(rows: DataFrame, docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE) -> DataFrame:
     """Lines (host, line) that more documents of the host have than ``line_docs`` and than
-    ``line_share`` of its documents, texts that are copies of one another counted once."""
+    ``line_share`` of its documents. On both sides a document is a distinct text with a word."""
     texts = rows.groupBy("host", "line", "content").count()
     found = texts.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > line_docs)
-    hosts = docs.groupBy("host").agg(F.count(F.lit(1)).alias("all_docs"))
+    distinct = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select("host", F.xxhash64("text").alias("content")).distinct()
+    hosts = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("all_docs"))
     return found.join(hosts, "host").where(F.col("n_docs") > line_share * F.col("all_docs")).select("host", "line", "n_docs")
 
 
@@ -202,7 +204,7 @@ def quality(docs: DataFrame, host: str = "source", min_words: int = MIN_WORDS, m
 
     key = F.coalesce(F.concat(F.lit("h"), F.col(host)), F.lit("n")).alias("host")
     lines = _all_lines(docs.select("doc_id", key, "text"), "text")
-    limit = frequent_lines(lines, docs.select(key), line_docs, line_share)
+    limit = frequent_lines(lines, docs.select(key, "text"), line_docs, line_share)
     removed = lines.join(limit, ["host", "line"]).select("doc_id", "content", "line", "words").distinct()
     gone = [F.collect_list("line").alias("gone")] if as_text else []  # no more than the text has lines
     removed = removed.groupBy("doc_id", "content").agg(F.sum("words").alias("n_boilerplate"), *gone)
@@ -261,7 +263,7 @@ normal AS (
   SELECT *, regexp_replace(translate(array_to_string(words, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                            '[0-9]+', '0', 'g') AS form
   FROM lines),
-hosts AS (SELECT source, count(*) AS docs FROM documents GROUP BY source),
+hosts AS (SELECT source, count(DISTINCT text) AS docs FROM lines GROUP BY source),
 frequent AS (
   SELECT coalesce('h' || n.source, 'n') AS host, form
   FROM normal n JOIN hosts h ON n.source IS NOT DISTINCT FROM h.source
