@@ -7,7 +7,7 @@ query goes to every shard; shards answer from their graph, and the answers are m
 distance. A search task holds one graph and one batch of queries at a time.
 
 A shard's rows grow with the root of the table, up to SHARD_BYTES of vectors: both the graphs and
-the searches of each query stay few. Queries are dealt to parts, so that a graph's are many tasks.
+the searches of each query stay few; a larger graph is searched more widely. Queries are dealt to parts, so that a graph's are many tasks.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ PART_QUERIES = 1 << 14
 LINKS = 12  # on the upper levels; twice as many on the lowest
 EF_BUILD = 48
 EF_SEARCH = 96
+EF_ROOT = 4  # a search is at least this many times as wide as the root of its graph's nodes
 SEED = 7
 QUERY_EVERY = 100
 NEAREST = 10
@@ -210,10 +211,11 @@ class _Shard:
         self.graph = Graph(self.exact.astype(np.float32), get["levels"], links)
         self.graph.low, self.graph.high = get["low"].reshape(-1, 2 * links), get["high"].reshape(-1, links)
         self.graph.entry, self.ids, self.starts = row["entry"], get["ids"], get["starts"]
+        self.width = math.isqrt(EF_ROOT * EF_ROOT * len(self.exact))
 
     def nearest(self, query: int, point: np.ndarray, k: int, ef: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and distances of the k nearest found, without ``query`` itself."""
-        nodes = np.array(self.graph.search(point.astype(np.float32), max(ef, k + 1)))
+        nodes = np.array(self.graph.search(point.astype(np.float32), max(ef, k + 1, self.width)))
         apart = self.exact[nodes] - point
         far = np.sqrt((apart * apart).sum(1))
         count = np.minimum(self.starts[nodes + 1] - self.starts[nodes], k + 1)  # more of a vector are never needed
