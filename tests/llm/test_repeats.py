@@ -1,9 +1,9 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-
 from tests.llm import brute
 from tests.llm.conftest import ODD, SF_DIR, rows_of
 from twinview.llm import blocks, induced, repeats, suffixes
@@ -110,12 +110,57 @@ def test_scratch_space_is_used_again():
     assert scratch.spilled == 50 * 8 << 21 and scratch.at <= induced.EXTENT_BYTES
 
 
-def test_differences_come_back():
-    rng = np.random.default_rng(3)
-    for top in (10, 1 << 20, 1 << 45):
-        values = np.unique(rng.integers(0, top, 500))
-        assert np.array_equal(blocks.undeltas(blocks.deltas(values)), values)
-    assert len(blocks.undeltas(blocks.deltas(np.zeros(0, np.int64)))) == 0
+def table_of(rows):
+    return pa.table({"doc": [{"doc_id": d} for d, _ in rows], "doc_id": pa.array([d for d, _ in rows], pa.int64()), "text": [t for _, t in rows]})
+
+
+@pytest.mark.parametrize("slices", [1, 3, 1000, 5_000_000])
+def test_keys_meet_their_slices_and_answers(slices):
+    rng = np.random.default_rng(slices)
+    keys = np.unique(np.append(rng.integers(0, 1 << 64, 3000, np.uint64), np.array([0, (1 << 64) - 1], np.uint64)))
+    numbers, bounds, values = repeats._sliced(keys, slices)
+    exact = [int(k) * slices for k in keys]
+    assert np.repeat(numbers, np.diff(bounds)).tolist() == [x >> 64 for x in exact]
+    assert np.abs(values.astype(np.int64) - [(x >> 32) & 0xFFFFFFFF for x in exact]).max() <= 1
+    flags = rng.random(len(keys)) < 0.2
+    table = pa.table({"slice": numbers, "block": numbers})
+    answers = repeats._answered(table, 1, flags, bounds)
+    assert answers.num_rows == len(np.unique(np.repeat(numbers, np.diff(bounds))[flags]))
+    shuffled = answers.take(pa.array(rng.permutation(answers.num_rows)))
+    assert (repeats._flags(shuffled, numbers, bounds) == flags).all()
+
+
+@pytest.mark.parametrize("slices", [8, 1 << 20])
+def test_rows_sent_grow_with_the_windows_at_most(slices):
+    block = repeats._Block(table_of(passages(4)), 20)
+    sent = repeats._sketched(block, 7, slices)
+    assert sent.num_rows <= min(slices, len(block.keys))
+    assert sum(map(len, sent["body"].to_pylist())) == 4 * (len(block.keys) + block.many.sum())
+    asked = repeats._asked(block, np.flatnonzero(block.many), 7, slices, 20)
+    assert 0 < asked.num_rows <= block.many.sum()
+
+
+def test_no_repeated_window_is_lost_by_a_small_sketch():
+    one, two = (repeats._Block(table_of(passages(seed)), 20) for seed in (5, 6))
+    rows = pa.concat_tables([repeats._sketched(b, i, 4) for i, b in enumerate([one, two, one])])
+    for width in (16, 4096, 1 << 16):
+        parts = [rows.filter(pa.array(rows["slice"].to_numpy() == s)) for s in range(4)]
+        answers = pa.concat_tables([repeats._merged(p, width) for p in parts])
+        for i, block in enumerate([one, two, one]):
+            found = repeats._estimated(block, answers.filter(pa.array(answers["block"].to_numpy() == i)), 4)
+            assert found[block.many].all() and (found.all() or block is two)
+
+
+def test_ids_far_apart_are_owners_too():
+    far = [(-(1 << 62), "a " * 30), (None, "b " * 30), (1 << 62, "c " * 30), (7, "d " * 30)]
+    near = [(6, "a " * 30), (8, "d " * 30), (1 << 31, "c " * 30), (-5, "b " * 30)]
+    parts = [repeats._Block(table_of(rows), 20) for rows in (far, near)]
+    table = pa.concat_tables([repeats._asked(b, np.arange(len(b.keys)), i, 1, 20) for i, b in enumerate(parts)])
+    answers = repeats._grouped(table)
+    later = [repeats._flags(answers.filter(pa.array(answers["block"].to_numpy() == i)), np.array([0]), np.array([0, 4])) for i in (0, 1)]
+    owners = [b.ids[np.searchsorted(b.words.bounds, b.starts[b.first], "right") - 1].tolist() for b in parts]
+    assert sorted(i for i, x in zip(owners[0], later[0]) if x) == [1 << 62]
+    assert sorted(i for i, x in zip(owners[1], later[1]) if x) == [-5, 6, 8]
 
 
 def test_first_ones_tell_long_keys_apart():
@@ -124,11 +169,7 @@ def test_first_ones_tell_long_keys_apart():
 
 
 def test_rows_asked_do_not_grow_with_the_slices():
-    import pyarrow as pa
-
-    rows = passages(4)
-    table = pa.table({"doc": [{"doc_id": d} for d, _ in rows], "doc_id": [d for d, _ in rows], "text": [t for _, t in rows]})
-    block = suffixes._Block(table, 100, 32)
+    block = suffixes._Block(table_of(passages(4)), 100, 32)
     answers = pa.table({"key": block.anchors()[0].view(np.int64)})
     few, many = (suffixes._asked_runs(block, 3, slices, answers) for slices in (8, 8000))
     assert few.num_rows == many.num_rows == len(np.unique(few["place"].to_numpy()))

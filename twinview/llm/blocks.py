@@ -1,15 +1,13 @@
 """Documents dealt to blocks that ask slices of a key space about their keys.
 
 Operators that must know which keys occur in other documents work in rounds: each block of
-documents sends every slice of the key space one packed message, each slice answers every block
-with one bit for each key, in the order asked. Blocks are groups of a hash, so a block meets its
-answers again by its number; all rounds read one shuffle of the texts.
+documents sends its keys to the slices of the key space that they fall into, and each slice answers
+about the keys that it was asked for. Blocks are groups of a hash, so a block meets its answers
+again by its number; all rounds read one shuffle of the texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,14 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from twinview.llm.arrow import releasing
-
 BLOCK_BYTES = 4 << 20
 
-MESSAGE = T.StructType([
-    T.StructField("slice", T.LongType()), T.StructField("block", T.LongType()), T.StructField("round", T.IntegerType()),
-    T.StructField("body", T.BinaryType())])
-
 
 def deal(docs: DataFrame, keep: list[str], text: str = "text", block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
     """Rows (block, doc, doc_id, text) of ``docs``, and the number of blocks, by size of the texts.
@@ -53,28 +45,6 @@ def empty(schema: T.StructType) -> pa.Table:
     return to_arrow_schema(schema).empty_table()
 
 
-def messages(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
-    columns = list(zip(*rows)) if rows else [[], [], [], []]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], MESSAGE.names)
-
-
-def bodies(table: pa.Table, order: str) -> list[tuple[int, memoryview]]:
-    """(value of ``order``, body) of each message, sorted by that value."""
-    found = zip(table[order].to_pylist(), (x.as_buffer() for c in table["body"].chunks for x in c))
-    return sorted(((k, memoryview(b)) for k, b in found), key=lambda x: x[0])
-
-
-def answer(asked: DataFrame, answering: Callable[[int, list[tuple[int, memoryview]]], list[tuple[int, bytes]]]) -> DataFrame:
-    """Messages back to the blocks: ``answering`` maps (slice, bodies by block) to a body for each block."""
-    @releasing
-    def run(group: pa.Table) -> pa.Table:
-        here, round_ = group["slice"][0].as_py(), group["round"][0].as_py()
-        return messages([(here, b, round_, body) for b, body in answering(here, bodies(group, "block"))])
-
-    return asked.groupBy("slice").applyInArrow(run, MESSAGE)
-
-
 def first_ones(keys: list[np.ndarray], owners: np.ndarray) -> np.ndarray:
     """Of entries with equal keys (one array for each part of the key), which has the least owner;
     of equal owners the first entry."""
@@ -88,17 +58,3 @@ def first_ones(keys: list[np.ndarray], owners: np.ndarray) -> np.ndarray:
     out[order] = np.concatenate([[True], ~same]) if len(order) else True
     return out
 
-
-def deltas(sorted_values: np.ndarray) -> bytes:
-    """Ascending numbers as their differences, in two, four or eight bytes each, as fits."""
-    if not len(sorted_values):
-        return b""
-    steps = np.diff(sorted_values, prepend=sorted_values.dtype.type(0))
-    size = next(n for n in (2, 4, 8) if n == 8 or int(steps.max()) < 1 << 8 * n)
-    return bytes([size]) + steps.astype(f"<u{size}").tobytes()
-
-
-def undeltas(body: memoryview | bytes) -> np.ndarray:
-    if not len(body):
-        return np.zeros(0, np.int64)
-    return np.cumsum(np.frombuffer(body[1:], f"<u{body[0]}"), dtype=np.int64)

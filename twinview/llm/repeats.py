@@ -2,13 +2,17 @@
 
 Round 1: each block of documents sketches its windows. The sketch has ROWS rows of cells; a slice of
 the windows' hashes has cells of its own in each, ``CELLS`` times as many as windows, so that the
-sketch grows with the corpus and no part of it is ever whole in one place. Blocks send the cells
-they touch, slices add up and answer which cells were touched twice or more. A window is estimated
-repeated if all its cells are. As cells only overestimate, no repeated window is lost.
+sketch grows with the corpus and no part of it is ever whole in one place. Blocks send 32 bits of each
+window they have, from which a slice knows its cells (twice for one that they have more than once);
+slices add up and answer which windows have all cells touched twice or more: these are estimated
+repeated. As cells only overestimate, no repeated window is lost.
 
 Round 2: windows estimated repeated are asked by a longer hash, with the first document that has
 them; slices group them exactly and answer which are not the first. Each block then removes the
 words of windows that start earlier somewhere.
+
+A block sends a row to each slice that it has windows of, and is answered where one is repeated. So
+the rows grow with the windows at most, and they are made and read as whole columns.
 """
 
 from __future__ import annotations
@@ -27,6 +31,14 @@ ROWS = 2
 CELLS = 4
 SLICE_WINDOWS = 3 << 20
 
+SKETCH = T.StructType([T.StructField("slice", T.LongType()), T.StructField("block", T.LongType()), T.StructField("body", T.BinaryType())])
+ASKED = T.StructType([
+    *(T.StructField(c, T.LongType()) for c in ("slice", "block", "base")),
+    *(T.StructField(c, T.BinaryType()) for c in ("keys", "second", "owners"))])
+ANSWER = T.StructType([
+    T.StructField("slice", T.LongType()), T.StructField("block", T.LongType()), T.StructField("round", T.IntegerType()),
+    T.StructField("body", T.BinaryType())])
+
 
 class _Block:
     """A block's windows: where they start and the distinct ones by hash."""
@@ -47,131 +59,135 @@ class _Block:
         self.many = np.bincount(self.key_of, minlength=len(self.keys)) > 1
         self.hashes = hashes
 
-    def slices(self, count: int, keys: np.ndarray) -> np.ndarray:
-        """Where each slice's keys begin and end."""
-        edges = [(s << 64) // count + ((s << 64) % count > 0) for s in range(count)]
-        return np.append(np.searchsorted(keys, np.array(edges, np.uint64)), len(keys))
+
+def _sliced(keys: np.ndarray, slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ascending keys by slice: the slices that have some, where the keys of each begin and end, and
+    the 32 bits of each key that follow those its slice is found by."""
+    count = np.uint64(slices)
+    scaled = (keys >> np.uint64(32)) * count + (((keys & np.uint64(0xFFFFFFFF)) * count) >> np.uint64(32))
+    number = (scaled >> np.uint64(32)).astype(np.int64)
+    begin = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return number[begin], np.append(begin, len(keys)), scaled.astype(np.uint32)
 
 
-def _cells(keys: np.ndarray, row: int, width: int) -> np.ndarray:
-    """A key's cell in a row of its slice's sketch; the slice has used the high bits."""
-    part = keys & np.uint64(0xFFFFFFFF) if row == 0 else (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+def _cells(values: np.ndarray, row: int, width: int) -> np.ndarray:
+    """The cell of a key's 32 bits in a row of its slice's sketch."""
+    part = values.astype(np.uint64)
+    if row:
+        part = (part * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
     return ((part * np.uint64(width)) >> np.uint64(32)).astype(np.int64)
 
 
-def _cell_lists(keys: np.ndarray, many: np.ndarray, width: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each row the distinct cells that keys touch, and whether more than once."""
-    out = []
-    for row in range(ROWS):
-        cells = _cells(keys, row, width)
-        packed = np.sort(cells * 2 + many)
-        cells = packed >> 1
-        last = np.append(cells[1:] != cells[:-1], True) if len(cells) else np.zeros(0, bool)
-        begin = np.flatnonzero(np.concatenate([[True], last[:-1]])) if len(cells) else np.zeros(0, int)
-        twice = np.diff(np.append(begin, len(cells))) > 1
-        out.append((cells[last], (packed[last] & 1 == 1) | twice))
-    return out
+def _binary(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The bytes of values bounds[i] to bounds[i + 1], for each i."""
+    ends = (bounds * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(ends), pa.py_buffer(values)])
 
 
-def _sketched(block: _Block, number: int, slices: int, width: int) -> pa.Table:
-    out = []
-    at = block.slices(slices, block.keys)
-    for s in range(slices):
-        keys, many = block.keys[at[s] : at[s + 1]], block.many[at[s] : at[s + 1]]
-        if not len(keys):
-            continue
-        parts = []
-        for cells, twice in _cell_lists(keys, many, width):
-            packed = blocks.deltas(cells)
-            parts += [len(packed).to_bytes(8, "little"), packed, np.packbits(twice).tobytes()]
-        out.append((s, number, 1, b"".join(parts)))
-    return blocks.messages(out)
-
-
-def _touched(body: memoryview) -> list[tuple[np.ndarray, np.ndarray]]:
-    out, at = [], 0
-    for _ in range(ROWS):
-        size = int.from_bytes(body[at : at + 8], "little")
-        cells = blocks.undeltas(body[at + 8 : at + 8 + size])
-        at += 8 + size
-        bits = -(-len(cells) // 8)
-        out.append((cells, np.unpackbits(np.frombuffer(body[at : at + bits], np.uint8), count=len(cells))))
-        at += bits
+def _bits(flags: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Flags bounds[i] to bounds[i + 1] as bits, for each i, from a byte's first bit on."""
+    sizes = np.diff(bounds)
+    ends = np.concatenate([[0], np.cumsum(-(-sizes // 8))])
+    padded = np.zeros(8 * ends[-1], bool)
+    padded[np.arange(len(flags)) + np.repeat(8 * ends[:-1] - bounds[:-1], sizes)] = flags
+    return _binary(np.packbits(padded), ends)
+
+
+def _flags(answers: pa.Table, numbers: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The bits that slices ``numbers`` gave, for the keys of each; none are set where one gave no answer."""
+    out = np.zeros(bounds[-1], bool)
+    if answers.num_rows:
+        at = np.searchsorted(numbers, answers["slice"].to_numpy())
+        found = texts_of(answers["body"])
+        sizes = np.diff(bounds)[at]
+        inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        out[np.repeat(bounds[at], sizes) + inner] = np.unpackbits(found.data)[np.repeat(8 * found.bounds[:-1], sizes) + inner]
     return out
 
 
-def _merged(found: list[tuple[int, memoryview]], width: int) -> list[tuple[int, bytes]]:
-    """The sum of the blocks' sketches, as a bit for each cell that a block has sent."""
-    touched = [(b, _touched(body)) for b, body in found]
-    answers: dict[int, list[bytes]] = {b: [] for b, _ in touched}
+def _answered(table: pa.Table, round_: int, flags: np.ndarray, bounds: np.ndarray) -> pa.Table:
+    """A row (``ANSWER``) for each row of a slice's table with a flag set."""
+    some = np.add.reduceat(flags, bounds[:-1], dtype=np.int64) > 0
+    out = pa.table([table["slice"], table["block"], pa.array(np.full(table.num_rows, round_, np.int32)), _bits(flags, bounds)], ANSWER.names)
+    return out.filter(pa.array(some))
+
+
+def _sent(block: _Block, slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What a block sends of its windows: ``_sliced``, and the window of each entry."""
+    entry = np.repeat(np.arange(len(block.keys)), 1 + block.many)
+    return *_sliced(block.keys[entry], slices), entry
+
+
+def _sketched(block: _Block, number: int, slices: int) -> pa.Table:
+    numbers, bounds, values, _ = _sent(block, slices)
+    return pa.table([pa.array(numbers), pa.array(np.full(len(numbers), number)), _binary(values, bounds)], SKETCH.names)
+
+
+def _merged(table: pa.Table, width: int) -> pa.Table:
+    """The sum of the blocks' sketches, as a bit for each window that a block has sent."""
+    sent = texts_of(table["body"])
+    values = sent.data.view("<u4")
+    place, repeated = np.arange(len(values), dtype=np.int32), np.ones(len(values), bool)
+    last = np.empty(width, np.int32)
     for row in range(ROWS):
-        counts = np.zeros(width, np.uint8)
-        for _, lists in touched:  # cells of one block are distinct; 0, 1, or 2 and more are told apart
-            cells, twice = lists[row]
-            counts[cells] = np.minimum(counts[cells] + 1 + twice, 2)
-        for b, lists in touched:
-            answers[b].append(np.packbits(counts[lists[row][0]] > 1).tobytes())
-    return [(b, b"".join(parts)) for b, parts in answers.items()]
+        cells = _cells(values, row, width)
+        last[cells] = place  # of those that touch a cell one is the last; the others show that it was touched before
+        often = np.zeros(width, bool)
+        often[cells[last[cells] != place]] = True
+        repeated &= often[cells]
+    return _answered(table, 1, repeated, sent.bounds // 4)
 
 
-def _estimated(block: _Block, answers: pa.Table, slices: int, width: int) -> np.ndarray:
+def _estimated(block: _Block, answers: pa.Table, slices: int) -> np.ndarray:
     """Which of a block's distinct windows are estimated to occur more than once anywhere."""
+    numbers, bounds, _, entry = _sent(block, slices)
     out = np.zeros(len(block.keys), bool)
-    at = block.slices(slices, block.keys)
-    for s, body in blocks.bodies(answers, "slice"):
-        keys, many = block.keys[at[s] : at[s + 1]], block.many[at[s] : at[s + 1]]
-        repeated, place = np.ones(len(keys), bool), 0
-        for row, (cells, _) in enumerate(_cell_lists(keys, many, width)):
-            bits = -(-len(cells) // 8)
-            often = np.unpackbits(np.frombuffer(body[place : place + bits], np.uint8), count=len(cells)).astype(bool)
-            place += bits
-            repeated &= often[np.searchsorted(cells, _cells(keys, row, width))]
-        out[at[s] : at[s + 1]] = repeated
+    out[entry[_flags(answers, numbers, bounds)]] = True
     return out
 
 
 def _asked(block: _Block, chosen: np.ndarray, number: int, slices: int, window: int) -> pa.Table:
-    """Chosen windows by slice: key, second hash and the first document that has them."""
+    """Chosen windows by slice: key, second hash and the first document that has them. Its id is 32
+    bits from the block's least id on, if they suffice for the block, else its 64."""
     keys = block.keys[chosen]
     places = block.starts[block.first[chosen]]
     second = (windows_hashed(block.hashes, window, 1)[places] >> np.uint64(32)).astype(np.uint32) if len(keys) else np.zeros(0, np.uint32)
-    owner = np.searchsorted(block.words.bounds, places, "right") - 1
-    at = block.slices(slices, keys)
-    out = []
-    for s in range(slices):
-        a, b = at[s], at[s + 1]
-        if a < b:
-            docs, code = np.unique(owner[a:b], return_inverse=True)
-            kind = "<u2" if len(docs) < 1 << 16 else "<u4"
-            head = np.array([b - a, len(docs)], "<i8").tobytes()
-            out.append((s, number, 2, head + block.ids[docs].astype("<i8").tobytes() + keys[a:b].tobytes() + second[a:b].tobytes() + code.astype(kind).tobytes()))
-    return blocks.messages(out)
-
-
-def _grouped(found: list[tuple[int, memoryview]]) -> list[tuple[int, bytes]]:
+    owners = block.ids[np.searchsorted(block.words.bounds, places, "right") - 1]
+    least = int(block.ids.min(initial=0))
+    base, kind = (least, "<u4") if int(block.ids.max(initial=0)) - least < 1 << 32 else (0, "<i8")
+    numbers, bounds, _ = _sliced(keys, slices)
+    return pa.table([
+        pa.array(numbers), pa.array(np.full(len(numbers), number)), pa.array(np.full(len(numbers), base)),
+        _binary(keys, bounds), _binary(second, bounds), _binary((owners - base).astype(kind), bounds)], ASKED.names)
+
+
+def _owners(table: pa.Table, bounds: np.ndarray) -> np.ndarray:
+    """The ids of documents in asked rows, whose windows are bounds[i] to bounds[i + 1]."""
+    sent, sizes = texts_of(table["owners"]), np.diff(bounds)
+    halves = sent.data.view("<u4")
+    parts = np.diff(sent.bounds) // 4 // sizes  # 1 or 2
+    inner = np.arange(bounds[-1]) - np.repeat(bounds[:-1], sizes)
+    at = np.repeat(sent.bounds[:-1] // 4, sizes) + inner * np.repeat(parts, sizes)
+    out = halves[at].astype(np.uint64)
+    wide = np.repeat(parts == 2, sizes)
+    out[wide] |= halves[at[wide] + 1].astype(np.uint64) << np.uint64(32)
+    return out.view(np.int64) + np.repeat(table["base"].to_numpy(), sizes)
+
+
+def _grouped(table: pa.Table) -> pa.Table:
     """For each window asked by a block, a bit: another block's document before has it."""
-    keys, second, owners, sizes = [], [], [], []
-    for _, body in found:
-        n, docs = np.frombuffer(body[:16], "<i8").tolist()
-        at = 16 + 8 * docs
-        ids = np.frombuffer(body[16:at], "<i8")
-        keys.append(np.frombuffer(body[at : at + 8 * n], np.uint64))
-        second.append(np.frombuffer(body[at + 8 * n : at + 12 * n], np.uint32))
-        owners.append(ids[np.frombuffer(body[at + 12 * n :], "<u2" if docs < 1 << 16 else "<u4")])
-        sizes.append(n)
-    later = ~blocks.first_ones([np.concatenate(keys), np.concatenate(second)], np.concatenate(owners))
-    ends = np.cumsum(sizes)
-    return [(b, np.packbits(later[e - n : e]).tobytes()) for (b, _), n, e in zip(found, sizes, ends)]
+    table = table.sort_by("block")  # rows of one id by block
+    keys = texts_of(table["keys"])
+    bounds = keys.bounds // 8
+    hashes = [keys.data.view(np.uint64), texts_of(table["second"]).data.view(np.uint32)]
+    return _answered(table, 2, ~blocks.first_ones(hashes, _owners(table, bounds)), bounds)
 
 
 def _cleaned(block: _Block, chosen: np.ndarray, answers: pa.Table, slices: int, width: int) -> pa.Table:
     """The block's documents without the words of windows that start earlier."""
-    where = np.flatnonzero(chosen)
-    at = block.slices(slices, block.keys[where])
     later = np.zeros(len(block.keys), bool)
-    for s, body in blocks.bodies(answers, "slice"):
-        own = where[at[s] : at[s + 1]]
-        later[own] = np.unpackbits(np.frombuffer(body, np.uint8), count=len(own)).astype(bool)
+    numbers, bounds, _ = _sliced(block.keys[chosen], slices)
+    later[chosen] = _flags(answers, numbers, bounds)
     words, total = block.words, len(block.words.starts)
     earlier_here = np.ones(len(block.starts), bool)
     earlier_here[block.first] = False
@@ -211,14 +227,20 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep: list[str] | None
 
     @releasing
     def sketch(key: tuple, table: pa.Table) -> pa.Table:
-        return _sketched(_Block(table, window), key[0].as_py(), slices, width)
+        return _sketched(_Block(table, window), key[0].as_py(), slices)
+
+    @releasing
+    def merge(table: pa.Table) -> pa.Table:
+        return _merged(table, width)
 
     @releasing
     def ask(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return blocks.messages([])
         block = _Block(table, window)
-        return _asked(block, _estimated(block, answers, slices, width), key[0].as_py(), slices, window)
+        return _asked(block, _estimated(block, answers, slices), key[0].as_py(), slices, window)
+
+    @releasing
+    def group(table: pa.Table) -> pa.Table:
+        return _grouped(table)
 
     result = T.StructType([
         T.StructField("doc", rows.schema["doc"].dataType), T.StructField("n_words", T.LongType()),
@@ -227,13 +249,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, keep: list[str] | None
     @releasing
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
         block, rounds = _Block(table, window), answers["round"].to_numpy()
-        chosen = _estimated(block, answers.filter(pa.array(rounds == 1)), slices, width)
+        chosen = _estimated(block, answers.filter(pa.array(rounds == 1)), slices)
         return _cleaned(block, chosen, answers.filter(pa.array(rounds == 2)), slices, window)
 
     dealt = rows.groupBy("block")
-    sums = blocks.answer(dealt.applyInArrow(sketch, blocks.MESSAGE), lambda _, found: _merged(found, width))
-    asked = dealt.cogroup(sums.groupBy("block")).applyInArrow(ask, blocks.MESSAGE)
-    firsts = blocks.answer(asked, lambda _, found: _grouped(found))
+    sums = dealt.applyInArrow(sketch, SKETCH).groupBy("slice").applyInArrow(merge, ANSWER)
+    asked = dealt.cogroup(sums.groupBy("block")).applyInArrow(ask, ASKED)
+    firsts = asked.groupBy("slice").applyInArrow(group, ANSWER)
     return dealt.cogroup(sums.unionAll(firsts).groupBy("block")).applyInArrow(finish, result)
 
 
