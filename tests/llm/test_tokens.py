@@ -64,6 +64,27 @@ def test_ids_and_decoded_texts_are_those_of_the_library():
         assert decoded.to_pylist() == [model.decode(x) for x in ids]
 
 
+def test_a_word_is_segmented_once_a_task(monkeypatch):
+    plain, asked = chunks._segmented, []
+    monkeypatch.setattr(chunks, "_segmented", lambda words, path: asked.extend(words) or plain(words, path))
+    model, texts, table = processor(default_model()), fuzz(6), chunks._Table(default_model())
+    for a in range(0, len(texts), 20):
+        part = pa.array(texts[a : a + 20], pa.string())
+        assert chunks._encoded(part, default_model(), table).to_pylist() == model.encode(texts[a : a + 20])
+    assert len(asked) == len(set(asked)) == len(table.places) and table.held == sum(map(len, asked))
+
+
+@pytest.mark.parametrize("bound", [{"TABLE_WORDS": 30}, {"TABLE_BYTES": 400}, {"TABLE_WORDS": 0}])
+def test_a_table_over_its_bound_begins_anew(monkeypatch, bound):
+    for name, value in bound.items():
+        monkeypatch.setattr(chunks, name, value)
+    model, texts, table = processor(default_model()), fuzz(7), chunks._Table(default_model())
+    for a in range(0, len(texts), 3):
+        part = pa.array(texts[a : a + 3], pa.string())
+        assert chunks._encoded(part, default_model(), table).to_pylist() == model.encode(texts[a : a + 3])
+        assert len(table.places) <= max(bound.get("TABLE_WORDS", 1 << 18), sum(len(t) + 1 for t in texts[a : a + 3]))
+
+
 def test_encoding_of_odd_rows(odd, empty):
     model = processor(default_model())
     both = chunks.decode(chunks.encode(odd))

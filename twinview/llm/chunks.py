@@ -2,8 +2,10 @@
 
 No piece of the model crosses from a word into the next word's mark, so a text's pieces are those
 of its marked words (a run of marks and what follows up to the next mark). Each piece of an Arrow
-batch is dictionary-encoded by marked word, each distinct one is segmented once, and the ids are
-joined back by position. Nothing is shuffled, and a table is no larger than its piece.
+batch is dictionary-encoded by marked word. A task keeps a table of the distinct ones that it has met:
+only those that are new to it are segmented, and the ids of all are joined back by position. Nothing
+is shuffled. A table that would go over its bound begins anew with the words of the piece at hand, so
+that it is no larger than its bound or that piece.
 """
 
 from __future__ import annotations
@@ -22,6 +24,9 @@ from twinview.llm.pieces import MARK, default_model, marked, processor
 
 #: Ids that are decoded at once; one longer list is worked on alone.
 PIECE_IDS = 1 << 20
+#: Distinct marked words, and bytes of them, that a task keeps in its table.
+TABLE_WORDS = 1 << 18
+TABLE_BYTES = 16 << 20
 
 
 def _segmented(words: list[bytes], path: str) -> list[list[int]]:
@@ -36,7 +41,40 @@ def _lone_mark(path: str) -> list[int]:
     return model.encode("a ")[len(model.encode("a")):]
 
 
-def _encoded(column: pa.Array, path: str) -> pa.ListArray:
+class _Table:
+    """Marked words with their ids: word i has flat[starts[i]:starts[i] + sizes[i]]."""
+
+    def __init__(self, path: str):
+        self.path = path
+        self._clear()
+
+    def _clear(self) -> None:
+        self.places: dict[bytes, int] = {}
+        self.held = 0
+        self.starts = self.sizes = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.int32)
+
+    def find(self, words: list[bytes]) -> np.ndarray:
+        """The places of distinct words, after those that are new have been segmented."""
+        new = [w for w in words if w not in self.places]
+        added = sum(map(len, new))
+        if len(self.places) + len(new) > TABLE_WORDS or self.held + added > TABLE_BYTES:
+            self._clear()
+            new, added = words, sum(map(len, words))
+        if new:
+            ids = _segmented(new, self.path)
+            sizes = np.array([len(x) for x in ids], np.int64)
+            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
+            self.held += added
+            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(sizes.sum()))])
+        return np.fromiter((self.places[w] for w in words), np.int64, len(words))
+
+
+def _encoded(column: pa.Array, path: str, table: _Table | None = None) -> pa.ListArray:
+    """The ids of each text, by a table of words that goes on from piece to piece, if one is given."""
+    table = table or _Table(path)
     texts = texts_of(column)
     parts = marked([texts.bytes_of(i) for i in range(len(texts))])
     bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
@@ -49,16 +87,12 @@ def _encoded(column: pa.Array, path: str) -> pa.ListArray:
     words = pa.Array.from_buffers(pa.large_binary(), len(starts), [
         None, pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(data.tobytes())])
     coded = words.dictionary_encode()
-    table = _segmented(coded.dictionary.to_pylist(), path)
-    sizes = np.array([len(x) for x in table], np.int64)
-    ends = np.concatenate([[0], np.cumsum(sizes)])
-    codes = coded.indices.to_numpy()
-    flat = np.fromiter(itertools.chain.from_iterable(table), np.int32, int(ends[-1]))
-    counts = sizes[codes] if len(codes) else np.zeros(0, np.int64)
+    places = table.find(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+    counts = table.sizes[places]
     after = np.concatenate([[0], np.cumsum(counts)])
-    where = np.repeat(ends[codes] - after[:-1], counts) + np.arange(after[-1]) if len(codes) else np.zeros(0, np.int64)
+    where = np.repeat(table.starts[places] - after[:-1], counts) + np.arange(after[-1])
     offsets = after[np.searchsorted(starts, bounds)]
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat[where], pa.int32()))
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(table.flat[where], pa.int32()))
 
 
 def _surface(path: str) -> pa.Array:
@@ -100,8 +134,9 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", model: str | N
     path = model or default_model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Table(path)
         for batch in pieces(batches, text):
-            yield pa.RecordBatch.from_arrays([*batch.columns, _encoded(batch.column(text), path)], [*batch.schema.names, ids])
+            yield pa.RecordBatch.from_arrays([*batch.columns, _encoded(batch.column(text), path, words)], [*batch.schema.names, ids])
 
     return mapped(docs, run, T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
 
@@ -144,9 +179,9 @@ def encode_checked(docs: DataFrame, keep: list[str], text: str = "text", model:
     kept = [f for f in docs.schema.fields if f.name in keep and f.name not in ("ids", "round_trip")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _surface(path)
+        table, words = _surface(path), _Table(path)
         for batch in pieces(batches, text):
-            found = _encoded(batch.column(text), path)
+            found = _encoded(batch.column(text), path, words)
             decoded, texts = texts_of(_decoded(found, table)), texts_of(batch.column(text))
             same = [decoded.bytes_of(i) == texts.bytes_of(i) for i in range(len(texts))]
             yield pa.RecordBatch.from_arrays(
