@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.conftest import as_set
 from twinview import streaming
 from twinview.schema import ACTIVITY_BY_PRODUCT
-from twinview.streaming import windows
+from twinview.streaming import state, windows
 
 NOW = {"availableNow": True}
 OFTEN = {"processingTime": "1 second"}
@@ -72,6 +72,45 @@ def test_state_is_that_of_the_current_run(spark, landed, log, tmp_path, kind):
             assert found == {k: (len({r[3] for r in rows} - {None}),) for k, rows in expected.items()}
 
 
+def test_many_visitors_over_growing_pages(spark, landed, log, tmp_path):
+    """Known and new visitors of a large key, beside small ones; the third part is small, the last starts over."""
+    ttl, times, rng = 10**6, [0, 10, 20, 30, 4_000_000], random.Random(9)
+    sizes = [3000, 9000, 30, 5000, 2000]
+    parts = [[("hot" if rng.random() < 0.95 else rng.choice(["A", None]), 0, "page_view", rng.choice([None, *[f"v{rng.randrange(20_000)}"] * 50]), at)
+              for _ in range(size)] for at, size in zip(times, sizes)]
+    stream, checkpoint = landed(*parts), str(tmp_path / "checkpoint")
+    query = streaming.start_state_view(stream, checkpoint, "exact", ttl, F.col("at"), OFTEN)
+    streaming.stop_after(query, log, seconds=120)
+    expected = live_rows(parts, ttl, times[-1])
+    found = {tuple(r)[:2]: r.unique_visitors for r in streaming.state_view(spark, checkpoint, "exact", ttl, times[-1]).collect()}
+    assert found == {k: len({r[3] for r in rows} - {None}) for k, rows in expected.items()}
+    changed = {r.batch_id: r.state_rows for r in log.reports(query)}
+    most = live_rows(parts[:4], ttl, times[3])["hot", 0]
+    assert len({r[3] for r in most}) > 6000
+    assert changed[3] < 1500  # not a row for each visitor
+
+
+def test_a_task_combines_all_its_visitors(spark):
+    """What is shuffled for a key is some rows a task, not some for each Arrow batch; long lists are cut."""
+    clicks = spark.range(0, 60_000, numPartitions=2).selectExpr(
+        "if(id % 3 = 0, null, concat('P', id % 3)) AS product", "id % 50 AS timestamp_hour", "if(id % 7 = 0, null, concat('v', id % 9000)) AS visitor",
+        "id % 5 AS now_ms")
+    rows = state._combined_visitors(clicks)
+    assert rows.count() == 2 * 150 * state.SHARDS
+    found = rows.select("product", "timestamp_hour", F.explode("visitors").alias("visitor")).distinct()
+    assert as_set(found) == as_set(clicks.where("visitor IS NOT NULL").select(*found.columns).distinct())
+    few = state._combined_visitors(clicks.withColumn("timestamp_hour", F.lit(0).cast("long")).withColumn("product", F.lit("P")))
+    assert few.agg(F.max(F.size("visitors"))).first()[0] == state.LISTED
+    counts = state._combined_counts(clicks.withColumn("now_ms", F.lit(0).cast("long")).withColumn("action", F.lit("purchase")))
+    assert counts.count() == 2 * 150 and counts.agg(F.sum("purchase_count")).first()[0] == 60_000
+
+
+def test_a_key_without_visitors(spark, landed, log, tmp_path):
+    parts = [[("A", 0, "x", None, 0)], [("B", 0, "x", "v", 1)]]
+    streaming.stop_after(streaming.start_state_view(landed(*parts), str(tmp_path / "c"), "exact", 10**6, F.col("at"), OFTEN), log, seconds=float("inf"))
+    assert as_set(streaming.state_view(spark, str(tmp_path / "c"), "exact", 10**6, 1)) == [("A", 0, 0), ("B", 0, 1)]
+
+
 @pytest.mark.parametrize("kind", ["activity", "exact"])
 def test_the_store_drops_state_by_itself(spark, landed, log, tmp_path, kind):
     checkpoint = str(tmp_path / "checkpoint")

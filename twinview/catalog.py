@@ -708,10 +708,10 @@ def _in_parts(spark: SparkSession, rows: DataFrame, part: Column, parts: int) ->
 
 
 def _until_idle(spark: SparkSession, start: Callable[[], StreamingQuery], batch_id: int | None = None) -> None:
-    """Run a query until it has nothing to read, or has committed a micro-batch."""
+    """Run a query until it has nothing to read, or has committed a micro-batch, however long it takes."""
     log = streaming.watch_progress(spark)
     try:
-        streaming.stop_after(start(), log, batch_id)
+        streaming.stop_after(start(), log, batch_id, seconds=float("inf"))
     finally:
         spark.streams.removeListener(log)
 

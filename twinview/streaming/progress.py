@@ -89,7 +89,7 @@ class ProgressLog(StreamingQueryListener):
                 left = deadline - time.monotonic()
                 if run in self._ended or left <= 0:
                     return None
-                self._changed.wait(left)
+                self._changed.wait(min(left, threading.TIMEOUT_MAX))
 
 
 def watch_progress(spark: SparkSession) -> ProgressLog:
