@@ -224,6 +224,14 @@ def _centred(rows: np.ndarray, sums: np.ndarray, n: int) -> np.ndarray:
     return (rows - whole).astype(float) - rest
 
 
+def _projected(centred: np.ndarray, scaled: np.ndarray) -> np.ndarray:
+    """centred @ scaled, added up in the order of the dimensions: a row gives the same in any batch."""
+    out = np.zeros((len(centred), scaled.shape[1]))
+    for column, weights in zip(centred.T, scaled):
+        out += np.outer(column, weights)
+    return out
+
+
 def covariance(vectors: DataFrame, n: int, dims: int, sums: np.ndarray) -> np.ndarray:
     """Covariance (divisor ``n``) of all rows, each entry rounded once.
 
@@ -329,7 +337,7 @@ def whiten(rows: DataFrame, vector: str = "embedding", components: int = COMPONE
             for first in range(0, batch.num_rows, ROWS):
                 part = batch.slice(first, ROWS)
                 x = _matrix(part.column(vector), dims)
-                white = (_centred(x, fitted.sums, fitted.n) @ scaled).reshape(-1)
+                white = _projected(_centred(x, fitted.sums, fitted.n), scaled).reshape(-1)
                 each = pa.array(np.repeat(np.arange(len(x)), k))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c).take(each) for c in names),
